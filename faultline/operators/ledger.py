@@ -69,3 +69,20 @@ def control_snapshot(ledger: DataFrame, landing_files: DataFrame | None = None)
     if landing_files is None:
         return totals
     return totals.withColumn("landing_files", landing_files.agg(F.count("*").alias("n")).scalar())
+
+
+def silver_entries(batches: DataFrame, quality: DataFrame, silver_total, quarantine_total) -> DataFrame:
+    """Ledger rows of a Silver run: counts per batch and the table totals after the run."""
+    return batches.join(quality, "batch_id", "left").select(
+        F.lit("silver").alias("layer"),
+        "batch_id",
+        F.lit("SUCCESS").alias("status"),
+        "source_file",
+        "file_hash",
+        (F.col("valid_records") + F.col("invalid_records")).alias("records_received"),
+        F.col("valid_records").alias("valid_records_received"),
+        F.col("invalid_records").alias("invalid_records_received"),
+        F.lit(silver_total).cast("bigint").alias("silver_total_records"),
+        F.lit(quarantine_total).cast("bigint").alias("quarantine_total_records"),
+        F.current_timestamp().alias("processed_at"),
+    )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from faultline.config import P95_ACCURACY, SLA, SlaPolicy
-from faultline.operators.ledger import control_snapshot, effective_batches, pending_batches
+from faultline.operators.ledger import control_snapshot, effective_batches, pending_batches, silver_entries
 from faultline.operators.quality import batch_quality, latest_versions
 from faultline.operators.reconcile import missing_gold, reconciliation_checks
 from faultline.operators.sla import audit_sla
@@ -210,18 +210,8 @@ def refresh_silver(store: Store, policy: SlaPolicy = SLA, tiebreak=STORE_TIEBREA
     staged = spark.read.schema(transformed.schema).parquet(staging)
     totals = upsert(store, staged, policy, tiebreak)
     quality = batch_quality(staged).withColumnRenamed("_batch_id", "batch_id")
-    rows = spark.createDataFrame(batches).join(quality, "batch_id", "left").select(
-        F.lit("silver").alias("layer"),
-        "batch_id",
-        F.lit("SUCCESS").alias("status"),
-        "source_file",
-        "file_hash",
-        (F.col("valid_records") + F.col("invalid_records")).alias("records_received"),
-        F.col("valid_records").alias("valid_records_received"),
-        F.col("invalid_records").alias("invalid_records_received"),
-        F.lit(totals["silver_total"]).cast("bigint").alias("silver_total_records"),
-        F.lit(totals["quarantine_total"]).cast("bigint").alias("quarantine_total_records"),
-        F.current_timestamp().alias("processed_at"),
+    rows = silver_entries(
+        spark.createDataFrame(batches), quality, totals["silver_total"], totals["quarantine_total"]
     )
     store.append("ledger", rows)
     return totals
