@@ -40,7 +40,7 @@ def filter_options(dashboard: DataFrame, trends: DataFrame) -> DataFrame:
     valid_month = F.when(month.between(1, 12), month)
     priority_label = F.when(F.col("priority_code").isNotNull(), F.col("priority_name"))
     calendar = entries(
-        dashboard.groupBy("opened_year", "opened_month", "priority_code", "priority_name").agg(),
+        dashboard,
         ("year", year, year.cast("string")),
         ("month", valid_month, F.when(valid_month.isNotNull(), month_name)),
         ("priority", F.col("priority_code"), priority_label),

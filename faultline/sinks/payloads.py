@@ -51,10 +51,13 @@ def read_trend_partitions(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
-def migrate_trends(spark: SparkSession, legacy: str, schema: str, path: str) -> None:
-    """Split one document holding all records into the monthly folders."""
-    document = spark.read.schema(f"records array<struct<{schema}>>").option("multiLine", "true").json(legacy)
-    write_trend_partitions(document.select(F.inline("records")), path)
+def migrate_trends(spark: SparkSession, legacy: str, schema: str, path: str, multiline: bool = True) -> None:
+    """Split documents with a ``records`` list into the monthly folders.
+
+    ``multiline`` reads one pretty-printed document per file; otherwise one per line.
+    """
+    reader = spark.read.schema(f"records array<struct<{schema}>>").option("multiLine", str(multiline).lower())
+    write_trend_partitions(reader.json(legacy).select(F.inline("records")), path)
 
 
 MONTH_PREFIX = r"^\d{4}-\d{2}"
