@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,6 +21,18 @@ def fold_text(col: Column) -> Column:
     return F.regexp_replace(plain, r"\s+", " ")
 
 
+def matches_folded(col: Column, folded: str) -> Column:
+    """``fold_text(col) == folded`` as one regular expression that gives up at the first letter.
+
+    Every letter becomes the class of its accented forms; blanks stand for runs of white space.
+    """
+    accented: dict[str, str] = {}
+    for source, target in zip(ACCENTS_FROM, ACCENTS_TO):
+        accented[target] = accented.get(target, "") + source
+    letters = "".join(r"\s+" if c == " " else f"[{c}{accented[c]}]" if c in accented else re.escape(c) for c in folded)
+    return col.rlike(rf"(?iu)\A *{letters} *\z")
+
+
 def yes_no_flag(col: Column) -> Column:
     """SIM -> true, NAO -> false, anything else -> null, ignoring case."""
     answer = F.upper(col)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faultline.config import SLA, SlaPolicy
-from faultline.functions.text import blank_to_null, fold_text
+from faultline.functions.text import matches_folded
 
 
 @dataclass(frozen=True)
@@ -22,26 +22,18 @@ class Case:
 
 
 def case_ladder(policy: SlaPolicy) -> list[Case]:
+    """Cases in order of precedence; a case whose condition is null does not apply."""
     code = F.col("priority_code")
-    known = code.isin(*policy.limits)
     return [
-        Case("invalid_priority", code.isNull() | ~known, None),
+        Case("invalid_priority", code.isNull() | ~code.isin(*policy.limits), None),
         Case("priority_not_eligible", ~code.isin(*policy.eligible_priorities), False),
-        Case("parent_incident", blank_to_null(F.col("parent_incident_id")).isNotNull(), False),
-        Case("status_without_intervention", fold_text(F.col("status")) == policy.excluded_status, False),
+        Case("parent_incident", F.trim("parent_incident_id") != "", False),
+        Case("status_without_intervention", matches_folded(F.col("status"), policy.excluded_status), False),
         Case("missing_duration", F.col("duration_seconds").isNull(), True),
         Case("eligible", F.lit(True), True),
     ]
 
 
-def first_match(cases: list[Case], attribute: str, dtype: str) -> Column:
-    first, *rest = cases
-    ladder = F.when(first.applies, F.lit(getattr(first, attribute)).cast(dtype))
-    for case in rest:
-        ladder = ladder.when(case.applies, F.lit(getattr(case, attribute)).cast(dtype))
-    return ladder
-
-
 def limit_seconds(policy: SlaPolicy) -> Column:
     pairs = list(policy.limits.items())
     limit = F.when(F.col("priority_code") == pairs[0][0], F.lit(pairs[0][1]))
@@ -54,12 +46,22 @@ def add_limit(df: DataFrame, policy: SlaPolicy = SLA) -> DataFrame:
     return df.withColumns({"kpi_rule_version": F.lit(policy.version), "kpi_limit_seconds": limit_seconds(policy)})
 
 
-def add_eligibility(df: DataFrame, policy: SlaPolicy = SLA) -> DataFrame:
-    return df.withColumn("kpi_eligible_by_rule", first_match(case_ladder(policy), "eligible", "boolean"))
+def add_reason(df: DataFrame, policy: SlaPolicy = SLA) -> DataFrame:
+    first, *rest = case_ladder(policy)
+    ladder = F.when(first.applies, first.reason)
+    for case in rest:
+        ladder = ladder.when(case.applies, case.reason)
+    return df.withColumn("kpi_rule_reason", ladder)
 
 
-def add_reason(df: DataFrame, policy: SlaPolicy = SLA) -> DataFrame:
-    return df.withColumn("kpi_rule_reason", first_match(case_ladder(policy), "reason", "string"))
+def add_eligibility(df: DataFrame, policy: SlaPolicy = SLA) -> DataFrame:
+    """Needs the reason: the ladder's conditions are evaluated once, not once per output."""
+    cases = case_ladder(policy)
+    refused = [case.reason for case in cases if case.eligible is False]
+    accepted = [case.reason for case in cases if case.eligible]
+    reason = F.col("kpi_rule_reason")
+    eligible = F.when(reason.isin(*accepted), True).when(reason.isin(*refused), False)
+    return df.withColumn("kpi_eligible_by_rule", eligible)
 
 
 def add_violation(df: DataFrame) -> DataFrame:
@@ -83,8 +85,8 @@ def audit_sla(df: DataFrame, policy: SlaPolicy = SLA) -> DataFrame:
     """All seven audit columns; running it again on audited rows overwrites them."""
     return (
         df.transform(add_limit, policy)
-        .transform(add_eligibility, policy)
         .transform(add_reason, policy)
+        .transform(add_eligibility, policy)
         .transform(add_violation)
         .transform(add_source_match)
     )

@@ -18,6 +18,9 @@ ADAPTIVE_CONF = {
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Methods above 8 kB of bytecode are never compiled by the JVM: let Spark fall back to
+    # smaller methods before that instead of running the stage interpreted.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
