@@ -16,19 +16,15 @@ from faultline.operators import aggregates, forecast, recommend, risk
 from faultline.session import held
 from faultline.sinks.tables import write_counted
 
-CONCURRENT_WRITES = 4
+CONCURRENT_WRITES = 6
 
 
 def daily_cells_with_p95(valid: DataFrame, accuracy: int = P95_ACCURACY) -> DataFrame:
     return aggregates.daily_cells(valid, extra=[aggregates.p95_duration(accuracy)])
 
 
-def gold_tables(valid: DataFrame, cells: DataFrame, accuracy: int = P95_ACCURACY) -> dict[str, DataFrame]:
-    """Every Gold table; ``cells`` should be a stored or persisted ``daily_cells_with_p95``."""
-    risk_table = risk.risk_summary(cells)
-    annual = aggregates.annual_ola_summary(cells)
-    past = forecast.forecast_history(cells)
-    outlook = forecast.forecast_summary(past)
+def base_tables(valid: DataFrame, cells: DataFrame, accuracy: int = P95_ACCURACY) -> dict[str, DataFrame]:
+    """Tables read from incidents or cells; ``cells`` should be stored or persisted."""
     return {
         "monthly_kpis": aggregates.monthly_kpis(valid, accuracy),
         "priority_summary": aggregates.priority_summary(valid, accuracy),
@@ -36,14 +32,29 @@ def gold_tables(valid: DataFrame, cells: DataFrame, accuracy: int = P95_ACCURACY
         "dashboard_summary": aggregates.dashboard_summary(cells),
         "daily_trends": aggregates.daily_trends_from_cells(cells),
         "operational_kpi_summary": aggregates.operational_kpi_summary(valid, accuracy),
-        "annual_ola_summary": annual,
-        "risk_summary": risk_table,
-        "forecast_history": past,
-        "forecast_summary": outlook,
-        "recommendations": recommend.recommendations(risk_table, annual, outlook, past),
+        "annual_ola_summary": aggregates.annual_ola_summary(cells),
+        "risk_summary": risk.risk_summary(cells),
+        "forecast_history": forecast.forecast_history(cells),
     }
 
 
+def derived_tables(base: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Tables read from other Gold tables only."""
+    outlook = forecast.forecast_summary(base["forecast_history"])
+    advice = recommend.recommendations(
+        base["risk_summary"], base["annual_ola_summary"], outlook, base["forecast_history"]
+    )
+    return {"forecast_summary": outlook, "recommendations": advice}
+
+
+SOURCES_OF_DERIVED = ("risk_summary", "annual_ola_summary", "forecast_history")
+
+
+def gold_tables(valid: DataFrame, cells: DataFrame, accuracy: int = P95_ACCURACY) -> dict[str, DataFrame]:
+    base = base_tables(valid, cells, accuracy)
+    return base | derived_tables(base)
+
+
 def run_together(jobs: dict, workers: int = CONCURRENT_WRITES) -> dict:
     """Run independent actions side by side so small jobs fill idle executors."""
     with ThreadPoolExecutor(workers) as pool:
@@ -52,15 +63,20 @@ def run_together(jobs: dict, workers: int = CONCURRENT_WRITES) -> dict:
 
 
 def write_gold(spark: SparkSession, valid: DataFrame, path: str, accuracy: int = P95_ACCURACY) -> dict[str, int]:
-    """Write the cells, then all tables from them; returns the row count of each table."""
-    cells_path = f"{path}/daily_cells"
-    write_counted(daily_cells_with_p95(valid, accuracy), cells_path)
-    tables = gold_tables(valid, spark.read.parquet(cells_path), accuracy)
+    """Write the cells, the tables from them and the tables from those; row count of each table."""
+
+    def write_all(tables: dict[str, DataFrame]) -> dict[str, int]:
+        def writer(df: DataFrame, target: str):
+            return lambda: write_counted(df, target)["rows"]
+
+        return run_together({name: writer(df, f"{path}/{name}") for name, df in tables.items()})
 
-    def writer(df: DataFrame, target: str):
-        return lambda: write_counted(df, target)["rows"]
+    def stored(name: str) -> DataFrame:
+        return spark.read.parquet(f"{path}/{name}")
 
-    return run_together({name: writer(df, f"{path}/{name}") for name, df in tables.items()})
+    write_counted(daily_cells_with_p95(valid, accuracy), f"{path}/daily_cells")
+    counts = write_all(base_tables(valid, stored("daily_cells"), accuracy))
+    return counts | write_all(derived_tables({name: stored(name) for name in SOURCES_OF_DERIVED}))
 
 
 def count_gold(valid: DataFrame, accuracy: int = P95_ACCURACY) -> dict[str, float]:
@@ -69,6 +85,9 @@ def count_gold(valid: DataFrame, accuracy: int = P95_ACCURACY) -> dict[str, floa
     with held(daily_cells_with_p95(valid, accuracy)) as (cells,):
         cells.count()
         cells_done = time.perf_counter()
-        tables = gold_tables(valid, cells, accuracy)
-        run_together({name: df.count for name, df in tables.items()})
+        base = base_tables(valid, cells, accuracy)
+        with held(*(base[name] for name in SOURCES_OF_DERIVED)) as kept:
+            base |= dict(zip(SOURCES_OF_DERIVED, kept))
+            run_together({name: df.count for name, df in base.items()})
+            run_together({name: df.count for name, df in derived_tables(base).items()})
     return {"gold_cells": cells_done - start, "gold_tables": time.perf_counter() - cells_done}

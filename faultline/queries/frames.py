@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from faultline.operators import aggregates, forecast, recommend, risk
 from faultline.operators.clean import rename_source, strip_blanks, type_columns
 from faultline.operators.quality import only_valid
+from faultline.plans.gold import daily_cells_with_p95
 from faultline.plans.silver import current_records, silver_records
+from faultline.session import new_run_dir
+from faultline.sinks.tables import write_counted
 from faultline.sources.testbed import VERSION_TIEBREAK, incident_versions
 
 # The checked queries compare percentiles with exact SQL ranks, so they ask for a rank error
@@ -76,8 +79,19 @@ def annual(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.annual_ola_summary(valid(spark, sf_dir))
 
 
-def advice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    past = history(spark, sf_dir)
+def stored_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily cells written to the shared folder, for queries that need several tables from them."""
+    folder = new_run_dir(spark, "cells")
+    write_counted(daily_cells_with_p95(valid(spark, sf_dir), CHECK_ACCURACY), folder)
+    return spark.read.parquet(folder)
+
+
+def advice_from(cells: DataFrame) -> DataFrame:
+    past = forecast.forecast_history(cells)
     return recommend.recommendations(
-        risk_table(spark, sf_dir), annual(spark, sf_dir), forecast.forecast_summary(past), past
+        risk.risk_summary(cells), aggregates.annual_ola_summary(cells), forecast.forecast_summary(past), past
     )
+
+
+def advice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return advice_from(stored_cells(spark, sf_dir))

@@ -13,6 +13,8 @@ from faultline.operators import quality, reconcile
 from faultline.queries.frames import current, silver
 from faultline.queries.registry import query
 from faultline.queries.sqlbase import VIEWS
+from faultline.session import new_run_dir
+from faultline.sinks.tables import write_counted
 
 HASH_SQL = "sha256('batch-' || batch_id)"
 VIEWS["v_batch"] = f"""
@@ -147,7 +149,11 @@ def ledger(spark, sf_dir):
         ),
     ]
     with_totals = batches(spark, sf_dir).withColumn("totals", totals)
-    return with_totals.select("batch_id", F.inline(F.array_compact(F.array(*attempts))))
+    rows = with_totals.select("batch_id", F.inline(F.array_compact(F.array(*attempts))))
+    # A ledger is a stored table; the checks read it several times.
+    folder = new_run_dir(spark, "ledger")
+    write_counted(rows, folder)
+    return spark.read.parquet(folder)
 
 
 BATCH_SQL = "layer, batch_id, source_file, file_hash, records_written, records_received, processed_at"

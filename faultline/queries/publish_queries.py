@@ -7,10 +7,10 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faultline.operators import aggregates, contracts
+from faultline.operators import aggregates, contracts, forecast, risk
 from faultline.plans import publish
 from faultline.queries import frames
-from faultline.queries.frames import CHECK_ACCURACY, advice, dashboard, history, outlook, risk_table, trends, valid
+from faultline.queries.frames import CHECK_ACCURACY, advice, history, outlook, risk_table, trends, valid
 from faultline.queries.registry import query
 from faultline.queries.sqlbase import VIEWS
 from faultline.sinks.payloads import in_export_order
@@ -32,13 +32,13 @@ VIEWS["v_trend_payload"] = """
 """
 
 
-def options(spark, sf_dir):
-    return publish.filter_options(dashboard(spark, sf_dir), trends(spark, sf_dir))
+def options_from(cells):
+    return publish.filter_options(aggregates.dashboard_summary(cells), aggregates.daily_trends_from_cells(cells))
 
 
 @query("filter_options", "SELECT * FROM v_options")
 def filter_options(spark, sf_dir):
-    return options(spark, sf_dir).orderBy(*publish.option_order())
+    return options_from(frames.stored_cells(spark, sf_dir)).orderBy(*publish.option_order())
 
 
 @query("export_monthly", "SELECT * FROM v_monthly ORDER BY opened_year, opened_month")
@@ -116,8 +116,12 @@ VIEWS["v_flawed"] = """
 
 
 def flawed_trends(spark, sf_dir) -> DataFrame:
+    return with_flaws(publish.trends_payload(trends(spark, sf_dir)))
+
+
+def with_flaws(payload: DataFrame) -> DataFrame:
     day = F.substring("date", 9, 2)
-    return publish.trends_payload(trends(spark, sf_dir)).withColumns(
+    return payload.withColumns(
         {
             "priority_name": F.when((day == "01") & (F.col("priority_code") == 5), "").otherwise(F.col("priority_name")),
             "priority_code": F.when(day == "02", 0).otherwise(F.col("priority_code")),
@@ -162,12 +166,14 @@ def contract_report(spark, sf_dir):
 
 
 def payload_tables(spark, sf_dir) -> dict[str, DataFrame]:
+    cells = frames.stored_cells(spark, sf_dir)
+    past = forecast.forecast_history(cells)
     return {
-        "filter_options": options(spark, sf_dir),
-        "daily_trends": publish.trends_payload(trends(spark, sf_dir)),
-        "risk_summary": publish.risk_payload(risk_table(spark, sf_dir)),
-        "forecast": publish.forecast_rows_payload(outlook(spark, sf_dir)),
-        "recommendations": publish.recommendations_payload(advice(spark, sf_dir)),
+        "filter_options": options_from(cells),
+        "daily_trends": publish.trends_payload(aggregates.daily_trends_from_cells(cells)),
+        "risk_summary": publish.risk_payload(risk.risk_summary(cells)),
+        "forecast": publish.forecast_rows_payload(forecast.forecast_summary(past)),
+        "recommendations": publish.recommendations_payload(frames.advice_from(cells)),
     }
 
 
@@ -222,21 +228,21 @@ def partition_index(spark, sf_dir):
 )
 def manifest_drift(spark, sf_dir):
     """A recorded table of contents against a later one with other, missing and new entries."""
-    risk = risk_table(spark, sf_dir)
+    ranked = risk_table(spark, sf_dir)
 
     def contents(df):
         return df.groupBy(F.col("dimension_type").alias("name")).agg(F.count("*").alias("item_count"))
 
-    recorded = contents(risk.filter("dimension_type <> 'product'"))
-    later = contents(risk.filter("dimension_type <> 'priority' AND risk_score >= 60"))
+    recorded = contents(ranked.filter("dimension_type <> 'product'"))
+    later = contents(ranked.filter("dimension_type <> 'priority' AND risk_score >= 60"))
     return publish.manifest_drift(recorded, later, ["item_count"])
 
 
 def gate_entries(spark, sf_dir) -> DataFrame:
     """Manifest rows of one clean and one flawed payload, dated by their newest record."""
-    clean = publish.trends_payload(trends(spark, sf_dir))
+    clean = publish.trends_payload(aggregates.daily_trends_from_cells(frames.stored_cells(spark, sf_dir)))
     parts = []
-    for name, df in (("daily_trends", clean), ("flawed_trends", flawed_trends(spark, sf_dir))):
+    for name, df in (("daily_trends", clean), ("flawed_trends", with_flaws(clean))):
         broken = contracts.contract_outcomes(df, "daily_trends").agg(F.sum("violations")).scalar()
         parts.append(
             df.agg(F.max("date").alias("data_generated_at")).select(

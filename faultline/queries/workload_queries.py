@@ -4,11 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from faultline.operators.aggregates import daily_cells
 from faultline.plans import workload
 from faultline.plans.gold import gold_tables
-from faultline.operators import aggregates
-from faultline.queries.frames import CHECK_ACCURACY, valid
+from faultline.queries.frames import CHECK_ACCURACY, silver, stored_cells, valid
 from faultline.queries.ledger_queries import batches
 from faultline.queries.registry import query
 from faultline.queries.sqlbase import VIEWS, rounded
@@ -40,9 +38,7 @@ GOLD_VIEWS = {
     ),
 )
 def output_counts(spark, sf_dir):
-    incidents = valid(spark, sf_dir)
-    cells = daily_cells(incidents, extra=[aggregates.p95_duration(CHECK_ACCURACY)])
-    return workload.output_counts(gold_tables(incidents, cells, CHECK_ACCURACY))
+    return workload.output_counts(gold_tables(valid(spark, sf_dir), stored_cells(spark, sf_dir), CHECK_ACCURACY))
 
 
 VIEWS["v_samples"] = "SELECT priority_name AS profile, CAST(duration_seconds AS DOUBLE) AS v FROM v_silver"
@@ -55,8 +51,6 @@ VIEWS["v_samples"] = "SELECT priority_name AS profile, CAST(duration_seconds AS
         FROM v_samples GROUP BY profile""",
 )
 def bench_summary(spark, sf_dir):
-    from faultline.queries.frames import silver
-
     samples = silver(spark, sf_dir).select(F.col("priority_name").alias("profile"), "duration_seconds")
     return workload.summarize_samples(samples, "profile", "duration_seconds")
 
