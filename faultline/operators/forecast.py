@@ -20,9 +20,13 @@ def in_scope(df: DataFrame, policy: ForecastPolicy = FORECAST) -> DataFrame:
     return df.filter(F.col("priority_code").isin(*policy.priorities) & F.col(day).isNotNull())
 
 
-def newest_day(df: DataFrame, policy: ForecastPolicy = FORECAST) -> Column:
-    day = F.max("date") if are_cells(df) else F.max("opened_at").cast("date")
-    return in_scope(df, policy).agg(day.alias("newest_day")).scalar()
+def first_moment(df: DataFrame, policy: ForecastPolicy = FORECAST) -> Column:
+    """Start of the history window as a bare scalar subquery, the form a file scan can push down."""
+    if are_cells(df):
+        start = F.date_sub(F.max("date"), policy.history_days - 1)
+    else:
+        start = F.date_sub(F.max("opened_at").cast("date"), policy.history_days - 1).cast("timestamp")
+    return in_scope(df, policy).agg(start.alias("first_moment")).scalar()
 
 
 def history_bounds(df: DataFrame, policy: ForecastPolicy = FORECAST) -> DataFrame:
@@ -36,11 +40,9 @@ def history_bounds(df: DataFrame, policy: ForecastPolicy = FORECAST) -> DataFram
 
 def daily_counts(df: DataFrame, policy: ForecastPolicy = FORECAST) -> DataFrame:
     """Incidents per day inside the history window: at most ``history_days`` rows."""
-    first_day = F.date_sub(newest_day(df, policy), policy.history_days - 1)
-    if are_cells(df):
-        window = in_scope(df, policy).filter(F.col("date") >= first_day)
-    else:
-        window = in_scope(df, policy).filter(F.col("opened_at") >= first_day.cast("timestamp"))
+    day = "date" if are_cells(df) else "opened_at"
+    window = in_scope(df, policy).filter(F.col(day) >= first_moment(df, policy))
+    if not are_cells(df):
         window = window.withColumn("date", F.to_date("opened_at"))
     return window.groupBy("date").agg(count_of(df, "total_incidents", "actual_incidents"))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 import hashlib
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -218,3 +219,35 @@ def test_stream_equals_batch_and_replays_nothing(spark, store, tmp_path):
     query.awaitTermination()
     assert query.exception() is None and state(store)["BAD-ID"] == ("INVALID", 5)
     assert store.gold("monthly_kpis").count() == 1
+
+
+def test_rows_without_a_date_live_in_the_null_month(spark, store, tmp_path):
+    landing = tmp_path / "landing"
+    land(landing, "a.csv", [("INC0000001", "1 - A", "soon", "2026-01-05 11:00:00", "1", "T")])
+    incremental.ingest_landing(store, str(landing))
+    incremental.refresh_silver(store)
+    assert [part.key for part in store.slices()] == [(None, None)]
+    assert store.quarantine().first().dq_issues == "invalid_opened_at"
+    land(landing, "b.csv", [("INC0000001", "1 - A", "2026-01-05 10:00:00", "2026-01-06 11:00:00", "1", "T")])
+    incremental.ingest_landing(store, str(landing))
+    incremental.refresh_silver(store)
+    assert state(store) == {"INC0000001": ("VALID", 1)} and store.quarantine().count() == 0
+
+
+def test_stored_records_prune_and_push_down(spark, store, tmp_path):
+    from faultline.operators.forecast import forecast_history
+
+    rows = [(f"INC{n:07d}", "1 - A", f"2026-0{n % 3 + 1}-05 10:00:00", f"2026-0{n % 3 + 1}-06 10:00:00", "5", "T") for n in range(30)]
+    land(tmp_path / "landing", "a.csv", rows)
+    incremental.ingest_landing(store, str(tmp_path / "landing"))
+    incremental.refresh_silver(store)
+    valid = store.valid_records()
+    spark.conf.set("spark.sql.maxMetadataStringLength", "4000")
+    try:
+        plan = forecast_history(valid)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert scans and all("PartitionFilters: [isnotnull(dq_status" in line for line in scans)
+    assert any(re.search(r"DataFilters: .*opened_at#\d+ >= (Reused)?[Ss]ubquery", line) for line in scans)
+    assert "short_description" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
