@@ -10,12 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from faultline.operators import aggregates, contracts
-from faultline.operators.quality import batch_quality
+from faultline.operators.quality import latest_versions
 from faultline.plans import incremental, publish
 from faultline.plans.gold import write_gold
-from faultline.plans.silver import silver_records
 from faultline.plans.store import Store
-from faultline.queries.frames import CHECK_ACCURACY, LINE_KEYS, current, plain_time, raw, silver, trends, valid
+from faultline.queries.frames import CHECK_ACCURACY, current, plain_time, raw, silver, trends, valid
 from faultline.queries.registry import query
 from faultline.queries.silver_queries import KEYS_SQL, with_keys
 from faultline.queries.sqlbase import VIEWS
@@ -326,8 +325,6 @@ def upsert_metrics(spark, sf_dir):
 )
 def merge_inputs(spark, sf_dir):
     """Older state without the rule column, united with new rows that have it."""
-    from faultline.operators.quality import latest_versions
-
     versions = silver(spark, sf_dir)
     older = latest_versions(versions.filter("_batch_id < '1998_01'"), VERSION_TIEBREAK).drop("kpi_rule_version")
     newer = versions.filter("_batch_id >= '1998_01'")

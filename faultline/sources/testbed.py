@@ -13,15 +13,13 @@ from pyspark.sql import functions as F
 # Lineage columns that order versions closed in the same second (fixed by the extract).
 VERSION_TIEBREAK = ("_line_number", "_part_key", "_supplier_key", "_extended_price")
 
-# Catalogue tables with a fixed number of rows; the keyed ones are left to the optimizer,
-# which broadcasts them only while their measured size allows it.
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def incident_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No join hints: the optimizer broadcasts a side only while its measured size allows it."""
     lines = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders")
     parts = table(spark, sf_dir, "part")
