@@ -28,7 +28,7 @@ ORACLES["op8_quality_rules"] = r"""
 WITH texts AS (
   SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text,
     regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
-    list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
   FROM documents),
 placed AS (SELECT rid, unnest(words) AS w1, generate_subscripts(words, 1) AS i FROM texts),
 windows AS (
