@@ -41,14 +41,19 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
-def in_pandas(frame: DataFrame, function: Callable, schema: str) -> DataFrame:
-    """``mapInPandas`` with this package sent to the Python workers once per Spark context."""
-    context = frame.sparkSession.sparkContext
+def send_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per Spark context."""
+    context = spark.sparkContext
     if not getattr(context, "_llm_sent", False):
         package = Path(__file__).resolve().parent.parent
         archive = shutil.make_archive(f"{tempfile.mkdtemp()}/{package.name}", "zip", package.parent, package.name)
         context.addPyFile(archive)
         context._llm_sent = True
+
+
+def in_pandas(frame: DataFrame, function: Callable, schema: str) -> DataFrame:
+    """``mapInPandas`` with this package on the workers."""
+    send_package(frame.sparkSession)
     return frame.mapInPandas(function, schema)
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faultline.llm import ngram_join, quality_rules
+from faultline.llm import mixing, ngram_join, packing, quality_rules, secret_scan, sharding
 from faultline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +18,85 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return function
 
 
+@query
+def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mixture takes of every document, by epoch."""
+    return mixing.mixture(table(spark, sf_dir, "documents"))
+
+
+def _share_out_sql(name: str, source: str, parents: str, level: str, weight: str) -> str:
+    part = f"PARTITION BY {parents}" if parents else ""
+    order = f"{part} ORDER BY CAST(cap AS DOUBLE) / CAST(weight AS DOUBLE), {level}"
+    return f"""
+{name}1 AS (SELECT *, CAST({weight} AS HUGEINT) AS weight FROM {source}),
+{name}2 AS (SELECT *,
+    coalesce(sum(cap) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS used,
+    sum(weight) OVER ({part}) - coalesce(sum(weight) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+      AS heavier,
+    sum(weight) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running
+  FROM {name}1),
+{name}3 AS (SELECT *, CAST(cap AS HUGEINT) * heavier <= (parent_budget - used) * weight AS filled FROM {name}2),
+{name}4 AS (SELECT *, min(CASE WHEN NOT filled THEN used END) OVER ({part}) AS open_used,
+    min(CASE WHEN NOT filled THEN running - weight END) OVER ({part}) AS open_at,
+    max(CASE WHEN NOT filled THEN heavier END) OVER ({part}) AS open_all
+  FROM {name}3),
+{name} AS (SELECT * EXCLUDE (weight, used, heavier, running, filled, open_used, open_at, open_all, parent_budget),
+    CAST(CASE WHEN filled THEN cap ELSE (parent_budget - open_used) * (running - open_at) // open_all
+      - (parent_budget - open_used) * (running - open_at - weight) // open_all END AS HUGEINT) AS budget
+  FROM {name}4)"""
+
+
+ORACLES["op1_mix_sources"] = r"""
+WITH counts AS (
+  SELECT doc_id, coalesce(CASE WHEN source = 'src0' THEN 'web' WHEN regexp_matches(source, '^src[1-9]$') THEN 'books'
+      WHEN regexp_matches(source, '^src[0-9]+$') THEN 'reference' END, '(none)') AS domain,
+    coalesce(lang, '(none)') AS language, coalesce(source, '(none)') AS origin,
+    CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS tokens
+  FROM documents),
+leaves AS (
+  SELECT domain, language, origin, sum(tokens) AS supply, 2 * sum(tokens) AS cap FROM counts WHERE tokens > 0 GROUP BY ALL),
+domain_caps AS (
+  SELECT domain, sum(cap) AS cap, (SELECT sum(supply) FROM leaves) * 7 // 10 AS parent_budget FROM leaves GROUP BY ALL),
+""" + ",".join(
+    [
+        _share_out_sql("domains", "domain_caps", "", "domain",
+                       "CASE domain WHEN 'web' THEN 3 WHEN 'books' THEN 4 WHEN 'reference' THEN 3 ELSE 1 END"),
+        """
+language_caps AS (SELECT l.domain, language, sum(l.cap) AS cap, any_value(d.budget) AS parent_budget
+  FROM leaves l JOIN domains d USING (domain) GROUP BY ALL)""",
+        _share_out_sql("languages", "language_caps", "domain", "language",
+                       "CASE language WHEN 'en' THEN 5 WHEN 'de' THEN 2 WHEN 'fr' THEN 2 WHEN 'es' THEN 2 ELSE 1 END"),
+        """
+leaf_caps AS (SELECT l.*, b.budget AS parent_budget FROM leaves l JOIN languages b USING (domain, language))""",
+        _share_out_sql("budgets", "leaf_caps", "domain, language", "origin", "1"),
+        r"""
+plan AS (SELECT domain, language, origin, CAST(budget // supply AS INT) AS epochs, budget % supply AS rest FROM budgets),
+rows AS (SELECT * FROM counts JOIN plan USING (domain, language, origin) WHERE tokens > 0),
+ordered AS (
+  SELECT *, rest - coalesce(sum(tokens) OVER (PARTITION BY domain, language, origin
+      ORDER BY md5('11|' || epochs || '|' || doc_id), tokens ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS still
+  FROM rows)
+SELECT doc_id, domain, language, origin, tokens, CAST(epoch AS INT) AS epoch, tokens AS taken
+FROM (SELECT *, unnest(range(epochs)) AS epoch FROM rows)
+UNION ALL
+SELECT doc_id, domain, language, origin, tokens, epochs, CAST(least(tokens, still) AS BIGINT) FROM ordered WHERE still > 0
+""",
+    ]
+)
+
+
+@query
+def op3_pack_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bucket, batch and slot of every piece of every document."""
+    return packing.packed(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_shard_hypergeometric(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document."""
+    return sharding.shuffled_shards(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ledger of all documents under the newest policy."""
@@ -53,6 +132,12 @@ SELECT *, 3 AS policy_version, failed_rules & 3 <> 0 AS base_failed, failed_rule
 """
 
 
+@query
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document."""
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document under links of 3-word shingle sets at 0.9."""
