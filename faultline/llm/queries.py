@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from faultline.llm import mixing, ngram_join, packing, quality_rules, secret_scan, sharding
+from faultline.llm import (
+    html_text, mixing, neighbours, ngram_join, packing, quality_rules, resampling, secret_scan, sharding, toxicity,
+)
 from faultline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,12 +88,36 @@ SELECT doc_id, domain, language, origin, tokens, epochs, CAST(least(tokens, stil
 )
 
 
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels outside the held-out fold."""
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op3_pack_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bucket, batch and slot of every piece of every document."""
     return packing.packed(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 largest inner products found for every vector whose id is divisible by 20."""
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+@query
+def op5_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log weight, noisy key and verdict of every document."""
+    return resampling.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The visible text of every page."""
+    return html_text.extracted(table(spark, sf_dir, "pages"))
+
+
 @query
 def op7_shard_hypergeometric(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document."""
