@@ -1,16 +1,15 @@
 """Toxicity by a support vector machine with a gapped subsequence string kernel.
 
-A labelled text is a bag of sentences and a sentence a bag of spans: its words, the same without
-the marks inside them, windows over very long words, and runs of single characters joined into one
-word.  Two spans are compared by the
+A labelled text is a bag of sentences and a sentence a bag of spans: its words without marks,
+windows over very long words, and runs of single characters joined into one word.  Two spans are compared by the
 three-character subsequences they share, where a subsequence counts less the more it is stretched;
 so an insult with inserted or left-out characters stays close to its plain form.  Kernel values
 against a few landmark spans give Nyström features, on which a linear machine with squared hinge
 loss is trained.  As only texts are labelled, the spans that make a toxic text toxic are chosen in
 rounds: the best two of each toxic text are positive, the spans of clean texts are negative.
 Seeded misspellings of the positive spans (one character put in, left out or replaced) are positive
-too.  A
-text's score is a logistic function of its best span.
+too.  A text's score is a logistic function of its best
+three spans, where a repeated span counts as often as it occurs.
 
 As the kernel is a product of explicit feature vectors, landmarks and weights fold into one weight
 per subsequence; scoring a span is then a sum over its subsequences divided by its norm, with the
@@ -52,23 +51,25 @@ WINDOW = 24
 CACHE = 400_000
 DOCS_AT_ONCE = 500
 FLAGGED = 0.7
+BEST = 3
 
-_EDGES = ".,;:!?\"'()[]{}<>*#$%&|-_/\\…«»„“”"
-_INNER = str.maketrans("", "", _EDGES + "+=~^@")
-_SPELLED = re.compile(r"(?<!\S)(?:\S[ \t]+){2,}\S(?!\S)")
+_MARKS = str.maketrans("", "", ".,;:!?\"'()[]{}<>*#$%&|-_/\\…«»„“”+=~^@")
+_SPELLED = re.compile(r"(?<!\S)(?:\S[ \t]+){2,}\S(?=[.,;:!?\"')]*(?:\s|$))")
 _PAIRS = [(j, k) for k in range(2, STRETCH + 1) for j in range(1, k)]
 
 
-def spans(text: str | None) -> set[str]:
-    """The distinct spans of all sentences of a text."""
+def spans(text: str | None) -> Counter[str]:
+    """The spans of all sentences of a text and how often each occurs."""
     lowered = (text or "").lower()
-    found = {word.strip(_EDGES) for word in set(lowered.split())}
-    found.update("".join(run.split()).strip(_EDGES) for run in _SPELLED.findall(lowered))
-    found.update([w.translate(_INNER) for w in found if not w.isalnum()])
-    found.discard("")
+    found: Counter[str] = Counter()
+    for word, count in Counter(lowered.split()).items():
+        found[word.translate(_MARKS)] += count
+    found.update("".join(run.split()).translate(_MARKS) for run in _SPELLED.findall(lowered))
+    found.pop("", None)
     for word in [w for w in found if len(w) > WINDOW]:
-        found.discard(word)
-        found.update(word[i : i + WINDOW] for i in range(0, len(word) - WINDOW // 2, WINDOW // 2))
+        count = found.pop(word)
+        for i in range(0, len(word) - WINDOW // 2, WINDOW // 2):
+            found[word[i : i + WINDOW]] += count
     return found
 
 
@@ -141,22 +142,22 @@ def squared_hinge(features: np.ndarray, sign: np.ndarray, weight: np.ndarray, ri
 @dataclass
 class Model:
     """Weight of each subsequence, the machine's offset and the logistic function of a text's best
-    span.  ``neutral`` stands in for the span of a text that has none."""
+    spans.  ``neutral`` stands in for the spans that a text does not have."""
 
     codes: np.ndarray
     weights: np.ndarray
     offset: float
     neutral: float
-    scale: tuple[float, float]
+    scale: np.ndarray
 
     def table(self) -> np.ndarray:
         table = np.zeros(CLASSES**3, dtype=np.float32)
         table[self.codes] = self.weights
         return table
 
-    def of_text(self, best: float) -> float:
-        a, b = self.scale
-        return float(1 / (1 + np.exp(-np.clip(a + b * best, -60, 60))))
+    def of_text(self, best: list[float]) -> float:
+        value = self.scale[0] + float(self.scale[1:] @ best)
+        return float(1 / (1 + np.exp(-np.clip(value, -60, 60))))
 
 
 def span_scores(words: list[str], table: np.ndarray, offset: float) -> np.ndarray:
@@ -169,6 +170,14 @@ def span_scores(words: list[str], table: np.ndarray, offset: float) -> np.ndarra
     return out
 
 
+def best_spans(bag: Counter[str], values: dict[str, float], neutral: float) -> list[float]:
+    """The ``BEST`` largest values of a bag's spans, clipped, each as often as the span occurs."""
+    top: list[float] = []
+    for word in sorted(bag, key=lambda w: -values[w])[:BEST]:
+        top += [values[word]] * bag[word]
+    return np.clip((top + [neutral] * BEST)[:BEST], -1.0, 2.0).tolist()
+
+
 def misspelled(word: str, rng: np.random.Generator) -> str:
     """The word with one inner character put in, left out or replaced."""
     at, kind = int(rng.integers(1, max(2, len(word) - 1))), int(rng.integers(3))
@@ -176,13 +185,13 @@ def misspelled(word: str, rng: np.random.Generator) -> str:
     return word[:at] + (other if kind != 1 else "") + word[at + (kind > 0) :]
 
 
-def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.3) -> np.ndarray:
     x = np.column_stack((np.ones(len(x)), x))
     w = np.zeros(x.shape[1])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        curve = x.T @ (x * (p * (1 - p))[:, None]) + 1e-3 * np.eye(len(w))
-        w += np.linalg.solve(curve, x.T @ (y - p) - 1e-3 * w)
+        curve = x.T @ (x * (p * (1 - p))[:, None]) + ridge * np.eye(len(w))
+        w += np.linalg.solve(curve, x.T @ (y - p) - ridge * w)
     return w
 
 
@@ -232,11 +241,11 @@ def train(texts: list[str], toxic: list[int], seed: int = 3) -> Model | None:
         sign = np.concatenate((np.ones(len(above)), -np.ones(len(negatives))))
         machine = squared_hinge(np.vstack((above, below)), sign, weight)
         folded = (table[1] @ (root @ machine[:-1])).astype(np.float32)
-        model = Model(table[0], folded, float(machine[-1]), float(machine[-1]), (0.0, 1.0))
+        model = Model(table[0], folded, float(machine[-1]), float(machine[-1]), np.zeros(BEST + 1))
         score = dict(zip(words, span_scores(words, model.table(), model.offset).tolist()))
     every = {**dict(zip(clean, span_scores(clean, model.table(), model.offset).tolist())), **score}
-    best = np.array([max((every[w] for w in bag), default=model.neutral) for bag in bags])
-    model.scale = tuple(_logistic(best, is_toxic.astype(float)).tolist())
+    best = np.array([best_spans(bag, every, model.neutral) for bag in bags])
+    model.scale = _logistic(best, is_toxic.astype(float))
     return model
 
 
@@ -268,7 +277,7 @@ def scored(docs: DataFrame, model: Model | None) -> DataFrame:
                     known.clear()
                 new = list(set().union(*bags).difference(known))
                 known.update(zip(new, span_scores(new, table, fitted.offset).tolist()))
-                out += [fitted.of_text(max((known[w] for w in bag), default=fitted.neutral)) for bag in bags]
+                out += [fitted.of_text(best_spans(bag, known, fitted.neutral)) for bag in bags]
             yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64"), "score": out})
 
     return in_pandas(narrow, score, "doc_id long, score double")
