@@ -91,6 +91,7 @@ class SlaPolicy:
     limits: dict[int, int] = field(default_factory=lambda: dict(SLA_LIMIT_SECONDS))
     eligible_priorities: tuple[int, ...] = (1, 2, 3)
     excluded_status: str = "SEM INTERVENCAO"
+    incident_id: str = r"^INC\d{7}$"
 
 
 @dataclass(frozen=True)

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from faultline.config import SLA, SlaPolicy
 
-INCIDENT_ID = r"^INC\d{7}$"
 VALID, INVALID = "VALID", "INVALID"
 
 
@@ -22,7 +21,7 @@ def quality_rules(df: DataFrame, policy: SlaPolicy = SLA) -> dict[str, Column]:
         bad_code = bad_code | (F.col("priority").isNotNull() & code.isNull())
     return {
         "missing_incident_id": F.col("incident_id").isNull(),
-        "invalid_incident_id": ~F.col("incident_id").rlike(INCIDENT_ID),
+        "invalid_incident_id": ~F.col("incident_id").rlike(policy.incident_id),
         "invalid_priority": bad_code,
         "missing_assigned_group": F.col("assigned_group").isNull(),
         "invalid_opened_at": F.col("opened_at").isNull(),

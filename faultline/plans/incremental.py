@@ -24,11 +24,6 @@ class EmptyBatch(RuntimeError):
 
 
 # ---------------------------------------------------------------------------------- bronze
-def same_path(column):
-    """``file:///a`` and ``file:/a`` name the same file."""
-    return F.regexp_replace(column, r"^(\w+):/+", "$1:/")
-
-
 def with_digest(raw: DataFrame) -> DataFrame:
     return raw.withColumn("_row_digest", F.xxhash64(*(F.col(f"`{c}`") for c in RAW_SCHEMA.names)))
 
@@ -66,13 +61,16 @@ def ingest_files(store: Store, files: list) -> None:
     listed = spark.createDataFrame(files)
     raw = add_source_file(read_incident_csv(spark, [file.path for file in files]))
     lineage = listed.select(
-        same_path(F.col("path")).alias("_source_path"),
-        F.col("batch_id").alias("_batch_id"),
+        F.col("source_path").alias("_source_path"),
+        F.col("source_file").alias("_source_file"),
+        F.col("batch_id").alias("_known_batch"),
         F.col("file_hash").alias("_source_hash"),
     )
+    unlisted = F.raise_error(F.concat(F.lit("row of a file that was not listed: "), F.col("_source_path")))
     rows = (
-        raw.withColumn("_source_path", same_path(F.col("_source_path")))
-        .join(lineage, "_source_path")
+        raw.drop("_source_file")
+        .join(lineage, "_source_path", "left")
+        .withColumn("_batch_id", F.coalesce("_known_batch", unlisted.cast("string")))
         .withColumn("_ingested_at", F.current_timestamp())
     )
     counts = write_bronze(store, with_digest(rows))
@@ -90,7 +88,7 @@ def record_failure(store: Store, file, error: Exception) -> None:
         F.lit("FAILED").alias("status"),
         "source_file",
         "file_hash",
-        F.lit(str(error)[:500]).alias("error"),
+        F.lit(str(error)).alias("error"),
         F.current_timestamp().alias("processed_at"),
     )
     store.append("ledger", row)
@@ -259,7 +257,7 @@ def physical_state(store: Store) -> DataFrame:
     spark = store.spark
     done = effective_batches(store.control("ledger")).filter("layer = 'bronze'").select("batch_id")
     stored = store.bronze().groupBy(F.col("_batch_id").alias("batch_id")).agg(F.count("*").alias("n"))
-    bronze = stored.join(done, "batch_id", "full_outer").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+    bronze = stored.join(done, "batch_id", "left_semi").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
     missing = done.join(stored, "batch_id", "left_anti").agg(F.count("*").alias("n"))
     by_status = store.records().agg(
         F.count_if(F.col("dq_status") == "VALID").alias("silver_records"),

@@ -167,9 +167,9 @@ def partition_counts(trends: DataFrame) -> DataFrame:
 
 
 def stored_files(spark: SparkSession, path: str, pattern: str = "*.json") -> DataFrame:
-    """Stored files with size and hash after CRLF -> LF, so both hold on any platform."""
+    """Stored files with size and hash after CRLF and CR -> LF, so both hold on any platform."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
-    text = F.replace(F.decode("content", "UTF-8"), F.lit("\r\n"), F.lit("\n"))
+    text = F.translate(F.replace(F.decode("content", "UTF-8"), F.lit("\r\n"), F.lit("\n")), "\r", "\n")
     return files.load(path).select(
         "path", F.octet_length(text).cast("bigint").alias("size_bytes"), F.sha2(text, 256).alias("sha256")
     )

@@ -22,7 +22,7 @@ from faultline.queries.workload_queries import GOLD_VIEWS
 from faultline.schema import RAW_SCHEMA, SOURCE_COLUMNS
 from faultline.session import new_run_dir
 from faultline.sinks import payloads, tables
-from faultline.sources.incident_csv import READ_OPTIONS, WRITE_OPTIONS, add_lineage, read_incident_csv
+from faultline.sources.incident_csv import READ_OPTIONS, WRITE_OPTIONS, add_lineage, add_source_file, read_incident_csv
 from faultline.sources.landing import landed_files, landing_inventory, pending_files
 from faultline.sources.testbed import VERSION_TIEBREAK
 from faultline.streaming.landing_stream import start_landing_stream
@@ -102,22 +102,45 @@ def lineage(spark, sf_dir):
 
 
 # -------------------------------------------------------------------------------- landing
-@query("pending_files")
+OPENING_MONTHS = "SELECT strftime(opened_at, '%Y_%m') AS batch_month, count(*) AS rows FROM v_typed GROUP BY ALL"
+
+
+def batch_month(path: str):
+    return F.regexp_extract(path, r"batch_month=(\d{4}_\d{2})", 1)
+
+
+@query("pending_files", f"SELECT * FROM ({OPENING_MONTHS}) WHERE batch_month > '1995_12'")
 def files_pending(spark, sf_dir):
-    """Files left after the ledger knows those of the first half of the hash space."""
-    files = landed_files(spark, landing(spark, sf_dir))
-    known = files.filter(F.col("file_hash") < "8").select(
+    """Opening months, with their rows, that are left after the ledger knows those up to 1995."""
+    folder = landing(spark, sf_dir)
+    files = landed_files(spark, folder)
+    known = files.filter(batch_month("path") <= "1995_12").select(
         F.lit("bronze").alias("layer"), F.lit("SUCCESS").alias("status"), "file_hash"
     )
-    return pending_files(files, known).select("source_file", "file_hash", "batch_id", "length")
+    left = pending_files(files, known).select("source_path")
+    rows = add_source_file(read_incident_csv(spark, folder)).join(left, F.col("_source_path") == F.col("source_path"))
+    return rows.groupBy(batch_month("source_path").alias("batch_month")).agg(F.count("*").alias("rows"))
 
 
-@query("landing_inventory")
+@query(
+    "landing_inventory",
+    "SELECT 'READY' AS status, count(DISTINCT strftime(opened_at, '%Y_%m')) AS months, true AS names_complete,"
+    " true AS bytes_complete FROM v_typed",
+)
 def inventory(spark, sf_dir):
-    return landing_inventory(spark, landing(spark, sf_dir))
-
-
-OPENING_MONTHS = "SELECT strftime(opened_at, '%Y_%m') AS batch_month, count(*) AS rows FROM v_typed GROUP BY ALL"
+    folder = landing(spark, sf_dir)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").load(folder)
+    seen = files.agg(
+        F.count_distinct(batch_month("path")).alias("months"),
+        F.count("*").alias("n"),
+        F.sum(F.octet_length("content")).alias("bytes"),
+    )
+    return landing_inventory(spark, folder).select(
+        "status",
+        seen.select("months").scalar().alias("months"),
+        ((F.col("file_count") == seen.select("n").scalar()) & (F.size("file_names") == F.col("file_count"))).alias("names_complete"),
+        (F.col("total_bytes") == seen.select("bytes").scalar()).alias("bytes_complete"),
+    )
 
 
 @query("monthly_batches", OPENING_MONTHS)
@@ -232,9 +255,13 @@ def misplaced_records(spark, sf_dir):
     return stored.agg(wrong.cast("int").alias("misplaced"), F.count("*").alias("records"))
 
 
-@query("manifest")
+@query(
+    "manifest",
+    "SELECT name, 'VALID' AS contract_status, false AS mock, item_count, true AS hash_holds,"
+    " (SELECT strftime(max(date), '%Y-%m-%d') FROM v_trends) AS data_generated_at FROM v_items",
+)
 def manifest(spark, sf_dir):
-    """Stored payloads with sizes and hashes; the generation time is the newest record."""
+    """Stored payloads; physical sizes and hashes differ by run, so they are taken again and compared."""
     from faultline.queries.publish_queries import payload_tables
 
     root, entries = new_run_dir(spark, "publication"), None
@@ -245,6 +272,13 @@ def manifest(spark, sf_dir):
         stored = spark.read.schema(df.schema).json(path)
         broken = contracts.contract_outcomes(stored, name)
         entry = publish.manifest_entry(spark, name, path, stored, broken, newest)
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(path)
+        again = files.agg(
+            F.sha2(F.array_join(F.sort_array(F.collect_list(F.sha2("content", 256))), ""), 256).alias("hash"),
+            F.sum("length").alias("bytes"),
+        )
+        holds = (F.col("sha256") == again.select("hash").scalar()) & (F.col("size_bytes") == again.select("bytes").scalar())
+        entry = entry.select("name", "contract_status", "mock", "item_count", holds.alias("hash_holds"), "data_generated_at")
         entries = entry if entries is None else entries.unionByName(entry)
     return entries
 
@@ -259,11 +293,22 @@ def export_tables(spark, sf_dir):
 
 
 # ----------------------------------------------------------------------------- incremental
-@query("ingest_batch")
+@query(
+    "ingest_batch",
+    f"SELECT 'bronze' AS layer, 'SUCCESS' AS status, batch_month, rows AS records, true AS as_ledger FROM ({OPENING_MONTHS})",
+)
 def ingest_batch(spark, sf_dir):
+    """Ledger of one load by opening month of the batches, against what Bronze holds."""
     store = store_for(spark, "store")
     incremental.ingest_landing(store, landing(spark, sf_dir))
-    return store.control("ledger").select("layer", "status", "batch_id", "source_file", "file_hash", "records_written")
+    held = store.bronze().groupBy(F.col("_batch_id").alias("batch_id")).agg(
+        F.replace(F.substring(F.min("Aberto"), 1, 7), F.lit("-"), F.lit("_")).alias("batch_month"), F.count("*").alias("held")
+    )
+    same = (F.col("records_written") == F.col("held")) & F.col("file_hash").startswith(F.col("batch_id"))
+    return (
+        store.control("ledger").join(held, "batch_id", "full_outer").groupBy("layer", "status", "batch_month")
+        .agg(F.sum("records_written").alias("records"), F.bool_and(same).alias("as_ledger"))
+    )
 
 
 @query("ingest_totals", "SELECT 'bronze' AS layer, 'SUCCESS' AS status, count(*) AS records FROM v_raw")

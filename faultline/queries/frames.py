@@ -12,7 +12,7 @@ from faultline.plans.gold import daily_cells_with_p95
 from faultline.plans.silver import current_records, silver_records
 from faultline.session import new_run_dir
 from faultline.sinks.tables import write_counted
-from faultline.sources.testbed import VERSION_TIEBREAK, incident_versions
+from faultline.sources.testbed import POLICY, VERSION_TIEBREAK, incident_versions
 
 # The checked queries compare percentiles with exact SQL ranks, so they ask for a rank error
 # far below one row at the checked size.
@@ -40,11 +40,11 @@ def typed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver_records(raw(spark, sf_dir))
+    return silver_records(raw(spark, sf_dir), POLICY)
 
 
 def current(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return current_records(raw(spark, sf_dir), VERSION_TIEBREAK)
+    return current_records(raw(spark, sf_dir), VERSION_TIEBREAK, POLICY)
 
 
 def valid(spark: SparkSession, sf_dir: str) -> DataFrame:

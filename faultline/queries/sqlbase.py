@@ -53,7 +53,7 @@ SILVER_TEXT = (
 VIEWS: dict[str, str] = {}
 
 VIEWS["v_raw"] = """
-    SELECT 'INC' || lpad(CAST(o_orderkey AS VARCHAR), 7, '0') AS incident_id,
+    SELECT printf('INC%07d', o_orderkey) AS incident_id,
            o_orderpriority AS priority,
            CASE WHEN l_linenumber = 2 THEN '  ' || p_brand || ' ' ELSE p_brand END AS product,
            p_type AS category,

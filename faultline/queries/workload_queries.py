@@ -95,7 +95,7 @@ VIEWS["v_synthetic"] = f"""
 
 @query(
     "synthetic_incidents",
-    """SELECT 'INC' || lpad(CAST(number AS VARCHAR), 7, '0') AS incident_id,
+    """SELECT printf('INC%07d', number) AS incident_id,
               code || ' - ' || ['Crítica', 'Alta', 'Média', 'Baixa', 'Muito Baixa'][code] AS priority,
               'Produto' || id % 12 AS product, 'Categoria' || id % 18 AS category, 'Subcategoria' || id % 24 AS subcategory,
               'Team' || lpad(CAST(id % 17 + 1 AS VARCHAR), 2, '0') AS assigned_group, 'CI-' || id % 30 AS configuration_item,

@@ -41,6 +41,8 @@ def write_trend_partitions(trends: DataFrame, path: str) -> None:
     Range partitioning on month and day keeps the order across files and cuts a month with a
     large share of the records into several files.
     """
+    undated = F.raise_error(F.lit("trend record without a date"))
+    trends = trends.withColumn("date", F.coalesce("date", undated.cast("date")))
     dated = trends.withColumns({"year": F.year("date"), "month": F.month("date")})
     order = ["year", "month", "date", *(key for key in TREND_KEYS if key != "date")]
     ranged = dated.repartitionByRange(*order).sortWithinPartitions(*order)
@@ -48,15 +50,16 @@ def write_trend_partitions(trends: DataFrame, path: str) -> None:
 
 
 def read_trend_partitions(spark: SparkSession, path: str, schema) -> DataFrame:
-    return spark.read.schema(schema).json(path)
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
 def migrate_trends(spark: SparkSession, legacy: str, schema: str, path: str, multiline: bool = True) -> None:
     """Split documents with a ``records`` list into the monthly folders.
 
+    A malformed document, an unreadable date or a missing one stops the migration.
     ``multiline`` reads one pretty-printed document per file; otherwise one per line.
     """
-    reader = spark.read.schema(f"records array<struct<{schema}>>").option("multiLine", str(multiline).lower())
+    reader = spark.read.schema(f"records array<struct<{schema}>>").option("multiLine", str(multiline).lower()).option("mode", "FAILFAST")
     write_trend_partitions(reader.json(legacy).select(F.inline("records")), path)
 
 

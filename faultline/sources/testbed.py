@@ -10,6 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from faultline.config import SlaPolicy
+
+# Order keys above seven digits make longer ids; they are ids all the same.
+POLICY = SlaPolicy(incident_id=r"^INC\d{7,}$")
+
 # Lineage columns that order versions closed in the same second (fixed by the extract).
 VERSION_TIEBREAK = ("_line_number", "_part_key", "_supplier_key", "_extended_price")
 
@@ -36,7 +41,7 @@ def incident_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     stamp = "yyyy-MM-dd HH:mm:ss"
     shipped = F.date_format("l_shipdate", stamp)
     return joined.select(
-        F.concat(F.lit("INC"), F.lpad(F.col("o_orderkey").cast("string"), 7, "0")).alias("Número"),
+        F.format_string("INC%07d", "o_orderkey").alias("Número"),
         F.col("o_orderpriority").alias("Prioridade"),
         F.when(line == 2, F.concat(F.lit("  "), F.col("p_brand"), F.lit(" ")))
         .otherwise(F.col("p_brand"))

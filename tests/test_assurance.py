@@ -161,11 +161,11 @@ def test_partition_index_and_manifest(spark, trends, tmp_path):
 
 
 def test_line_ends_do_not_change_hashes(spark, tmp_path):
-    for name, text in (("unix", b"a\nb\n"), ("dos", b"a\r\nb\r\n")):
+    for name, text in (("unix", b"a\nb\n"), ("dos", b"a\r\nb\r\n"), ("old", b"a\rb\n")):
         (tmp_path / name).mkdir()
         (tmp_path / name / "x.json").write_bytes(text)
-    rows = [publish.stored_files(spark, str(tmp_path / n)).select("size_bytes", "sha256").first() for n in ("unix", "dos")]
-    assert rows[0] == rows[1] and rows[0].size_bytes == 4
+    rows = [publish.stored_files(spark, str(tmp_path / n)).select("size_bytes", "sha256").first() for n in ("unix", "dos", "old")]
+    assert rows[0] == rows[1] == rows[2] and rows[0].size_bytes == 4
 
 
 def test_empty_forecast_document(spark):
