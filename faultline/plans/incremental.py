@@ -277,16 +277,31 @@ def reconcile(store: Store) -> DataFrame:
     return reconciliation_checks(store.control("ledger"), physical_state(store))
 
 
+def record_checks(store: Store, run_id: str) -> None:
+    """Append the report to the history; a failed check then fails the run."""
+    report = reconcile(store).withColumns({"run_id": F.lit(run_id), "processed_at": F.current_timestamp()})
+    store.append("checks", report)
+    require_pass(store.control("checks").filter(F.col("run_id") == run_id))
+
+
+def orphan_batches(store: Store) -> DataFrame:
+    """Bronze folders of dead jobs: stored batches that the ledger does not know as ingested."""
+    done = effective_batches(store.control("ledger")).filter("layer = 'bronze'").select("batch_id")
+    stored = store.bronze().groupBy(F.col("_batch_id").alias("batch_id")).agg(F.count("*").alias("records"))
+    return stored.join(done, "batch_id", "left_anti")
+
+
 # ------------------------------------------------------------------------------- whole run
 def run_incremental(store: Store, landing: str, policy: SlaPolicy = SLA) -> str:
     """One run over all stages, recorded in the run history even when a stage fails."""
     stages: list[tuple[str, str]] = []
+    run_id = store.new_run()
     started = F.lit(store.spark.sql("SELECT current_timestamp()").first()[0])
     steps = {
         "bronze": lambda: ingest_landing(store, landing),
         "silver": lambda: refresh_silver(store, policy),
         "gold": lambda: refresh_gold(store),
-        "reconciliation": lambda: require_pass(reconcile(store)),
+        "reconciliation": lambda: record_checks(store, run_id),
     }
     status = "FAILED"
     try:
@@ -296,7 +311,7 @@ def run_incremental(store: Store, landing: str, policy: SlaPolicy = SLA) -> str:
             stages[-1] = (name, "SUCCESS")
         status = "SUCCESS"
     finally:
-        record_run(store, landing, status, started, stages)
+        record_run(store, run_id, landing, status, started, stages)
     return status
 
 
@@ -306,12 +321,14 @@ def require_pass(checks: DataFrame) -> None:
         raise RuntimeError(f"reconciliation failed: {', '.join(failed)}")
 
 
-def record_run(store: Store, landing: str, status: str, started, stages: list[tuple[str, str]]) -> None:
+def record_run(
+    store: Store, run_id: str, landing: str, status: str, started, stages: list[tuple[str, str]]
+) -> None:
     spark = store.spark
     snapshot = control_snapshot(store.control("ledger"), landed_files(spark, landing).select("path"))
     done = F.array(*(F.struct(F.lit(n).alias("name"), F.lit(s).alias("status")) for n, s in stages))
     row = snapshot.withColumnRenamed("gold_snapshot_records", "gold_records").select(
-        F.lit(store.new_run()).alias("run_id"),
+        F.lit(run_id).alias("run_id"),
         F.lit(status).alias("status"),
         started.alias("started_at"),
         F.current_timestamp().alias("finished_at"),

@@ -64,6 +64,14 @@ def test_whole_run_twice(spark, store, tmp_path):
     assert [r.status for r in runs] == ["SUCCESS", "SUCCESS"] and runs[0].silver_records == 1
     assert {r.status for r in incremental.reconcile(store).collect()} == {"PASS"}
     assert incremental.stored_gold_tables(store).count() == len(GOLD_TABLES) + 1  # and the cells
+    checks = store.control("checks")
+    assert checks.count() == 22 and checks.select("run_id").distinct().count() == 2
+    assert checks.filter("status <> 'PASS'").count() == 0
+    assert {r.run_id for r in checks.collect()} == {r.run_id for r in store.control("runs").collect()}
+    orphan = store.bronze().limit(1).withColumn("_batch_id", F.lit("dead"))
+    orphan.write.mode("append").partitionBy("_batch_id").parquet(store.path("bronze"))
+    assert [(r.batch_id, r.records) for r in incremental.orphan_batches(store).collect()] == [("dead", 1)]
+    assert incremental.physical_state(store).first().bronze_records == 3
 
 
 def test_corrections_move_between_tables_and_months(spark, store, tmp_path):
