@@ -26,6 +26,7 @@ columns are never read.
 from __future__ import annotations
 
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -41,7 +42,9 @@ MAX_TOXIC = 1500
 MAX_CLEAN = 3000
 MAX_TRAIN_CHARS = 20_000
 LANDMARKS = 240
-NEGATIVES = 40_000
+FREQUENT_NEGATIVES = 20_000
+OTHER_NEGATIVES = 10_000
+AT_ONCE = 4000
 ROUNDS = 3
 MISSPELLINGS = 6
 DECAY = 0.6
@@ -105,8 +108,8 @@ def kernel_rows(words: list[str], others: np.ndarray) -> np.ndarray:
     hit = codes[place] == code
     out = np.zeros((len(words), table.shape[1]))
     owner, place, weight = owner[hit], place[hit], weight[hit]
-    for begin in range(0, len(owner), 200_000):
-        part = slice(begin, begin + 200_000)
+    for begin in range(0, len(owner), 20_000):
+        part = slice(begin, begin + 20_000)
         starts = np.flatnonzero(np.concatenate(([True], owner[part][1:] != owner[part][:-1])))
         out[owner[part][starts]] += np.add.reduceat(table[place[part]] * weight[part, None], starts, axis=0)
     return out / norm[:, None]
@@ -121,6 +124,12 @@ def landmark_table(landmarks: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return codes, table
 
 
+def nystrom(words: list[str], table: tuple[np.ndarray, np.ndarray], root: np.ndarray) -> np.ndarray:
+    """Nystrom features of the words, some at a time."""
+    parts = [kernel_rows(words[i : i + AT_ONCE], table) @ root for i in range(0, len(words), AT_ONCE)]
+    return np.concatenate(parts) if parts else np.empty((0, root.shape[1]))
+
+
 def squared_hinge(features: np.ndarray, sign: np.ndarray, weight: np.ndarray, ridge: float = 1e-4) -> np.ndarray:
     """Weights of the linear machine (the last one is the offset), by Newton steps."""
     x = np.column_stack((features, np.ones(len(features))))
@@ -162,15 +171,15 @@ class Model:
 
 def span_scores(words: list[str], table: np.ndarray, offset: float) -> np.ndarray:
     out = np.empty(len(words))
-    for begin in range(0, len(words), 20_000):
-        part = words[begin : begin + 20_000]
+    for begin in range(0, len(words), AT_ONCE):
+        part = words[begin : begin + AT_ONCE]
         owner, code, weight = subsequences(part)
         norm = np.sqrt(np.bincount(owner, weight**2, len(part)))
         out[begin : begin + len(part)] = np.bincount(owner, table[code] * weight, len(part)) / norm + offset
     return out
 
 
-def best_spans(bag: Counter[str], values: dict[str, float], neutral: float) -> list[float]:
+def best_spans(bag: dict[str, int], values: dict[str, float], neutral: float) -> list[float]:
     """The ``BEST`` largest values of a bag's spans, clipped, each as often as the span occurs."""
     top: list[float] = []
     for word in sorted(bag, key=lambda w: -values[w])[:BEST]:
@@ -198,7 +207,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.3) -> np.ndarray:
 def train(texts: list[str], toxic: list[int], seed: int = 3) -> Model | None:
     """Fit on labelled texts; None without texts of both kinds."""
     rng = np.random.default_rng(seed)
-    bags = [spans(text) for text in texts]
+    bags = [{sys.intern(w): n for w, n in spans(text).items()} for text in texts]
     is_toxic = np.array(toxic) == 1
     bad, good = int(is_toxic.sum()), int((~is_toxic).sum())
     if not bad or not good:
@@ -209,8 +218,10 @@ def train(texts: list[str], toxic: list[int], seed: int = 3) -> Model | None:
     expected = {w: (n + inside[False][w]) * bad / (bad + good) for w, n in inside[True].items()}
     score = {w: (n - expected[w]) / np.sqrt(expected[w]) for w, n in inside[True].items()}
     clean = sorted(inside[False])
-    common = [w for w in clean if inside[False][w] >= 3]
-    negatives = sorted(set(common) | {clean[i] for i in rng.permutation(len(clean))[:NEGATIVES].tolist()})
+    frequent = sorted(clean, key=lambda w: (-inside[False][w], w))
+    others = frequent[FREQUENT_NEGATIVES:]
+    picked = rng.permutation(len(others))[:OTHER_NEGATIVES].tolist()
+    negatives = sorted(frequent[:FREQUENT_NEGATIVES] + [others[i] for i in picked])
     toxic_bags = [sorted(bag) for bag, flag in zip(bags, is_toxic.tolist()) if flag and bag]
     words = sorted(inside[True])
     ranked = sorted(words, key=lambda w: (-score[w], w))
@@ -222,7 +233,7 @@ def train(texts: list[str], toxic: list[int], seed: int = 3) -> Model | None:
     values, vectors = np.linalg.eigh((gram + gram.T) / 2)
     keep = values > 1e-6 * values.max()
     root = vectors[:, keep] / np.sqrt(values[keep])
-    below = kernel_rows(negatives, table) @ root
+    below = nystrom(negatives, table, root)
     often = np.sqrt([inside[False][w] for w in negatives])
     for _ in range(ROUNDS):
         chosen = Counter()
@@ -232,7 +243,7 @@ def train(texts: list[str], toxic: list[int], seed: int = 3) -> Model | None:
         picked = sorted(chosen)
         plain = np.array([chosen[w] for w in picked]) / sum(chosen.values())
         noisy = [misspelled(w, rng) for w in picked for _ in range(MISSPELLINGS) if len(w) > 3]
-        above = kernel_rows(picked + noisy, table) @ root
+        above = nystrom(picked + noisy, table, root)
         weight = np.concatenate((
             plain,
             np.repeat(plain[[len(w) > 3 for w in picked]], MISSPELLINGS) / MISSPELLINGS,
