@@ -3,7 +3,8 @@
 Vectors are scaled by the largest norm and lifted to the unit sphere, so that a larger inner
 product with a query is a smaller distance.  Every hash is one random projection; a block of
 vectors keeps each projection as a sorted array.  A query opens a window around its own value in
-every array and widens all windows step by step (virtual rehashing).  A vector that falls into the
+every array and widens all windows step by step (virtual rehashing); it starts two steps below the
+width at which the query before it ended.  A vector that falls into the
 windows of enough arrays is verified by its exact inner product.  Widening stops when a vector as
 near as the worst of the best ``k`` verified ones would have been found with probability ``sure``,
 or when everything is verified; nothing is capped.
@@ -32,10 +33,10 @@ from faultline.llm.common import in_pandas
 
 PROJECTIONS = 64
 THRESHOLD = 40
-SURE = 0.97
+SURE = 0.9
 WIDEN = 1.3
 FIRST_WINDOW = 0.15
-BLOCK = 16384
+BLOCK = 65536
 QUERY_BLOCK = 1024
 SEED = 5
 
@@ -59,9 +60,10 @@ class CollisionIndex:
         lift = np.sqrt(np.maximum(0.0, 1.0 - (scaled**2).sum(1)))
         self.axes = np.random.default_rng(seed).standard_normal((projections, vectors.shape[1] + 1))
         values = self.axes[:, :-1] @ scaled.T + np.outer(self.axes[:, -1], lift)
-        self.order = np.argsort(values, axis=1).astype(np.int32)
+        self.order = np.argsort(values, axis=1)
         self.values = np.take_along_axis(values, self.order, axis=1)
         self.largest = largest
+        self.first = FIRST_WINDOW
 
     def search(self, query: np.ndarray, own: int, k: int, threshold: int, reach: float) -> tuple[np.ndarray, np.ndarray]:
         """Ids and inner products of the best ``k`` found, best first, ties to the smaller id."""
@@ -72,7 +74,7 @@ class CollisionIndex:
         counts = np.zeros(size, dtype=np.int64)
         seen = self.ids == own
         rows, scores = np.empty(0, np.int64), np.empty(0)
-        half = FIRST_WINDOW
+        half = self.first
         while True:
             fresh = []
             for i, (v, c) in enumerate(zip(self.values, centre)):
@@ -94,6 +96,7 @@ class CollisionIndex:
                 if half >= reach * math.sqrt(max(0.0, 2.0 - 2.0 * cosine)):
                     break
             half *= WIDEN
+        self.first = max(FIRST_WINDOW, half / WIDEN**2)
         return self.ids[rows], scores
 
 
@@ -117,7 +120,7 @@ def _tasks(frames: Iterator[pd.DataFrame], k: int, projections: int, threshold:
         out = []
         if len(ids) and len(queries):
             index = CollisionIndex(ids, vectors, float(part["largest"].iloc[0]), projections, seed)
-            for own, query in zip(queries.tolist(), wanted):
+            for own, query in sorted(zip(queries.tolist(), wanted), key=lambda pair: pair[0]):
                 found, scores = index.search(query, own, k, threshold, reach)
                 out.append(pd.DataFrame({"query_id": own, "vec_id": found, "score": scores}))
         return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
