@@ -8,6 +8,8 @@ the rules keep together with the redaction and the packing program, so there is
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 from pyspark.sql import DataFrame, SparkSession
 
 from faultline.llm import mixing, ngram_join, packing, quality_rules, secret_scan
@@ -15,6 +17,10 @@ from faultline.llm.common import stored, table
 
 ORACLE_SQL = None
 
+# Near copies share 0.8 of their five-word shingles; op10's own 3 words and 0.9 bind op10 only.
+NEAR_WIDTH = 5
+NEAR_THRESHOLD = Fraction(80, 100)
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the newest policy rejects go."""
@@ -24,7 +30,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of the n-gram join stays, the one with the smallest id."""
-    return ngram_join.first_of_each_component(docs).select(*docs.columns)
+    firsts = ngram_join.first_of_each_component(docs, width=NEAR_WIDTH, threshold=NEAR_THRESHOLD)
+    return firsts.select(*docs.columns)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

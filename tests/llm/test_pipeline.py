@@ -11,7 +11,7 @@ from fractions import Fraction
 import corpus_pipeline
 from faultline.llm import mixing, packing
 from tests.llm.test_layout_operators import shared
-from tests.llm.test_ngram_join import expected
+from tests.llm.test_ngram_join import expected, links, smallest_reachable
 from tests.llm.test_quality_rules import measures
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -97,3 +97,29 @@ def test_stages_keep_the_columns_and_take_empty_tables(spark):
             assert result.columns == docs.columns and [t for _, t in result.dtypes] == [t for _, t in docs.dtypes]
         assert stage(spark, docs.limit(0), "").count() == 0
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+def five_word_labels(rows):
+    sets = {}
+    for doc_id, text, *_ in rows:
+        words = (text or "").encode().lower().split()
+        sets[doc_id] = {tuple(words[k : k + 5]) for k in range(len(words) - 4)} or ({tuple(words)} if words else set())
+    ids = sorted(sets)
+    return smallest_reachable(ids, [(a, b) for n, a in enumerate(ids) for b in ids[:n] if links(sets[a], sets[b], Fraction(8, 10))])
+
+
+def test_near_duplicates_take_five_words_and_four_fifths(spark):
+    rng = random.Random(4)
+    rows = []
+    for i in range(0, 90, 3):
+        tokens = [f"w{rng.randrange(5000)}" for _ in range(rng.choice([60, 100, 200]))]
+        edited, cut = list(tokens), len(tokens) * 8 // 100
+        edited[20 : 20 + cut] = [f"x{rng.randrange(5000)}" for _ in range(cut)]
+        scattered = list(tokens)
+        for at in range(3, len(tokens), 12):
+            scattered[at] = "y"
+        rows += [(i + k, " ".join(t), "en", "src0", 1) for k, t in enumerate((tokens, edited, scattered))]
+    label = five_word_labels(rows)
+    assert label != {i: c for i, _, c in expected(rows)}
+    got = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, SCHEMA), "").collect()
+    assert sorted(r.doc_id for r in got) == [i for i in sorted(label) if label[i] == i]
