@@ -131,14 +131,17 @@ def signatures(tokens: np.ndarray, threshold: Fraction = THRESHOLD) -> np.ndarra
     return np.concatenate(out).view(np.int64) if out else np.empty(0, np.int64)
 
 
+def _digest(tokens: np.ndarray) -> tuple[int, int]:
+    low = int(_mix(tokens).sum(dtype=np.uint64).astype(np.int64))
+    return low, int(_mix(tokens ^ np.uint64(0xA5A5A5A55A5A5A5A)).sum(dtype=np.uint64).astype(np.int64))
+
+
 def _digests(frames: Iterator[pd.DataFrame], width: int, threshold: Fraction) -> Iterator[pd.DataFrame]:
     for frame in frames:
         rows = []
         for doc_id, text in zip(frame["doc_id"], frame["text"]):
             tokens = shingle_set(text, width)
-            low = int(_mix(tokens).sum(dtype=np.uint64).astype(np.int64))
-            high = int(_mix(tokens ^ np.uint64(0xA5A5A5A55A5A5A5A)).sum(dtype=np.uint64).astype(np.int64))
-            rows.append((doc_id, len(tokens), low, high, signatures(tokens, threshold)))
+            rows.append((doc_id, len(tokens), *_digest(tokens), signatures(tokens, threshold)))
         yield pd.DataFrame(rows, columns=["doc_id", "n_shingles", "low", "high", "signs"])
 
 
@@ -186,6 +189,9 @@ class _Forest:
         self.names, self.label = np.unique(nodes, return_inverse=True)
         self.links: list[tuple[int, int]] = []
 
+    def link_places(self, i: int, j: int) -> bool:
+        return self.label[i] != self.label[j] and self.link(i, j)
+
     def link(self, i: int, j: int) -> bool:
         a, b = self.label[i], self.label[j]
         if a == b:
@@ -238,8 +244,11 @@ class PrefixTree:
         at = int(differ.argmax()) if n else 0
         return at if n and differ[at] else n
 
-    def partners(self, query: np.ndarray, mine: int, label: np.ndarray, after: int, threshold: Fraction) -> list[int]:
-        """Leaves from ``after`` on, outside component ``mine``, that link with ``query``."""
+    def partners(
+        self, query: np.ndarray, mine: int, label: np.ndarray | None, after: int, threshold: Fraction
+    ) -> list[int]:
+        """Leaves from ``after`` on, outside component ``mine``, that link with ``query``; all of
+        them without ``label``."""
         size = len(query)
         up, down = threshold.numerator, threshold.denominator
         nodes, overlap = np.array([0]), np.array([0])
@@ -249,14 +258,15 @@ class PrefixTree:
             nodes, overlap = nodes[fits], overlap[fits]
             if not len(nodes):
                 break
-            spans = np.stack((self.lo[nodes], self.hi[nodes]), 1).ravel()
-            padded = np.append(label, -1)
-            low = np.minimum.reduceat(padded, spans)[::2]
-            high = np.maximum.reduceat(padded, spans)[::2]
-            other = (low != mine) | (high != mine)
-            nodes, overlap = nodes[other], overlap[other]
-            if not len(nodes):
-                break
+            if label is not None:
+                spans = np.stack((self.lo[nodes], self.hi[nodes]), 1).ravel()
+                padded = np.append(label, -1)
+                low = np.minimum.reduceat(padded, spans)[::2]
+                high = np.maximum.reduceat(padded, spans)[::2]
+                other = (low != mine) | (high != mine)
+                nodes, overlap = nodes[other], overlap[other]
+                if not len(nodes):
+                    break
             lengths = self.offset[nodes + 1] - self.offset[nodes]
             total = int(lengths.sum())
             if total:
@@ -304,6 +314,20 @@ def join_block(nodes: list[int], sets: list[np.ndarray], sides: list[bool], thre
     return forest.links
 
 
+def all_links(sets: list[np.ndarray], walks: list[bool] | None, threshold: Fraction) -> Iterator[tuple[int, list[int]]]:
+    """Every link between different sets, as (place, partner places).  Without ``walks`` each link
+    of the block comes once; with it, each link between a walking and a standing set."""
+    order = sorted(range(len(sets)), key=lambda i: sets[i].astype(">u8").tobytes())
+    leaves = [i for i in order if not (walks and walks[i])]
+    if not leaves:
+        return
+    tree = PrefixTree([sets[i] for i in leaves])
+    for after, i in enumerate([i for i in order if walks[i]] if walks else order[:-1], 1):
+        found = tree.partners(sets[i], -1, None, 0 if walks else after, threshold)
+        if found:
+            yield i, [leaves[leaf] for leaf in found]
+
+
 def _grouped(frames: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[tuple[tuple, pd.DataFrame]]:
     """Groups of a stream sorted by ``keys``; a group may span batches."""
     held: list[pd.DataFrame] = []
@@ -331,23 +355,73 @@ def _join_tasks(frames: Iterator[pd.DataFrame], threshold: Fraction) -> Iterator
     yield pd.DataFrame(links, columns=["a", "b"]).astype("int64")
 
 
+def _full_tasks(frames: Iterator[pd.DataFrame], threshold: Fraction, pairs: bool) -> Iterator[pd.DataFrame]:
+    """All links of the tasks' groups: as pairs of classes (n is 1), or as spanning links (n is
+    null) and one row per class with the documents it links with (b is null)."""
+    out: list[tuple] = []
+    for (_, left, right), part in _grouped(frames, ["group", "left", "right"]):
+        part = part.drop_duplicates(["rep", "low", "high"])
+        walks = None if left == right else (part["block"] == right).tolist()
+        sets = [np.frombuffer(b, np.uint64) for b in part["tokens"]]
+        reps, docs = part["rep"].to_numpy(), part["docs"].to_numpy()
+        keys = list(zip(part["low"].tolist(), part["high"].tolist()))
+        counts = np.zeros(len(sets), np.int64)
+        forest = _Forest(reps)
+        for i, found in all_links(sets, walks, threshold):
+            if pairs:
+                out += [(int(reps[i]), int(reps[j]), 1, *keys[i], *keys[j]) for j in found]
+            else:
+                counts[i] += docs[found].sum()
+                counts[found] += docs[i]
+                for j in found:
+                    forest.link_places(i, j)
+            if len(out) > 20000:
+                yield _full_frame(out)
+                out = []
+        out += [(a, b, None, None, None, None, None) for a, b in forest.links]
+        out += [(int(reps[i]), None, int(counts[i]), *keys[i], None, None) for i in np.flatnonzero(counts).tolist()]
+    yield _full_frame(out)
+
+
+def _full_frame(rows: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=["a", "b", "n", "low", "high", "b_low", "b_high"], dtype=object).astype("Int64")
+
+
 def _token_rows(frames: Iterator[pd.DataFrame], width: int) -> Iterator[pd.DataFrame]:
     for frame in frames:
         frame["tokens"] = [shingle_set(text, width).tobytes() for text in frame["text"]]
         yield frame[["rep", "group", "size", "tokens"]]
 
 
-def group_links(docs: DataFrame, groups: DataFrame, width: int, threshold: Fraction, block: int) -> DataFrame:
-    """Spanning links (a, b) inside the groups (node, component)."""
+def _class_rows(frames: Iterator[pd.DataFrame], width: int) -> Iterator[pd.DataFrame]:
+    """Token rows of the classes; a text of a repeated doc_id meets every class of that doc_id and
+    goes on as its own only."""
+    for frame in frames:
+        sets = [shingle_set(text, width) for text in frame["text"]]
+        own = [_digest(s) == key for s, key in zip(sets, zip(frame["low"], frame["high"]))]
+        frame["tokens"] = [s.tobytes() for s in sets]
+        yield frame.loc[own, ["rep", "group", "size", "tokens", "low", "high", "docs"]]
+
+
+def group_links(
+    docs: DataFrame, groups: DataFrame, width: int, threshold: Fraction, block: int,
+    classes: DataFrame | None = None, pairs: bool = False,
+) -> DataFrame:
+    """Spanning links (a, b) inside the groups (node, component); with ``classes`` all links, as
+    ``_full_tasks`` gives them."""
     sized = groups.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
     members = groups.join(sized, "component").select(
         F.col("node").alias("rep"), F.col("component").alias("group"), "size"
     )
+    keyed = []
+    if classes is not None:
+        keyed = ["low", "high", "docs"]
+        members = members.join(classes.select("rep", *keyed), "rep")
     texts = docs.select(F.col("doc_id").alias("rep"), "text").join(members.hint("shuffle_hash"), "rep")
     rows = in_pandas(
-        texts.select("rep", "group", "size", "text"),
-        lambda frames: _token_rows(frames, width),
-        "rep long, group long, size long, tokens binary",
+        texts.select("rep", "group", "size", *keyed, "text"),
+        lambda frames: (_class_rows if keyed else _token_rows)(frames, width),
+        "rep long, group long, size long, tokens binary" + "".join(f", {name} long" for name in keyed),
     )
     blocks = F.ceil(F.col("size") / F.lit(block)).cast("long")
     dealt = (
@@ -356,18 +430,23 @@ def group_links(docs: DataFrame, groups: DataFrame, width: int, threshold: Fract
         .withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
         .select(
             "rep", "group", "block", F.least("block", "with").alias("left"), F.greatest("block", "with").alias("right"),
-            "tokens",
+            "tokens", *keyed,
         )
     )
     keys = ["group", "left", "right"]
     tasks = dealt.repartition(*keys).sortWithinPartitions(*keys)
+    if keyed:
+        schema = ", ".join(f"{name} long" for name in ("a", "b", "n", "low", "high", "b_low", "b_high"))
+        return in_pandas(tasks, lambda frames: _full_tasks(frames, threshold, pairs), schema)
     return in_pandas(tasks, lambda frames: _join_tasks(frames, threshold), "a long, b long")
 
 
-def ngram_components(
-    docs: DataFrame, width: int = WIDTH, threshold: Fraction = THRESHOLD, block: int = BLOCK
-) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_shingles, component_id (see the module for defined cases)."""
+EQUAL = ["n_shingles", "low", "high"]
+
+
+def _classes(docs: DataFrame, width: int, threshold: Fraction, sizes: bool = False) -> tuple[DataFrame, ...]:
+    """Texts, digests, classes of equal sets (with their documents counted if ``sizes``), edges of
+    documents in several classes, groups."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     digests = stored(
         in_pandas(
@@ -377,30 +456,65 @@ def ngram_components(
         ),
         "digests",
     )
-    equal = ["n_shingles", "low", "high"]
     owned = digests.filter("doc_id IS NOT NULL AND n_shingles > 0")
-    classes = stored(owned.groupBy(*equal).agg(F.min("doc_id").alias("rep")), "classes")
+    counted = owned.select("doc_id", *EQUAL).distinct() if sizes else owned
+    docs_of = [F.count(F.lit(1)).alias("docs")] if sizes else []
+    classes = stored(counted.groupBy(*EQUAL).agg(F.min("doc_id").alias("rep"), *docs_of), "classes")
     # A document with rows of several texts ties their classes together.
-    shared = owned.select("doc_id", *equal).distinct().join(classes, equal).filter("doc_id <> rep")
+    shared = owned.select("doc_id", *EQUAL).distinct().join(classes, EQUAL).filter("doc_id <> rep")
     own = shared.groupBy("doc_id").agg(F.min("rep").alias("rep")).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     firsts = (
-        owned.select(F.col("doc_id").alias("rep"), *equal, "signs")
-        .join(classes, ["rep", *equal], "left_semi")
+        owned.select(F.col("doc_id").alias("rep"), *EQUAL, "signs")
+        .join(classes, ["rep", *EQUAL], "left_semi")
         .select("rep", F.explode("signs").alias("sign"))
     )
-    groups = stored(components(signature_ties(firsts)), "groups")
-    links = group_links(texts, groups, width, threshold, block).union(own)
+    return texts, digests, classes, own, stored(components(signature_ties(firsts)), "groups")
+
+
+def _labelled(digests: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
+    """``digests`` with component and the columns of ``classes``."""
     labels = components(links).select(F.col("node").alias("rep"), "component")
-    named = classes.join(labels, "rep", "left").select(*equal, F.coalesce("component", "rep").alias("component"))
-    return (
-        digests.select("doc_id", *equal)
-        .join(named, equal, "left")
-        .select(
-            "doc_id",
-            "n_shingles",
-            F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"),
-        )
+    named = classes.join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep")).drop("rep")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
+    return digests.drop("signs").join(named, EQUAL, "left").withColumn("component_id", component)
+
+
+def ngram_components(
+    docs: DataFrame, width: int = WIDTH, threshold: Fraction = THRESHOLD, block: int = BLOCK
+) -> DataFrame:
+    """Per row of ``docs``: doc_id, n_shingles, component_id (see the module for defined cases)."""
+    texts, digests, classes, own, groups = _classes(docs, width, threshold)
+    links = group_links(texts, groups, width, threshold, block).union(own)
+    return _labelled(digests, classes, links).select("doc_id", "n_shingles", "component_id")
+
+
+def ngram_links(
+    docs: DataFrame, width: int = WIDTH, threshold: Fraction = THRESHOLD, block: int = BLOCK
+) -> DataFrame:
+    """``ngram_components`` and n_links, the other documents a row's text links with: the copies in
+    its class and the sizes of all classes that link with it.  Every link between different texts
+    is verified.  A document with several texts counts once for each of them."""
+    texts, digests, classes, own, groups = _classes(docs, width, threshold, sizes=True)
+    found = stored(group_links(texts, groups, width, threshold, block, classes), "links")
+    partners = found.filter("b IS NULL").groupBy(F.col("a").alias("rep"), "low", "high").agg(F.sum("n").alias("partners"))
+    counted = classes.join(partners, ["rep", "low", "high"], "left")
+    rows = _labelled(digests, counted, found.filter("b IS NOT NULL").select("a", "b").union(own))
+    n_links = F.when(F.col("doc_id").isNull(), 0).otherwise(
+        F.coalesce(F.col("docs") - 1 + F.coalesce("partners", F.lit(0)), F.lit(0))
     )
+    return rows.select("doc_id", "n_shingles", "component_id", n_links.cast("long").alias("n_links"))
+
+
+def class_pairs(
+    docs: DataFrame, width: int = WIDTH, threshold: Fraction = THRESHOLD, block: int = BLOCK
+) -> tuple[DataFrame, DataFrame]:
+    """All pairs (a, a_low, a_high, b, b_low, b_high) of linking classes, each once, by their
+    representatives and set hashes, and the membership (doc_id, rep, low, high) of the classes."""
+    texts, digests, classes, _, groups = _classes(docs, width, threshold, sizes=True)
+    found = group_links(texts, groups, width, threshold, block, classes, pairs=True)
+    pairs = found.select("a", F.col("low").alias("a_low"), F.col("high").alias("a_high"), "b", "b_low", "b_high")
+    named = digests.filter("doc_id IS NOT NULL").join(classes, EQUAL)
+    return pairs, named.select("doc_id", "rep", "low", "high").distinct()
 
 
 def first_of_each_component(docs: DataFrame, **options) -> DataFrame:

@@ -194,3 +194,18 @@ SELECT t.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, coalesce(least_id
 FROM texts t LEFT JOIN sizes USING (doc_id)
 LEFT JOIN (SELECT a AS doc_id, min(b) AS least_id FROM reach GROUP BY a) USING (doc_id)
 """
+
+
+@query
+def op10_ngram_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The components with every link counted: how many other documents each document links with."""
+    return ngram_join.ngram_links(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op10_ngram_jaccard_links"] = ORACLES["op10_ngram_jaccard_join"].rpartition("SELECT t.doc_id")[0] + r"""
+SELECT t.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, coalesce(least_id, t.doc_id) AS component_id,
+  CAST(coalesce(n_links, 0) AS BIGINT) AS n_links
+FROM texts t LEFT JOIN sizes USING (doc_id)
+LEFT JOIN (SELECT a AS doc_id, min(b) AS least_id FROM reach GROUP BY a) USING (doc_id)
+LEFT JOIN (SELECT a AS doc_id, count(DISTINCT b) AS n_links FROM links GROUP BY a) USING (doc_id)
+"""

@@ -109,6 +109,31 @@ def test_components_against_brute_force(spark, block):
     assert sorted(map(tuple, got)) == expected(rows)
 
 
+@pytest.mark.parametrize("block", [2000, 7])
+def test_every_link_is_counted(spark, block):
+    rows = corpus() + [(1000, corpus()[0][1], "en", "s", 1)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    sets = {doc_id: set(shingle_set(text).tolist()) for doc_id, text, *_ in rows}
+    pairs = {(a, b) for a in sets for b in sets if a != b and links(sets[a], sets[b])}
+    got = ngram_join.ngram_links(docs, block=block).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == expected(rows)
+    assert {r.doc_id: r.n_links for r in got} == {a: sum(x == a for x, _ in pairs) for a in sets}
+    found, members = ngram_join.class_pairs(docs, block=block)
+    rep = {r.doc_id: r.rep for r in members.collect()}
+    got = [(min(r.a, r.b), max(r.a, r.b)) for r in found.collect()]
+    assert len(got) == len(set(got))
+    assert set(got) == {(rep[a], rep[b]) for a, b in pairs if rep[a] < rep[b]}
+
+
+def test_links_of_a_document_with_two_texts(spark):
+    text, other = (" ".join(f"{c}{i}" for i in range(60)) for c in "tu")
+    near = other + " more"
+    rows = [(3, text), (5, text), (5, other), (6, near), (6, near), (None, text)]
+    docs = spark.createDataFrame([(*r, None, None, None) for r in rows], SCHEMA)
+    got = sorted((tuple(r) for r in ngram_join.ngram_links(docs).collect()), key=str)
+    assert got == sorted([(3, 58, 3, 1), (5, 58, 3, 1), (5, 58, 3, 1), (6, 59, 3, 1), (6, 59, 3, 1), (None, 58, None, 0)], key=str)
+
+
 def test_defined_cases(spark):
     text = " ".join(f"t{i}" for i in range(40))
     other = " ".join(f"u{i}" for i in range(40))
