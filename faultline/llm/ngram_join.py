@@ -460,9 +460,10 @@ def _classes(docs: DataFrame, width: int, threshold: Fraction, sizes: bool = Fal
     counted = owned.select("doc_id", *EQUAL).distinct() if sizes else owned
     docs_of = [F.count(F.lit(1)).alias("docs")] if sizes else []
     classes = stored(counted.groupBy(*EQUAL).agg(F.min("doc_id").alias("rep"), *docs_of), "classes")
-    # A document with rows of several texts ties their classes together.
-    shared = owned.select("doc_id", *EQUAL).distinct().join(classes, EQUAL).filter("doc_id <> rep")
-    own = shared.groupBy("doc_id").agg(F.min("rep").alias("rep")).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    # A repeated doc_id ties the classes of all its texts together.
+    repeated = owned.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id")
+    shared = owned.select("doc_id", *EQUAL).join(repeated, "doc_id", "left_semi").distinct().join(classes, EQUAL)
+    own = shared.filter("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct()
     firsts = (
         owned.select(F.col("doc_id").alias("rep"), *EQUAL, "signs")
         .join(classes, ["rep", *EQUAL], "left_semi")
@@ -518,7 +519,12 @@ def class_pairs(
 
 
 def first_of_each_component(docs: DataFrame, **options) -> DataFrame:
-    """The documents whose id is their component's; rows with a null id stay."""
-    found = ngram_components(docs, **options)
+    """The documents whose id is their component's, each of their rows once; rows with a null id
+    stay, equal ones once."""
+    found = stored(ngram_components(docs, **options).select("doc_id", "component_id"), "found")
     others = found.filter("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti")
+    kept = docs.join(others, "doc_id", "left_anti")
+    repeated = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("doc_id IS NOT NULL AND n > 1").select("doc_id")
+    single = kept.filter("doc_id IS NOT NULL").join(repeated, "doc_id", "left_anti")
+    several = kept.join(repeated, "doc_id", "left_semi").union(kept.filter("doc_id IS NULL"))
+    return single.union(several.distinct())

@@ -134,6 +134,21 @@ def test_links_of_a_document_with_two_texts(spark):
     assert got == sorted([(3, 58, 3, 1), (5, 58, 3, 1), (5, 58, 3, 1), (6, 59, 3, 1), (6, 59, 3, 1), (None, 58, None, 0)], key=str)
 
 
+def test_repeated_doc_id_ties_all_its_texts(spark):
+    text, other = (" ".join(f"{c}{i}" for i in range(40)) for c in "tu")
+    rows = [(3, text), (4, other), (5, text), (5, other)]
+    docs = spark.createDataFrame([(*r, None, None, None) for r in rows], SCHEMA)
+    assert {tuple(r) for r in ngram_components(docs).collect()} == {(3, 38, 3), (4, 38, 3), (5, 38, 3)}
+
+
+def test_equal_rows_stay_once(spark):
+    text, other = (" ".join(f"{c}{i}" for i in range(40)) for c in "tu")
+    rows = [(3, text), (3, text), (3, other), (4, text), (None, text), (None, text), (None, other)]
+    docs = spark.createDataFrame([(*r, None, None, None) for r in rows], SCHEMA)
+    got = ngram_join.first_of_each_component(docs).collect()
+    assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted([(3, text), (3, other), (None, text), (None, other)], key=str)
+
+
 def test_defined_cases(spark):
     text = " ".join(f"t{i}" for i in range(40))
     other = " ".join(f"u{i}" for i in range(40))
