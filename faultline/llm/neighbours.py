@@ -33,7 +33,7 @@ from faultline.llm.common import in_pandas
 
 PROJECTIONS = 64
 THRESHOLD = 40
-SURE = 0.9
+SURE = 0.97
 WIDEN = 1.3
 FIRST_WINDOW = 0.15
 BLOCK = 65536
