@@ -255,14 +255,15 @@ def field_differences(expected: DataFrame, actual: DataFrame, keys: list[str], f
 
 
 def manifest_entry(
-    spark: SparkSession, name: str, path: str, items: DataFrame, violations: DataFrame, generated_at: Column
+    spark: SparkSession, name: str, path: str, items: DataFrame, violations: DataFrame, generated_at: Column,
+    position: int | None = None,
 ) -> DataFrame:
-    """Manifest row of one stored payload."""
+    """Manifest row of one stored payload; with ``position`` also its place in the manifest."""
     files = stored_files(spark, path).agg(
         F.coalesce(F.sum("size_bytes"), F.lit(0)).alias("size_bytes"), combined_hash().alias("sha256")
     )
     broken = violations.agg(F.coalesce(F.sum("violations"), F.lit(0)).alias("n")).scalar()
-    return files.select(
+    entry = files.select(
         F.lit(name).alias("name"),
         F.lit(path.rsplit("/", 1)[-1]).alias("path"),
         F.when(broken == 0, "VALID").otherwise("INVALID").alias("contract_status"),
@@ -273,6 +274,7 @@ def manifest_entry(
         "size_bytes",
         "sha256",
     )
+    return entry if position is None else entry.withColumn("position", F.lit(position))
 
 
 def manifest_summary(entries: DataFrame) -> DataFrame:
@@ -290,9 +292,27 @@ MANIFEST_FIELDS = [
 ]
 
 
+SUMMARY_FIELDS = ["status", "files_total", "files_valid", "contains_mock_data"]
+
+
 def manifest_drift(recorded: DataFrame, current: DataFrame, fields: list[str] | None = None) -> DataFrame:
-    """Field differences, missing entries and changed positions between two manifests."""
-    return field_differences(recorded, current, ["name"], fields or MANIFEST_FIELDS)
+    """Field differences, missing entries and changed positions between two manifests.
+
+    Without ``fields`` the summaries are compared too, under a null name, and the positions
+    where either manifest has the column ``position``.
+    """
+    if fields:
+        return field_differences(recorded, current, ["name"], fields)
+    compared = list(MANIFEST_FIELDS)
+    if "position" in recorded.columns or "position" in current.columns:
+        compared.append("position")
+        recorded, current = (
+            df if "position" in df.columns else df.withColumn("position", F.lit(None).cast("int")) for df in (recorded, current)
+        )
+    top = [manifest_summary(df).withColumn("name", F.lit(None).cast("string")) for df in (recorded, current)]
+    return field_differences(recorded, current, ["name"], compared).unionByName(
+        field_differences(*top, ["name"], SUMMARY_FIELDS)
+    )
 
 
 def publication_gate(entries: DataFrame) -> DataFrame:
