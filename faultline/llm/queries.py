@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faultline.llm import (
-    html_text, mixing, neighbours, ngram_join, packing, quality_rules, resampling, secret_scan, sharding, toxicity,
+    html_text, impact_search, line_dedup, mixing, neighbours, ngram_join, packing, part_tries, quality_rules, resampling,
+    secret_scan, sharding, toxicity,
 )
 from faultline.llm.common import table
 
@@ -209,3 +210,109 @@ FROM texts t LEFT JOIN sizes USING (doc_id)
 LEFT JOIN (SELECT a AS doc_id, min(b) AS least_id FROM reach GROUP BY a) USING (doc_id)
 LEFT JOIN (SELECT a AS doc_id, count(DISTINCT b) AS n_links FROM links GROUP BY a) USING (doc_id)
 """
+
+
+@query
+def op11_code_tries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product code and errors of every usable vector."""
+    coded, books = part_tries.compressed(table(spark, sf_dir, "embeddings"))
+    return coded.select("vec_id", "code", "error", "label_error", F.lit(books.digest()).alias("codebooks_sha256"))
+
+
+def _codes_sql(rounds: int) -> str:
+    """Lloyd rounds as one block of common table expressions each."""
+    nearest = """
+distances{r} AS (
+  SELECT vec_id, position, entry, sum((p.x - e.x) * (p.x - e.x)) AS distance
+  FROM parts p JOIN entries{r} e USING (position, place) GROUP BY ALL),
+near{r} AS (
+  SELECT vec_id, position, arg_min(entry, distance * 256 + entry) AS entry, min(distance) AS distance
+  FROM distances{r} GROUP BY ALL)"""
+    moved = """,
+moved{r} AS (
+  SELECT position, entry, place, CAST(floor(CAST(sum(x) AS DOUBLE) / count(*)) AS BIGINT) AS x
+  FROM near{r} JOIN parts USING (vec_id, position) GROUP BY ALL),
+entries{n} AS (
+  SELECT position, entry, place, coalesce(m.x, e.x) AS x
+  FROM entries{r} e LEFT JOIN moved{r} m USING (position, entry, place))"""
+    steps = "".join(nearest.format(r=r) + moved.format(r=r, n=r + 1) + "," for r in range(rounds))
+    return steps + nearest.format(r=rounds)
+
+
+ORACLES["op11_code_tries"] = """
+WITH kept AS (
+  SELECT vec_id, label, embedding FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+whole AS (
+  SELECT vec_id, label, len(embedding) // 4 AS width, unnest(embedding) AS v, generate_subscripts(embedding, 1) - 1 AS i
+  FROM kept),
+parts AS (
+  SELECT vec_id, label, i // width AS position, i % width AS place, CAST(floor(CAST(v AS DOUBLE) * 1024) AS BIGINT) AS x
+  FROM whole),
+seeds AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM kept ORDER BY vec_id LIMIT 256),
+entries0 AS (SELECT position, entry, place, x FROM parts JOIN seeds USING (vec_id)),""" + _codes_sql(part_tries.ROUNDS) + """,
+coded AS (
+  SELECT vec_id, label, string_agg(lpad(lower(to_hex(entry)), 2, '0'), '' ORDER BY position) AS code,
+    CAST(sum(distance) AS BIGINT) AS error
+  FROM near4 JOIN kept USING (vec_id) GROUP BY ALL)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY position, entry, place)) FROM entries4) AS codebooks_sha256
+FROM coded
+"""
+
+
+@query
+def op12_impact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return impact_search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op12_impact_search"] = r"""
+WITH doc_terms AS (
+  SELECT doc_id, len(terms) AS n, unnest(terms) AS term FROM (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents)),
+asked AS (
+  SELECT item_id, term, count(*) AS repeats FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+  GROUP BY ALL),
+totals AS (SELECT count(DISTINCT doc_id) AS docs, count(*) AS length FROM doc_terms),
+counts AS (SELECT doc_id, n, term, count(*) AS tf FROM doc_terms GROUP BY ALL),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM counts, totals GROUP BY term),
+scored AS (
+  SELECT item_id, doc_id,
+    CAST(sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // length)))) AS BIGINT) AS score
+  FROM asked JOIN counts USING (term) JOIN weights USING (term), totals GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0
+QUALIFY rank <= 10
+"""
+
+
+@query
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the lines that ten documents share."""
+    docs = table(spark, sf_dir, "documents")
+    cut = line_dedup.without_lines(docs, line_dedup.line_bitmaps(docs))
+    kept = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
+    return cut.select("document.doc_id", "n_lines", "n_dropped", kept.alias("kept_sha256"))
+
+
+ORACLES["op13_line_dedup"] = r"""
+WITH lines AS (
+  SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS place
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)),
+keyed AS (
+  SELECT *, translate(regexp_replace(regexp_replace(line, '^[ 	-
+]+', ''), '[ 	-
+]+$', ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines),
+common AS (SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(c.key) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (c.key IS NULL), '')) AS kept_sha256
+FROM keyed LEFT JOIN common c USING (key)
+GROUP BY doc_id
+"""
