@@ -126,7 +126,8 @@ def _sums(frames: Iterator[pd.DataFrame], books: Codebooks) -> Iterator[pd.DataF
             np.add.at(sums[position], index, parts * rows_of[:, None])
     for position, count in enumerate(counts):
         used = np.flatnonzero(count)
-        yield pd.DataFrame({"position": position, "entry": used, "rows": count[used], "sums": list(sums[position][used])})
+        totals = pd.Series(list(sums[position][used]), dtype=object)
+        yield pd.DataFrame({"position": position, "entry": used, "rows": count[used], "sums": totals})
 
 
 def distinct_parts(whole: DataFrame, parts: int = PARTS) -> DataFrame:

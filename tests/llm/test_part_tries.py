@@ -87,3 +87,15 @@ def test_few_huge_and_no_vectors(spark):
     coded, books = part_tries.compressed(few.filter("vec_id = 5"))
     assert coded.collect() == [] and coded.columns == ["vec_id", "label", "code", "error", "label_error"]
     assert books.digest() == hashlib.sha256(b"").hexdigest()
+
+
+def test_tasks_without_a_position_give_no_sums():
+    import pandas as pd
+    import pyarrow as pa
+
+    books = part_tries.Codebooks([np.array([[0], [9]])] * 4)
+    frame = pd.DataFrame({"position": [2], "part": [np.array([8], dtype=np.int32)], "rows": [5]})
+    out = list(part_tries._sums(iter([frame]), books))
+    schema = pa.schema([("position", pa.int32()), ("entry", pa.int32()), ("rows", pa.int64()), ("sums", pa.list_(pa.int64()))])
+    rows = [r for f in out for r in pa.RecordBatch.from_pandas(f, schema, preserve_index=False).to_pylist()]
+    assert rows == [{"position": 2, "entry": 1, "rows": 5, "sums": [40]}]
