@@ -3,14 +3,14 @@
 A document's set holds the 64-bit hashes of its distinct word shingles; the order of the hashes is
 the global order.  Documents with equal sets become one class, and only classes are joined.
 
-*Routing.*  Two sets that link differ in at most ``d`` shingles, where ``d`` follows from the
-threshold and the larger size.  The global order is cut into ``d + 1 + s`` ranges, so a linking
-pair agrees on at least ``s + 1`` of them, and on one with shingles in it as long as one of the two
-sets has at most ``s`` empty ranges.  Sets of about one size use the same cut; each filled range
-of a set gives one signature.  A set with more than ``s`` empty ranges is cut again, under another
-order of the hashes, until it has no more; so a pair meets in the first cut that suits either.
-Sets sharing a signature are tied together, and the connected groups of these ties are joined
-separately.
+*Routing.*  A set of ``n`` shingles shares at least ``needed(n)``, the threshold's share of ``n``,
+with every set it links with.  In the global order, the first ``n - needed(n) + l(n)`` shingles of
+two linking sets therefore share at least ``l`` of the smaller one.  Only these beginnings are
+routed.  The frequency of each of their shingles over all classes is counted; every set then drops
+the most frequent ones, one fewer than any partner must share, so the rarest common shingle of two
+linking sets is kept by both.  Passages and lines that many documents share are what is dropped.
+Sets that keep a common shingle are tied together, and the connected groups of these ties are
+joined separately.
 
 *Prefix trees.*  The sets of a group, in the global order, form a compressed trie.  A set walks all
 branches at once, level by level.  Shared beginnings are intersected once.  A subtree is left when
@@ -28,16 +28,15 @@ are compared by 64-bit hashes, sets by 128 bits.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from fractions import Fraction
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from faultline.llm.common import in_pandas, stored
 from faultline.llm.components import components
@@ -45,8 +44,8 @@ from faultline.llm.components import components
 WIDTH = 3
 THRESHOLD = Fraction(90, 100)
 BLOCK = 2000
-# Upper sizes of the cuts grow by this factor.
-LEVEL_STEP = 1.37
+# Runs above this many rows of one sign are not held to be counted but counted afterwards.
+LONG_RUN = 20_000
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -69,66 +68,26 @@ def shingle_set(text: str | None, width: int = WIDTH) -> np.ndarray:
     return np.unique(mixed)
 
 
-def _most_different(largest: int, threshold: Fraction) -> int:
-    """Most shingles in one of two linking sets only, when neither has more than ``largest``."""
-    return int(2 * largest * (1 - threshold) / (1 + threshold))
+def needed(size: int, threshold: Fraction) -> int:
+    """The least number of shingles that a set of ``size`` shares with a set it links with."""
+    return -(-size * threshold.numerator // threshold.denominator)
 
 
-@lru_cache(maxsize=None)
-def _levels(threshold: Fraction, upto: int) -> tuple[int, ...]:
-    """Upper sizes of the levels; level 0 holds the sets that link with equal sets only."""
-    first = 1
-    while not _most_different(first + 1, threshold):
-        first += 1
-    ends = [first]
-    while ends[-1] < upto:
-        ends.append(max(ends[-1] + 1, int(ends[-1] * LEVEL_STEP)))
-    return tuple(ends)
+def _extra(size: int, threshold: Fraction) -> int:
+    """How many shingles two linking beginnings share, by the smaller set; grows with ``size``."""
+    least = needed(size, threshold)
+    return min(least, max(1, (size - least) // 2))
 
 
-@lru_cache(maxsize=4096)
-def _bounds(parts: int) -> np.ndarray:
-    return np.array([(i << 64) // parts for i in range(1, parts)], dtype=np.uint64)
-
-
-@lru_cache(maxsize=None)
-def _cut(threshold: Fraction, level: int, upto: int) -> tuple[int, int]:
-    """Ranges of a level and how many of them may be empty in a set."""
-    ends = _levels(threshold, upto)
-    differ = _most_different(ends[level], threshold)
-    least = (ends[level - 1] + 1) * threshold.numerator // threshold.denominator
-    slack = 0
-    for _ in range(8):
-        expected = (differ + 1 + slack) * math.exp(-least / (differ + 1 + slack))
-        slack = int(expected + 4 * math.sqrt(expected))
-    return differ + 1 + slack, slack
+def beginning(tokens: np.ndarray, threshold: Fraction = THRESHOLD) -> np.ndarray:
+    """The shingles by which a sorted set is routed."""
+    size = len(tokens)
+    return tokens[: size - needed(size, threshold) + _extra(size, threshold)] if size else tokens
 
 
-def signatures(tokens: np.ndarray, threshold: Fraction = THRESHOLD) -> np.ndarray:
-    """Signatures such that any two different linking sets share at least one."""
-    size = len(tokens)
-    if not size:
-        return np.empty(0, np.int64)
-    largest = size * threshold.denominator // threshold.numerator
-    upto = 1 << max(4, largest.bit_length())
-    ends = _levels(threshold, upto)
-    out: list[np.ndarray] = []
-    for level in range(int(np.searchsorted(ends, size)), int(np.searchsorted(ends, largest)) + 1):
-        if not level:
-            continue
-        parts, slack = _cut(threshold, level, upto)
-        attempt, ordered, empty = 0, tokens, parts
-        while empty > slack:
-            if attempt:
-                ordered = np.sort(_mix(tokens ^ np.uint64(attempt)))
-            cut = np.concatenate(([0], np.searchsorted(ordered, _bounds(parts)), [size]))
-            sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_mix(ordered ^ np.uint64(0x632BE59BD9B4E019)))))
-            filled = cut[1:] > cut[:-1]
-            place = np.arange(parts, dtype=np.uint64) + np.uint64((level << 48) + (attempt << 32))
-            out.append(_mix(sums[cut[1:]] - sums[cut[:-1]] + _mix(place))[filled])
-            empty = parts - int(filled.sum())
-            attempt += 1
-    return np.concatenate(out).view(np.int64) if out else np.empty(0, np.int64)
+def dropped(size: int, threshold: Fraction = THRESHOLD) -> int:
+    """How many of its most frequent routed shingles a set of ``size`` may drop."""
+    return _extra(needed(size, threshold), threshold) - 1
 
 
 def _digest(tokens: np.ndarray) -> tuple[int, int]:
@@ -141,8 +100,9 @@ def _digests(frames: Iterator[pd.DataFrame], width: int, threshold: Fraction) ->
         rows = []
         for doc_id, text in zip(frame["doc_id"], frame["text"]):
             tokens = shingle_set(text, width)
-            rows.append((doc_id, len(tokens), *_digest(tokens), signatures(tokens, threshold)))
-        yield pd.DataFrame(rows, columns=["doc_id", "n_shingles", "low", "high", "signs"])
+            signs = beginning(tokens, threshold).view(np.int64)
+            rows.append((doc_id, len(tokens), *_digest(tokens), dropped(len(tokens), threshold), signs))
+        yield pd.DataFrame(rows, columns=["doc_id", "n_shingles", "low", "high", "drop", "signs"])
 
 
 def _ties(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -170,14 +130,64 @@ def _ties(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"a": [hub], "b": [hub], "sign": [sign], "edge": False})
 
 
+def _sized(frames: Iterator[pd.DataFrame], long_run: int) -> Iterator[pd.DataFrame]:
+    """Rows come sorted by (sign, rep).  Rows of longer runs than one, with the run's length; the
+    length is null for runs that may go on in another task or are too long to hold."""
+    held: pd.DataFrame | None = None
+    first, long_sign = True, None
+    for frame in frames:
+        rows = frame if held is None else pd.concat([held, frame], ignore_index=True)
+        held = None
+        if not len(rows):
+            continue
+        signs = rows["sign"].to_numpy()
+        starts = np.flatnonzero(np.concatenate(([True], signs[1:] != signs[:-1])))
+        sizes = np.diff(np.append(starts, len(rows)))
+        unknown = (np.arange(len(starts)) == 0) & (first | (signs[0] == long_sign))
+        leaves = unknown | (sizes > 1)
+        if sizes[-1] > long_run or signs[-1] == long_sign:
+            unknown[-1], leaves[-1], long_sign = True, True, signs[-1]
+        else:
+            leaves[-1] = False
+            held = rows.iloc[starts[-1] :]
+            first = first and len(starts) == 1
+            long_sign = None
+        if len(starts) > 1 or held is None:
+            first = False
+        known = pd.array(np.repeat(sizes, sizes), dtype="Int64")
+        known[np.repeat(unknown, sizes)] = pd.NA
+        yield rows.assign(size=known)[np.repeat(leaves, sizes)]
+    if held is not None:
+        yield held.assign(size=pd.array([None] * len(held), dtype="Int64"))
+
+
+def _ranged(rows: DataFrame) -> DataFrame:
+    """A frequent sign is spread over tasks, whose rows stay in the order of (sign, rep)."""
+    return rows.repartitionByRange("sign", "rep").sortWithinPartitions("sign", "rep")
+
+
+def rare_signs(signed: DataFrame, long_run: int = LONG_RUN) -> DataFrame:
+    """(rep, sign) without the ``drop`` most frequent signs of every rep and without signs of one rep.
+
+    ``signed`` has rep, sign and drop, each (rep, sign) once.
+    """
+    counted_runs = in_pandas(
+        _ranged(signed), lambda frames: _sized(frames, long_run), "rep long, sign long, drop int, size long"
+    )
+    sized = stored(counted_runs, "sized")
+    opened = sized.filter("size IS NULL").drop("size")
+    totals = opened.groupBy("sign").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    counted = sized.filter("size IS NOT NULL").unionByName(opened.join(totals, "sign"))
+    order = Window.partitionBy("rep").orderBy(F.desc("size"), F.desc("sign"))
+    return counted.withColumn("_place", F.row_number().over(order)).filter("_place > drop").select("rep", "sign")
+
+
 def signature_ties(signed: DataFrame) -> DataFrame:
     """Edges (a, b) that connect all rows (sign, rep) of one sign.
 
-    Range partitioning by sign and rep spreads a frequent sign over tasks; the runs at the ends of
-    the tasks, two rows a task, are connected afterwards.
+    The runs at the ends of the tasks, two rows a task, are connected afterwards.
     """
-    ranged = signed.repartitionByRange("sign", "rep").sortWithinPartitions("sign", "rep")
-    runs = stored(in_pandas(ranged, _ties, "a long, b long, sign long, edge boolean"), "runs")
+    runs = stored(in_pandas(_ranged(signed), _ties, "a long, b long, sign long, edge boolean"), "runs")
     ends = runs.filter(~F.col("edge")).select("sign", "a").distinct()
     hubs = ends.groupBy("sign").agg(F.min("a").alias("b"))
     across = ends.join(hubs, "sign").filter("a <> b").select("a", "b")
@@ -452,7 +462,7 @@ def _classes(docs: DataFrame, width: int, threshold: Fraction, sizes: bool = Fal
         in_pandas(
             texts,
             lambda frames: _digests(frames, width, threshold),
-            "doc_id long, n_shingles long, low long, high long, signs array<long>",
+            "doc_id long, n_shingles long, low long, high long, drop int, signs array<long>",
         ),
         "digests",
     )
@@ -465,11 +475,11 @@ def _classes(docs: DataFrame, width: int, threshold: Fraction, sizes: bool = Fal
     shared = owned.select("doc_id", *EQUAL).join(repeated, "doc_id", "left_semi").distinct().join(classes, EQUAL)
     own = shared.filter("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct()
     firsts = (
-        owned.select(F.col("doc_id").alias("rep"), *EQUAL, "signs")
+        owned.select(F.col("doc_id").alias("rep"), *EQUAL, "drop", "signs")
         .join(classes, ["rep", *EQUAL], "left_semi")
-        .select("rep", F.explode("signs").alias("sign"))
+        .select("rep", F.explode("signs").alias("sign"), "drop")
     )
-    return texts, digests, classes, own, stored(components(signature_ties(firsts)), "groups")
+    return texts, digests, classes, own, stored(components(signature_ties(rare_signs(firsts))), "groups")
 
 
 def _labelled(digests: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
@@ -477,7 +487,7 @@ def _labelled(digests: DataFrame, classes: DataFrame, links: DataFrame) -> DataF
     labels = components(links).select(F.col("node").alias("rep"), "component")
     named = classes.join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep")).drop("rep")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    return digests.drop("signs").join(named, EQUAL, "left").withColumn("component_id", component)
+    return digests.drop("signs", "drop").join(named, EQUAL, "left").withColumn("component_id", component)
 
 
 def ngram_components(

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 from fractions import Fraction
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from faultline.llm import ngram_join
 from faultline.llm.components import components
-from faultline.llm.ngram_join import THRESHOLD, join_block, ngram_components, shingle_set, signatures
+from faultline.llm.ngram_join import THRESHOLD, beginning, dropped, join_block, ngram_components, shingle_set
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -34,19 +36,62 @@ def smallest_reachable(ids, linked):
     return label
 
 
-def test_linking_sets_share_a_signature():
+@pytest.mark.parametrize("threshold", [Fraction(9, 10), Fraction(8, 10), Fraction(1, 2), Fraction(1)])
+def test_linking_sets_keep_a_common_sign(threshold):
+    """Whatever the frequencies are, after both sets dropped their most frequent routed shingles."""
     rng = np.random.default_rng(1)
-    for size in [*range(8, 70), 150, 400, 2000, 9000]:
+    up, down = threshold.numerator, threshold.denominator
+    for size in [*range(1, 70), 150, 400, 2000]:
         for _ in range(40 if size < 200 else 6):
-            x = np.unique(rng.integers(0, 2**64, size, dtype=np.uint64))
-            keep = int(rng.integers(-(-9 * size // 10), size + 1))
-            add = 0
-            while 10 * keep >= 9 * (size + add + 1) and rng.random() < 0.95:
+            pool = np.unique(rng.integers(0, 2**64, 3 * size + 9, dtype=np.uint64))
+            frequency = dict(zip(pool.tolist(), rng.integers(1, 6, len(pool)).tolist()))
+            x = np.sort(rng.choice(pool, size, replace=False))
+            keep = int(rng.integers(-(-up * size // down), size + 1))
+            add, rest = 0, np.setdiff1d(pool, x)
+            while keep * down >= up * (size + add + 1) and rng.random() < 0.95:
                 add += 1
-            y = np.unique(np.concatenate((rng.choice(x, keep, replace=False), rng.integers(0, 2**64, add, dtype=np.uint64))))
-            assert links(x.tolist(), y.tolist())
-            if len(x) != len(y) or (x != y).any():
-                assert set(signatures(x).tolist()) & set(signatures(y).tolist()), (size, keep, add)
+            y = np.sort(np.concatenate((rng.choice(x, keep, replace=False), rng.choice(rest, add, replace=False))))
+            assert links(x.tolist(), y.tolist(), threshold)
+            kept = []
+            for tokens in (x, y):
+                routed = sorted(beginning(tokens, threshold).tolist(), key=lambda t: (frequency[t], np.uint64(t).view(np.int64)))
+                kept.append(set(routed[: len(routed) - dropped(len(tokens), threshold)]))
+            assert kept[0] & kept[1], (size, keep, add)
+
+
+@pytest.mark.parametrize("long_run", [20_000, 30])
+def test_rare_signs_equal_a_plain_count(spark, long_run):
+    rng = random.Random(long_run)
+    rows = {(rep, sign) for rep in range(900) for sign in rng.choices([0, 1, 2, *range(-400, 400)], [300, 90, 9, *[1] * 800], k=6)}
+    drop = {rep: rng.randint(0, 3) for rep in range(900)}
+    frame = spark.createDataFrame([(r, s, drop[r]) for r, s in rows], "rep long, sign long, drop int").repartition(7)
+    frequency = Counter(s for _, s in rows)
+    expected = set()
+    for rep in range(900):
+        own = sorted((frequency[s], s) for r, s in rows if r == rep)
+        expected |= {(rep, s) for n, s in own[: max(0, len(own) - drop[rep])] if n > 1}
+    got = ngram_join.rare_signs(frame, long_run).collect()
+    assert len(got) == len(expected) and {(r.rep, r.sign) for r in got} == expected
+
+
+@pytest.mark.parametrize("long_run", [20_000, 3, 1])
+def test_run_lengths_across_batches(long_run):
+    rng = random.Random(long_run)
+    for _ in range(200):
+        sizes = [rng.choice([1, 1, 2, 3, 9]) for _ in range(rng.randint(1, 12))]
+        rows = [(rep, sign, 0) for sign, size in enumerate(sizes) for rep in range(size)]
+        cuts = sorted(rng.sample(range(len(rows) + 1), min(len(rows), rng.randint(0, 5))))
+        frame = pd.DataFrame(rows, columns=["rep", "sign", "drop"])
+        parts = [frame.iloc[a:b] for a, b in zip([0, *cuts], [*cuts, len(rows)])]
+        out = pd.concat(list(ngram_join._sized(iter(parts), long_run)))
+        open_signs = set(out[out["size"].isna()]["sign"])
+        for sign, part in out.groupby("sign"):
+            assert len(part) == sizes[sign] and part["rep"].is_unique
+            assert sign in open_signs or set(part["size"]) == {sizes[sign]}
+            assert (sign in open_signs) == part["size"].isna().all()
+        inner = set(range(1, len(sizes) - 1))
+        assert {s for s in inner if sizes[s] > 1} <= set(out["sign"]) and {0, len(sizes) - 1} <= open_signs
+        assert long_run < 20_000 or open_signs == {0, len(sizes) - 1}
 
 
 @pytest.mark.parametrize("two_blocks", [False, True])
