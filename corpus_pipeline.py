@@ -11,6 +11,7 @@ from __future__ import annotations
 from fractions import Fraction
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from faultline.llm import mixing, ngram_join, packing, quality_rules, secret_scan
 from faultline.llm.common import stored, table
@@ -23,9 +24,10 @@ NEAR_THRESHOLD = Fraction(80, 100)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the newest policy rejects go."""
-    judged = quality_rules.apply_policy(quality_rules.with_ledger(docs))
-    return judged.filter("kept").select(*docs.columns)
+    """Documents that the newest policy rejects go; a document's own columns stay, whatever their names."""
+    carried = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document"), "text")
+    judged = quality_rules.apply_policy(quality_rules.with_ledger(carried))
+    return judged.filter("kept").select("document.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
