@@ -5,11 +5,14 @@ A tokenizer cuts the page into tags and text; a tree builder adds the tags that
 display:none elements, comments) are left out; a renderer writes all visible text: blocks on lines
 of their own, one blank line between paragraphs and headings, list items with markers and indents,
 table rows as lines whose cells are padded to the widest cell of their column, preformatted text as
-it stands.
+it stands.  Cells that span columns or rows keep the cells beside and below them in their columns.
 
 Defined cases: null html gives null text, empty html the empty text; unclosed or stray tags, cut
-entities and a tag cut at the end of the page are tolerated; rows with one id are separate rows;
-other columns are ignored.  Nesting beyond ``MAX_DEPTH`` is flattened, its text is kept.
+entities and a tag cut at the end of the page are tolerated; a quote opens a value only behind ``=``
+and only if the page closes it, else it is an ordinary character; numbers in attributes that are no
+numbers or longer than nine digits count as absent, spans are bounded as HTML bounds them (1,000
+columns, the rows of their group); rows with one id are separate rows; other columns are ignored.
+Nesting beyond ``MAX_DEPTH`` is flattened, its text is kept.
 """
 
 from __future__ import annotations
@@ -24,6 +27,8 @@ from pyspark.sql import DataFrame
 from faultline.llm.common import in_pandas
 
 MAX_DEPTH = 200
+# Fixed value: the widest column span of HTML.
+MAX_COLSPAN = 1000
 
 # Element names and their roles in HTML.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
@@ -50,14 +55,20 @@ CLOSES = {
 P_ENDS = BLOCK - {"html", "body", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "option", "legend"}
 
 _TOKEN = re.compile(
-    r"<!--(?P<comment>.*?)(?:-->|$)|<(?P<other>[!?][^>]*)(?:>|$)"
-    r"|</(?P<end>[a-zA-Z][^\s/>]*)[^>]*(?:>|$)"
-    r"|<(?P<start>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?:>|$)"
+    r"<!--(?:-?>|(?P<comment>.*?)(?:--!?>|\Z))|<(?P<other>[!?][^>]*)(?:>|\Z)"
+    r"|</(?P<end>[a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)"
+    r"|<(?P<start>[a-zA-Z][^\s/>]*)"
     r"|(?P<text>[^<]+|<)",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s\"'=<>`]+)))?")
+# One attribute: blanks and slashes, a name (a first = belongs to it), perhaps a value.
+_ATTRIBUTE = re.compile(
+    r"[\s/]*(?P<name>[^\s/>][^\s/>=]*)(?:\s*=\s*(?:\"(?P<two>[^\"]*)\"|'(?P<one>[^']*)'|(?P<bare>[^\s>]+)|(?=>|\Z)))?", re.S
+)
+_TAG_END = re.compile(r"[\s/]*(?:>|\Z)")
+_NUMBER = re.compile(r"\s*([+-]?[0-9]{1,9})(?![0-9])")
 _NO_DISPLAY = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
+_RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I) for tag in RAW}
 _BLANK = re.compile(r"[ \t\n\r\f]+")
 
 
@@ -68,10 +79,44 @@ class Node:
         self.tag, self.attrs, self.parts = tag, attrs, []
 
 
-def _attributes(text: str) -> dict[str, str]:
-    return {
-        m[1].lower(): html.unescape(next((g for g in m.groups()[1:] if g is not None), "")) for m in _ATTRIBUTE.finditer(text)
-    }
+def _number(attrs: dict[str, str], name: str) -> int | None:
+    found = _NUMBER.match(attrs.get(name, ""))
+    return int(found[1]) if found else None
+
+
+def _start_tag(page: str, at: int) -> tuple[dict[str, str], bool, int]:
+    """The attributes behind a tag name (the first of equal names counts), whether the tag closes
+    itself, and where it ends."""
+    attrs: dict[str, str] = {}
+    while True:
+        end = _TAG_END.match(page, at)
+        if end:
+            return attrs, end[0].endswith("/>"), end.end()
+        found = _ATTRIBUTE.match(page, at)
+        value = next((v for v in (found["two"], found["one"], found["bare"]) if v is not None), "")
+        attrs.setdefault(found["name"].lower(), html.unescape(value))
+        at = found.end()
+
+
+def tokens(page: str) -> Iterator[tuple]:
+    """("text", text), ("start", tag, attributes, closes itself, raw content or None) and ("end", tag)."""
+    at, size = 0, len(page)
+    while at < size:
+        token = _TOKEN.match(page, at)
+        at = token.end()
+        if token["text"] is not None:
+            yield "text", html.unescape(token["text"])
+        elif token["end"] is not None:
+            yield "end", token["end"].lower()
+        elif token["start"] is not None:
+            tag = token["start"].lower()
+            attrs, closed, at = _start_tag(page, at)
+            raw = None
+            if tag in RAW:
+                end = _RAW_END[tag].search(page, at)
+                raw = page[at : end.start() if end else size]
+                at = end.end() if end else size
+            yield "start", tag, attrs, closed, raw
 
 
 def tree(page: str) -> Node:
@@ -89,29 +134,22 @@ def tree(page: str) -> Node:
                 del open_[open_.index(rest[0]) if rest else place :]
                 return
 
-    at, size = 0, len(page)
-    while at < size:
-        token = _TOKEN.match(page, at)
-        at = token.end()
-        if token["text"] is not None:
-            open_[-1].parts.append(html.unescape(token["text"]))
-        elif token["start"] is not None:
-            tag = token["start"].lower()
+    for kind, tag, *rest in tokens(page):
+        if kind == "text":
+            open_[-1].parts.append(tag)
+        elif kind == "start":
+            attrs, closed, raw = rest
             if tag in P_ENDS:
                 close({"p"}, {"table", "td", "th", "caption", "button", "object"})
             if tag in CLOSES:
                 close(*CLOSES[tag])
-            node = Node(tag, _attributes(token["attrs"]))
+            node = Node(tag, attrs)
             open_[-1].parts.append(node)
-            if tag in RAW:
-                end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I).search(page, at)
-                content = page[at : end.start() if end else size]
-                node.parts.append(html.unescape(content) if tag in ("title", "textarea") else content)
-                at = end.end() if end else size
-            elif tag not in VOID and not token["attrs"].rstrip().endswith("/") and len(open_) < MAX_DEPTH:
+            if raw is not None:
+                node.parts.append(html.unescape(raw) if tag in ("title", "textarea") else raw)
+            elif tag not in VOID and not closed and len(open_) < MAX_DEPTH:
                 open_.append(node)
-        elif token["end"] is not None:
-            tag = token["end"].lower()
+        else:
             if tag == "br":
                 open_[-1].parts.append(Node("br", {}))
                 continue
@@ -169,46 +207,96 @@ def _indented(lines: list[str], first: str) -> list[str]:
     return [(first if i == 0 else rest if line else "") + line for i, line in enumerate(lines)]
 
 
-def _table(node: Node) -> list[str]:
-    rows: list[list[list[str]]] = []
+def _table_rows(node: Node) -> tuple[list[list[tuple[int, int, list[str]]]], list[int], list[str]]:
+    """Rows of (columns, rows, lines) per cell, the end of each row's group, and loose texts."""
+    rows: list[list[tuple[int, int, list[str]]]] = []
+    group_ends: list[int] = []
     captions: list[str] = []
 
+    def end_group() -> None:
+        group_ends.extend([len(rows)] * (len(rows) - len(group_ends)))
+
     def walk(part: Node) -> None:
-        cells = None
+        loose = False
         for child in part.parts:
             if isinstance(child, str):
                 if child.strip():
                     captions.append(_BLANK.sub(" ", child).strip())
+            elif hidden(child):
                 continue
-            if hidden(child):
-                continue
-            if child.tag == "tr":
+            elif child.tag == "tr":
                 rows.append([])
                 walk(child)
+                loose = False
             elif child.tag in ("td", "th"):
-                if part.tag != "tr" and cells is None:
+                if part.tag != "tr" and not loose:
                     rows.append([])
-                cells = rows[-1]
-                cells.append(_block(child))
-                span = child.attrs.get("colspan", "1")
-                cells += [[] for _ in range(min(int(span), 50) - 1 if span.isdecimal() else 0)]
+                    loose = True
+                across, down = _number(child.attrs, "colspan"), _number(child.attrs, "rowspan")
+                across = min(across, MAX_COLSPAN) if across and across > 0 else 1
+                down = 1 if down is None or down < 0 else down
+                rows[-1].append((across, down, _block(child)))
             elif child.tag in ("tbody", "thead", "tfoot", "colgroup"):
+                end_group()
                 walk(child)
+                end_group()
+                loose = False
             else:
                 captions.extend(_block(child))
 
     walk(node)
-    widths: list[int] = []
-    for row in rows:
-        for i, cell in enumerate(row):
-            if i == len(widths):
-                widths.append(0)
-            widths[i] = max(widths[i], max(map(len, cell), default=0))
+    end_group()
+    return rows, group_ends, captions
+
+
+def _placed(rows: list[list[tuple[int, int, list[str]]]], group_ends: list[int]) -> list[list[tuple[int, list[str]]]]:
+    """Rows of (column, lines).  Columns that cells of earlier rows still cover are skipped; they are
+    kept as spans (from, to, last row), neighbours with one last row as one span."""
+    covered: list[tuple[int, int, int]] = []
+    placed = []
+    for number, row in enumerate(rows):
+        covered = [span for span in covered if span[2] > number]
+        found, spans, column, at = [], [], 0, 0
+        for across, down, lines in row:
+            while at < len(covered) and covered[at][0] < column + 1:
+                column = max(column, covered[at][1])
+                at += 1
+            found.append((column, lines))
+            end = min(number + down, group_ends[number]) if down else group_ends[number]
+            if end > number + 1:
+                spans.append((column, column + across, end))
+            column += across
+        placed.append(found)
+        merged: list[tuple[int, int, int]] = []
+        for span in sorted(covered + spans) if spans else covered:
+            if merged and merged[-1][2] == span[2] and merged[-1][1] >= span[0]:
+                merged[-1] = (merged[-1][0], max(merged[-1][1], span[1]), span[2])
+            else:
+                merged.append(span)
+        covered = merged
+    return placed
+
+
+def _table(node: Node) -> list[str]:
+    rows, group_ends, captions = _table_rows(node)
+    placed = _placed(rows, group_ends)
+    widths: dict[int, int] = {}
+    for row in placed:
+        for column, cell in row:
+            widths[column] = max(widths.get(column, 0), max(map(len, cell), default=0))
+    # Only columns in which some cell begins take room.
+    left, room = 0, {}
+    for column in sorted(widths):
+        room[column] = left
+        left += widths[column] + 2
     lines = list(captions)
-    for row in rows:
-        for k in range(max((len(cell) for cell in row), default=0)):
-            cells = [(cell[k] if k < len(cell) else "").ljust(widths[i]) for i, cell in enumerate(row)]
-            lines.append("  ".join(cells).rstrip())
+    for row in placed:
+        for k in range(max((len(cell) for _, cell in row), default=0)):
+            line = ""
+            for column, cell in row:
+                if k < len(cell):
+                    line = line.ljust(room[column]) + cell[k]
+            lines.append(line.rstrip())
     return lines
 
 
@@ -220,7 +308,12 @@ def _block(node: Node) -> list[str]:
 
 
 def _write(node: Node, lines: _Lines) -> None:
-    number = int(node.attrs["start"]) if node.attrs.get("start", "").lstrip("-").isdecimal() else 1
+    number, step = _number(node.attrs, "start"), 1
+    if node.tag == "ol" and "reversed" in node.attrs:
+        step = -1
+        if number is None:
+            number = sum(isinstance(part, Node) and part.tag == "li" and not hidden(part) for part in node.parts)
+    number = 1 if number is None else number
     for part in node.parts:
         if isinstance(part, str):
             lines.text(part)
@@ -251,8 +344,10 @@ def _write(node: Node, lines: _Lines) -> None:
         elif tag == "li":
             lines.end()
             content = _block(part)
+            own = _number(part.attrs, "value")
+            number = number if own is None else own
             marker = f"{number}. " if node.tag == "ol" else "- "
-            number += 1
+            number += step
             if content:
                 lines.put(_indented(content, marker))
         elif tag in ("dd", "blockquote"):

@@ -123,3 +123,17 @@ def test_near_duplicates_take_five_words_and_four_fifths(spark):
     assert label != {i: c for i, _, c in expected(rows)}
     got = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, SCHEMA), "").collect()
     assert sorted(r.doc_id for r in got) == [i for i in sorted(label) if label[i] == i]
+
+
+def test_stages_keep_columns_named_like_their_own(spark):
+    """A document's own columns come through every stage unchanged, whatever they are called."""
+    names = ["n_words", "kept", "base_failed", "failed_rules", "rep", "sign", "component", "low", "tokens", "document", "size", "_doc"]
+    docs = spark.createDataFrame(fixture(), SCHEMA)
+    for name in names:
+        docs = docs.withColumn(name, docs["doc_id"] * 10 + 7)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        result = stage(spark, docs, "")
+        assert result.columns == docs.columns
+        rows = result.collect()
+        assert rows and all(row[name] == row["doc_id"] * 10 + 7 for row in rows for name in names)
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, "").count() > 0

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 
 import pytest
 
@@ -94,3 +95,15 @@ def test_redaction_keeps_the_rest():
     text = "é AKIA" + "C" * 16 + " and token='abcdef1' end"
     assert s.redacted(text) == "é [secret] and [secret]' end"
     assert s.redacted("nothing") == "nothing" and s.redacted(None) is None
+
+
+@pytest.mark.parametrize("piece", ["token=abcdefgh é ", "password: x1y2z3w4;AKIA" + "Q" * 16 + " ", "0123456789abcdef01234567 ", "secret=ab "])
+def test_time_grows_with_the_text(piece):
+    """50,000 secrets or more take their share of time, not the square."""
+    text = piece * max(50_000, 1_000_000 // len(piece))
+    assert [span for span in s.spans_of(text[:20_000]) if span[0] in s.BASE_KINDS] == base_spans(text[:20_000])
+    start = time.process_time()
+    found = s.spans_of(text)
+    seconds = time.process_time() - start
+    assert [span for span in found if span[0] in s.BASE_KINDS] == base_spans(text)
+    assert seconds < 6 * len(text) / 1_000_000, seconds
