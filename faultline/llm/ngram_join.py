@@ -44,8 +44,10 @@ from faultline.llm.components import components
 WIDTH = 3
 THRESHOLD = Fraction(90, 100)
 BLOCK = 2000
-# Runs above this many rows of one sign are not held to be counted but counted afterwards.
+# Frequencies of routed shingles are told apart up to this number.
 LONG_RUN = 20_000
+# The bits of the filter of grouped documents: two to these powers at least and at most (16 MB).
+LEAST_POWER, FILTER_POWER = 15, 27
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -131,10 +133,13 @@ def _ties(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _sized(frames: Iterator[pd.DataFrame], long_run: int) -> Iterator[pd.DataFrame]:
-    """Rows come sorted by (sign, rep).  Rows of longer runs than one, with the run's length; the
-    length is null for runs that may go on in another task or are too long to hold."""
+    """Rows come sorted by (sign, rep).  Rows of longer runs than one, with the run's length.
+
+    Runs above ``long_run`` rows are not held and count as that long.  The length is null for the
+    first and the last run of the task, which may go on in another task.
+    """
     held: pd.DataFrame | None = None
-    first, long_sign = True, None
+    first_sign = long_sign = None
     for frame in frames:
         rows = frame if held is None else pd.concat([held, frame], ignore_index=True)
         held = None
@@ -143,20 +148,19 @@ def _sized(frames: Iterator[pd.DataFrame], long_run: int) -> Iterator[pd.DataFra
         signs = rows["sign"].to_numpy()
         starts = np.flatnonzero(np.concatenate(([True], signs[1:] != signs[:-1])))
         sizes = np.diff(np.append(starts, len(rows)))
-        unknown = (np.arange(len(starts)) == 0) & (first | (signs[0] == long_sign))
-        leaves = unknown | (sizes > 1)
+        lengths = pd.array(np.minimum(sizes, long_run), dtype="Int64")
+        leaves = sizes > 1
+        if signs[0] == long_sign:
+            lengths[0], leaves[0] = long_run, True
+        first_sign = signs[0] if first_sign is None else first_sign
+        if signs[0] == first_sign:
+            lengths[0], leaves[0] = pd.NA, True
         if sizes[-1] > long_run or signs[-1] == long_sign:
-            unknown[-1], leaves[-1], long_sign = True, True, signs[-1]
+            leaves[-1], long_sign = True, signs[-1]
         else:
-            leaves[-1] = False
+            leaves[-1], long_sign = False, None
             held = rows.iloc[starts[-1] :]
-            first = first and len(starts) == 1
-            long_sign = None
-        if len(starts) > 1 or held is None:
-            first = False
-        known = pd.array(np.repeat(sizes, sizes), dtype="Int64")
-        known[np.repeat(unknown, sizes)] = pd.NA
-        yield rows.assign(size=known)[np.repeat(leaves, sizes)]
+        yield rows.assign(size=lengths.repeat(sizes))[np.repeat(leaves, sizes)]
     if held is not None:
         yield held.assign(size=pd.array([None] * len(held), dtype="Int64"))
 
@@ -175,9 +179,12 @@ def rare_signs(signed: DataFrame, long_run: int = LONG_RUN) -> DataFrame:
         _ranged(signed), lambda frames: _sized(frames, long_run), "rep long, sign long, drop int, size long"
     )
     sized = stored(counted_runs, "sized")
-    opened = sized.filter("size IS NULL").drop("size")
-    totals = opened.groupBy("sign").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    counted = sized.filter("size IS NOT NULL").unionByName(opened.join(totals, "sign"))
+    # Two signs a task at most are open; a long run in another task counts as it does there.
+    edges = sized.filter((F.col("size") >= long_run) | F.col("size").isNull()).groupBy("sign")
+    totals = edges.agg(F.count(F.lit(1)).alias("n"), F.count("size").alias("long"))
+    totals = totals.filter("n > long AND n > 1").select("sign", F.least("n", F.lit(long_run)).alias("size"))
+    opened = sized.filter("size IS NULL").drop("size").join(F.broadcast(totals), "sign")
+    counted = sized.filter("size IS NOT NULL").unionByName(opened)
     order = Window.partitionBy("rep").orderBy(F.desc("size"), F.desc("sign"))
     return counted.withColumn("_place", F.row_number().over(order)).filter("_place > drop").select("rep", "sign")
 
@@ -397,20 +404,29 @@ def _full_frame(rows: list[tuple]) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["a", "b", "n", "low", "high", "b_low", "b_high"], dtype=object).astype("Int64")
 
 
-def _token_rows(frames: Iterator[pd.DataFrame], width: int) -> Iterator[pd.DataFrame]:
-    for frame in frames:
-        frame["tokens"] = [shingle_set(text, width).tobytes() for text in frame["text"]]
-        yield frame[["rep", "group", "size", "tokens"]]
+def member_filter(members: DataFrame) -> np.ndarray:
+    """Bits of the ids in ``members`` (rep): two to the power ``FILTER_POWER`` at most, so that
+    texts of other documents, or most of them, are neither shuffled nor cut into shingles."""
+    power = min(FILTER_POWER, max(LEAST_POWER, (max(1, members.count()) * 32).bit_length()))
+    places = members.select(F.shiftrightunsigned(F.xxhash64("rep"), 64 - power).alias("place"))
+    bucket = F.shiftright("place", LEAST_POWER).alias("bucket")
+    rows = places.groupBy(bucket).agg(F.bitmap_construct_agg(F.col("place").bitwiseAND(F.lit((1 << LEAST_POWER) - 1))).alias("bits"))
+    out = np.zeros(1 << (power - 3), np.uint8)
+    for row in rows.toLocalIterator():
+        at = row.bucket << (LEAST_POWER - 3)
+        out[at : at + len(row.bits)] = np.frombuffer(row.bits, np.uint8)
+    return out
 
 
-def _class_rows(frames: Iterator[pd.DataFrame], width: int) -> Iterator[pd.DataFrame]:
-    """Token rows of the classes; a text of a repeated doc_id meets every class of that doc_id and
-    goes on as its own only."""
+def _member_rows(frames: Iterator[pd.DataFrame], width: int, bits: np.ndarray) -> Iterator[pd.DataFrame]:
+    """Sets and digests of the texts whose id may be a member."""
+    shift = np.uint64(64 - (len(bits) << 3).bit_length() + 1)
     for frame in frames:
-        sets = [shingle_set(text, width) for text in frame["text"]]
-        own = [_digest(s) == key for s, key in zip(sets, zip(frame["low"], frame["high"]))]
-        frame["tokens"] = [s.tobytes() for s in sets]
-        yield frame.loc[own, ["rep", "group", "size", "tokens", "low", "high", "docs"]]
+        place = frame["key"].to_numpy(np.int64).view(np.uint64) >> shift
+        may = (bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 > 0
+        rows = [(rep, s.tobytes(), *_digest(s)) for rep, s in
+                ((rep, shingle_set(text, width)) for rep, text in zip(frame["rep"][may], frame["text"][may]))]
+        yield pd.DataFrame(rows, columns=["rep", "tokens", "low", "high"])
 
 
 def group_links(
@@ -427,12 +443,14 @@ def group_links(
     if classes is not None:
         keyed = ["low", "high", "docs"]
         members = members.join(classes.select("rep", *keyed), "rep")
-    texts = docs.select(F.col("doc_id").alias("rep"), "text").join(members.hint("shuffle_hash"), "rep")
-    rows = in_pandas(
-        texts.select("rep", "group", "size", *keyed, "text"),
-        lambda frames: (_class_rows if keyed else _token_rows)(frames, width),
-        "rep long, group long, size long, tokens binary" + "".join(f", {name} long" for name in keyed),
+    members = stored(members, "members")
+    bits = member_filter(members.select("rep").distinct())
+    named = docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("rep"), F.xxhash64("doc_id").alias("key"), "text")
+    sets = in_pandas(
+        named, lambda frames: _member_rows(frames, width, bits), "rep long, tokens binary, low long, high long"
     )
+    # A text of a repeated doc_id meets every class of that doc_id and goes on as its own only.
+    rows = sets.join(members, ["rep", "low", "high"] if keyed else ["rep"])
     blocks = F.ceil(F.col("size") / F.lit(block)).cast("long")
     dealt = (
         rows.withColumn("blocks", blocks)
@@ -533,8 +551,11 @@ def first_of_each_component(docs: DataFrame, **options) -> DataFrame:
     stay, equal ones once."""
     found = stored(ngram_components(docs, **options).select("doc_id", "component_id"), "found")
     others = found.filter("component_id <> doc_id").select("doc_id").distinct()
-    kept = docs.join(others, "doc_id", "left_anti")
-    repeated = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("doc_id IS NOT NULL AND n > 1").select("doc_id")
+    kept = docs.join(others, "doc_id", "left_anti").select(docs.columns)
+    counted = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("doc_id IS NULL OR n > 1")
+    repeated = stored(counted.select("doc_id"), "repeated")
+    if repeated.isEmpty():
+        return kept
     single = kept.filter("doc_id IS NOT NULL").join(repeated, "doc_id", "left_anti")
     several = kept.join(repeated, "doc_id", "left_semi").union(kept.filter("doc_id IS NULL"))
-    return single.union(several.distinct())
+    return single.select(docs.columns).union(several.select(docs.columns).distinct())
