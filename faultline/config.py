@@ -151,6 +151,3 @@ TARGETS = TargetPolicy()
 RISK = RiskPolicy()
 FORECAST = ForecastPolicy()
 ADVICE = AdvicePolicy()
-
-# Accuracy of the approximate 95th percentile (relative rank error 1/accuracy).
-P95_ACCURACY = 10_000

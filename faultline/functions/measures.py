@@ -5,17 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from faultline.config import P95_ACCURACY
-
 
 def share_pct(part: Column, whole: Column) -> Column:
     """part / whole in percent with two decimals; null when whole is zero or null."""
     return F.when(whole > 0, F.round(part / whole * 100, 2))
 
 
-def p95(col: Column, accuracy: int = P95_ACCURACY) -> Column:
-    """Mergeable 95th-percentile sketch: bounded state per group whatever its size."""
-    return F.percentile_approx(col, 0.95, accuracy)
+def nearest_rank_95(size: Column) -> Column:
+    """One-based rank of the 95th percentile among ``size`` values, in whole numbers."""
+    upper = size * 95 + 99
+    return ((upper - upper % 100) / 100).cast("bigint")
 
 
 def finite_or_null(col: Column) -> Column:

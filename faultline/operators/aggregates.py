@@ -3,18 +3,24 @@
 Every count in these tables is additive, so each table can be computed from incidents or
 from *cells* - incidents pre-aggregated by day, priority, product, category and team (see
 ``daily_cells``).  ``count_of`` and ``mean_duration`` hide the difference: on incidents they
-count rows, on cells they add counters.  Percentiles are not additive and need incidents.
+count rows, on cells they add counters.
+
+Percentiles are not additive.  Tables with one are computed from *duration cells*: the same
+counters by the table's keys and the duration.  Equal durations are counted once in the map tasks;
+the value at the rank is then found by a running count, exactly.  What a group sorts is its distinct
+durations, bounded by the span of durations in seconds and not by its tickets, and it sorts on disk
+if need be; no sketch or value list is held per group.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from faultline.config import P95_ACCURACY, TARGETS, TargetPolicy
-from faultline.functions.measures import p95, share_pct
+from faultline.config import TARGETS, TargetPolicy
+from faultline.functions.measures import nearest_rank_95, share_pct
 
 CELL_KEYS = (
     "date",
@@ -74,22 +80,41 @@ def mean_duration(df: DataFrame) -> Column:
     return F.round(mean, 2).alias("avg_duration_seconds")
 
 
-def p95_duration(accuracy: int) -> Column:
-    return p95(F.col("duration_seconds"), accuracy).alias("p95_duration_seconds")
+def additive(incidents: DataFrame) -> list[Column]:
+    """Everything a cell holds: the counters, the sum of durations and the number of known ones."""
+    return [
+        *counts(incidents, *counters()),
+        F.coalesce(F.sum("duration_seconds"), F.lit(0)).alias("duration_sum"),
+        F.count("duration_seconds").alias("duration_count"),
+    ]
 
 
-def daily_cells(incidents: DataFrame, extra: Iterable[Column] = ()) -> DataFrame:
+def daily_cells(incidents: DataFrame) -> DataFrame:
     """All additive counters by day and dimension: the small table other tables roll up from."""
-    return (
-        incidents.withColumn("date", F.to_date("opened_at"))
-        .groupBy(*CELL_KEYS)
-        .agg(
-            *counts(incidents, *counters()),
-            F.coalesce(F.sum("duration_seconds"), F.lit(0)).alias("duration_sum"),
-            F.count("duration_seconds").alias("duration_count"),
-            *extra,
-        )
-    )
+    return incidents.withColumn("date", F.to_date("opened_at")).groupBy(*CELL_KEYS).agg(*additive(incidents))
+
+
+def duration_cells(incidents: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Cells by ``keys`` and duration; ``at_p95`` is the duration where it reaches the 95th percentile.
+
+    Unknown durations sort first and do not count, so the least ``at_p95`` of a group is its
+    nearest-rank percentile and null without known durations.
+    """
+    cells = incidents.groupBy(*keys, "duration_seconds").agg(*additive(incidents))
+    group = Window.partitionBy(*keys)
+    reached = F.sum("duration_count").over(group.orderBy(F.asc_nulls_first("duration_seconds")))
+    rank = nearest_rank_95(F.sum("duration_count").over(group))
+    return cells.withColumn("at_p95", F.when(reached >= rank, F.col("duration_seconds")))
+
+
+def p95_duration() -> Column:
+    return F.min("at_p95").alias("p95_duration_seconds")
+
+
+def daily_cells_with_p95(incidents: DataFrame) -> DataFrame:
+    dated = duration_cells(incidents.withColumn("date", F.to_date("opened_at")), CELL_KEYS)
+    kept = [F.sum(name).alias(name) for name in (*counters(), "duration_sum", "duration_count")]
+    return dated.groupBy(*CELL_KEYS).agg(*kept, p95_duration())
 
 
 def with_source_compliance(df: DataFrame) -> DataFrame:
@@ -101,24 +126,25 @@ def source_kpis(df: DataFrame) -> list[Column]:
     return counts(df, kpi_incidents="source_kpi_incidents", kpi_violations="source_kpi_violations")
 
 
-def monthly_kpis(incidents: DataFrame, accuracy: int = P95_ACCURACY) -> DataFrame:
+def monthly_kpis(incidents: DataFrame) -> DataFrame:
+    keys = ("opened_year", "opened_month")
+    cells = duration_cells(incidents, keys)
     return with_source_compliance(
-        incidents.groupBy("opened_year", "opened_month").agg(
-            *counts(incidents, "total_incidents", "monitoring_incidents", "manual_incidents"),
-            *source_kpis(incidents),
-            mean_duration(incidents),
-            p95_duration(accuracy),
+        cells.groupBy(*keys).agg(
+            *counts(cells, "total_incidents", "monitoring_incidents", "manual_incidents"),
+            *source_kpis(cells),
+            mean_duration(cells),
+            p95_duration(),
         )
     )
 
 
-def priority_summary(incidents: DataFrame, accuracy: int = P95_ACCURACY) -> DataFrame:
+def priority_summary(incidents: DataFrame) -> DataFrame:
+    keys = ("priority_code", "priority_name")
+    cells = duration_cells(incidents, keys)
     return with_source_compliance(
-        incidents.groupBy("priority_code", "priority_name").agg(
-            *counts(incidents, "total_incidents"),
-            *source_kpis(incidents),
-            mean_duration(incidents),
-            p95_duration(accuracy),
+        cells.groupBy(*keys).agg(
+            *counts(cells, "total_incidents"), *source_kpis(cells), mean_duration(cells), p95_duration()
         )
     )
 
@@ -164,11 +190,10 @@ def with_rates(df: DataFrame, rates: dict[str, tuple[str, str]]) -> DataFrame:
     return df.withColumns({name: share_pct(F.col(part), F.col(whole)) for name, (part, whole) in rates.items()})
 
 
-def operational_kpi_summary(incidents: DataFrame, accuracy: int = P95_ACCURACY) -> DataFrame:
+def operational_kpi_summary(incidents: DataFrame) -> DataFrame:
     keys = ("opened_year", "opened_month", "priority_code", "priority_name", "assigned_group")
-    table = incidents.groupBy(*keys).agg(
-        *counts(incidents, *OPERATIONAL_COUNTERS), mean_duration(incidents), p95_duration(accuracy)
-    )
+    cells = duration_cells(incidents, keys)
+    table = cells.groupBy(*keys).agg(*counts(cells, *OPERATIONAL_COUNTERS), mean_duration(cells), p95_duration())
     return with_rates(table, OPERATIONAL_RATES)
 
 
@@ -183,11 +208,9 @@ TREND_COUNTERS = {
 TREND_RATES = {"kpi_compliance_pct": ("kpi_compliant", "evaluated_kpi_incidents")}
 
 
-def daily_trends(incidents: DataFrame, accuracy: int = P95_ACCURACY) -> DataFrame:
-    by_day = incidents.withColumn("date", F.to_date("opened_at"))
-    table = by_day.groupBy(*TREND_KEYS).agg(
-        *counts(by_day, **TREND_COUNTERS), mean_duration(by_day), p95_duration(accuracy)
-    )
+def daily_trends(incidents: DataFrame) -> DataFrame:
+    cells = duration_cells(incidents.withColumn("date", F.to_date("opened_at")), TREND_KEYS)
+    table = cells.groupBy(*TREND_KEYS).agg(*counts(cells, **TREND_COUNTERS), mean_duration(cells), p95_duration())
     return with_rates(table, TREND_RATES)
 
 

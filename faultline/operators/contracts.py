@@ -21,6 +21,8 @@ class Field:
     maximum: float | None = None
     min_length: int | None = None
     allowed: tuple[str, ...] = ()
+    pattern: str | None = None
+    is_day: bool = False
 
     def rules(self) -> dict[str, Column]:
         """Rule name -> broken-when condition."""
@@ -36,9 +38,15 @@ class Field:
             broken["min_length"] = F.length(value) < self.min_length
         if self.allowed:
             broken["allowed"] = ~value.isin(*self.allowed)
+        if self.pattern is not None:
+            broken["pattern"] = ~value.rlike(self.pattern)
+        if self.is_day:
+            broken["date_format"] = ~value.rlike(DAY_PATTERN) | F.try_to_date(value).isNull()
         return broken
 
 
+# Fixed value: a calendar day as published.
+DAY_PATTERN = r"^\d{4}-\d{2}-\d{2}$"
 WHOLE, NUMBER, TEXT, FLAG = ("int", "bigint"), ("int", "bigint", "double"), ("string",), ("boolean",)
 
 
@@ -46,6 +54,10 @@ def name(column: str, nullable: bool = False) -> Field:
     return Field(column, TEXT, nullable, min_length=1)
 
 
+def day(column: str, nullable: bool = False) -> Field:
+    return Field(column, TEXT, nullable, min_length=1, is_day=True)
+
+
 def amount(column: str, nullable: bool = False, whole: bool = False, maximum: float | None = None) -> Field:
     return Field(column, WHOLE if whole else NUMBER, nullable, minimum=0, maximum=maximum)
 
@@ -57,7 +69,7 @@ def code(column: str, nullable: bool = False) -> Field:
 # Columns, types and bounds of the published tables.
 CONTRACTS: dict[str, tuple[Field, ...]] = {
     "daily_trends": (
-        name("date"), code("priority_code"), name("priority_name"), name("product", True), name("category", True),
+        day("date"), code("priority_code"), name("priority_name"), name("product", True), name("category", True),
         name("assigned_group", True), amount("total_incidents", whole=True), amount("kpi_incidents", whole=True),
         amount("kpi_violations", whole=True), amount("avg_duration_seconds", True), amount("p95_duration_seconds", True),
     ),
@@ -66,9 +78,9 @@ CONTRACTS: dict[str, tuple[Field, ...]] = {
         amount("kpi_violation_rate_pct", True), amount("avg_duration_seconds", True),
         amount("risk_score", maximum=100), code("rank", True),
     ),
-    "forecast_history": (name("date"), amount("actual_incidents", whole=True)),
+    "forecast_history": (day("date"), amount("actual_incidents", whole=True)),
     "forecast": (
-        name("date"), amount("predicted_incidents", whole=True), amount("lower_bound", whole=True),
+        day("date"), amount("predicted_incidents", whole=True), amount("lower_bound", whole=True),
         amount("upper_bound", whole=True),
     ),
     "recommendations": (
@@ -83,6 +95,25 @@ CONTRACTS: dict[str, tuple[Field, ...]] = {
 }
 
 
+# A legacy document of trend records: a time and a list.
+TREND_DOCUMENT = (name("generated_at"), Field("records", ()))
+
+
+def broken_rules(fields: tuple[Field, ...]) -> Column:
+    """The broken rules of a row as ``column:rule`` names joined by ``|``; empty if none is."""
+    found = [F.when(broken, F.lit(f"{f.name}:{rule}")) for f in fields for rule, broken in f.rules().items()]
+    return F.concat_ws("|", *found)
+
+
+def enforced(df: DataFrame, fields: tuple[Field, ...]) -> DataFrame:
+    """The same rows; a row that breaks a rule stops the job, which names the rules."""
+    broken = broken_rules(fields)
+    stop = F.raise_error(F.concat(F.lit("document breaks "), broken))
+    first = fields[0].name
+    checked = F.when(F.length(broken) > 0, stop.cast(df.schema[first].dataType)).otherwise(F.col(first))
+    return df.withColumn(first, checked)
+
+
 def shape_rows(df: DataFrame, fields: tuple[Field, ...]) -> list[Column]:
     """Missing, extra or wrongly typed columns, known without reading data."""
     have, want = dict(df.dtypes), {field.name: field for field in fields}
@@ -114,13 +145,8 @@ def contract_violations(df: DataFrame, table: str) -> DataFrame:
 
 def violating_rows(df: DataFrame, table: str) -> DataFrame:
     """Rows that break a rule, with the broken rules as ``column:rule`` names."""
-    fields = [field for field in CONTRACTS[table] if field.name in df.columns]
-    broken = [
-        F.when(condition, F.lit(f"{field.name}:{rule}"))
-        for field in fields
-        for rule, condition in field.rules().items()
-    ]
-    return df.withColumn("broken_rules", F.concat_ws("|", *broken)).filter("broken_rules <> ''")
+    fields = tuple(field for field in CONTRACTS[table] if field.name in df.columns)
+    return df.withColumn("broken_rules", broken_rules(fields)).filter("broken_rules <> ''")
 
 
 def violation_report(df: DataFrame, table: str, order: list[str], limit: int = 10) -> DataFrame:

@@ -1,9 +1,8 @@
 """Seven-day volume forecast from a dense 28-day history.
 
-The newest day in scope is a scalar subquery, so the history scan gets a timestamp bound that
-reaches the Parquet reader and only the window is aggregated.  From there on the data is one
-row holding at most ``history_days`` counts: calendar, weekday profile and horizon are array
-expressions on it, without joins.
+Incidents are read once and counted by day in the map tasks; the newest days, at most as many as
+the history holds, are then one row.  Calendar, statistics, weekday profile and horizon are array
+expressions on that row, without joins and without a second look at the incidents.
 """
 
 from __future__ import annotations
@@ -20,45 +19,28 @@ def in_scope(df: DataFrame, policy: ForecastPolicy = FORECAST) -> DataFrame:
     return df.filter(F.col("priority_code").isin(*policy.priorities) & F.col(day).isNotNull())
 
 
-def first_moment(df: DataFrame, policy: ForecastPolicy = FORECAST) -> Column:
-    """Start of the history window as a bare scalar subquery, the form a file scan can push down."""
-    if are_cells(df):
-        start = F.date_sub(F.max("date"), policy.history_days - 1)
-    else:
-        start = F.date_sub(F.max("opened_at").cast("date"), policy.history_days - 1).cast("timestamp")
-    return in_scope(df, policy).agg(start.alias("first_moment")).scalar()
+def daily_counts(df: DataFrame, policy: ForecastPolicy = FORECAST) -> DataFrame:
+    """Incidents per day, newest days only: at most ``history_days`` rows, perhaps some too old."""
+    scoped = in_scope(df, policy)
+    if not are_cells(df):
+        scoped = scoped.withColumn("date", F.to_date("opened_at"))
+    by_day = scoped.groupBy("date").agg(count_of(df, "total_incidents", "actual_incidents"))
+    return by_day.orderBy(F.desc("date")).limit(policy.history_days)
 
 
 def history_bounds(df: DataFrame, policy: ForecastPolicy = FORECAST) -> DataFrame:
-    """One row; both dates are null when nothing is in scope."""
-    day = F.max("date") if are_cells(df) else F.max("opened_at").cast("date")
-    return in_scope(df, policy).agg(day.alias("history_end_date")).select(
-        F.date_sub("history_end_date", policy.history_days - 1).alias("history_start_date"),
-        "history_end_date",
+    """One row with the window and its counts by day; the dates are null when nothing is in scope."""
+    return daily_counts(df, policy).agg(
+        F.date_sub(F.max("date"), policy.history_days - 1).alias("history_start_date"),
+        F.max("date").alias("history_end_date"),
+        F.map_from_entries(F.collect_list(F.struct("date", "actual_incidents"))).alias("by_day"),
     )
 
 
-def daily_counts(df: DataFrame, policy: ForecastPolicy = FORECAST) -> DataFrame:
-    """Incidents per day inside the history window: at most ``history_days`` rows."""
-    day = "date" if are_cells(df) else "opened_at"
-    window = in_scope(df, policy).filter(F.col(day) >= first_moment(df, policy))
-    if not are_cells(df):
-        window = window.withColumn("date", F.to_date("opened_at"))
-    return window.groupBy("date").agg(count_of(df, "total_incidents", "actual_incidents"))
-
-
 def forecast_history(df: DataFrame, policy: ForecastPolicy = FORECAST) -> DataFrame:
     """One row per day of the window, zero where nothing was opened; empty without data."""
-    entry = F.struct("date", "actual_incidents")
-    one_row = daily_counts(df, policy).agg(
-        F.max("date").alias("history_end_date"),
-        F.map_from_entries(F.collect_list(entry)).alias("by_day"),
-    )
-    days = (
-        one_row.filter(F.col("history_end_date").isNotNull())
-        .withColumn("history_start_date", F.date_sub("history_end_date", policy.history_days - 1))
-        .withColumn("date", F.explode(F.sequence("history_start_date", "history_end_date")))
-    )
+    window = history_bounds(df, policy).filter(F.col("history_end_date").isNotNull())
+    days = window.withColumn("date", F.explode(F.sequence("history_start_date", "history_end_date")))
     return days.select(
         "date",
         "history_start_date",
@@ -76,39 +58,44 @@ def is_recent(policy: ForecastPolicy = FORECAST) -> Column:
 
 
 def history_statistics(history: DataFrame, policy: ForecastPolicy = FORECAST) -> DataFrame:
-    return history.agg(
+    """One row: the window, the recent average, the spread and the average of every weekday met."""
+    row = history.agg(
         F.max("history_start_date").alias("history_start_date"),
         F.max("history_end_date").alias("history_end_date"),
         F.avg(F.when(is_recent(policy), F.col("actual_incidents"))).alias("recent_average"),
         F.stddev_pop("actual_incidents").alias("history_stddev"),
+        F.collect_list(F.struct("day_of_week", "actual_incidents")).alias("days"),
     )
 
+    def average(weekday: Column) -> Column:
+        same = F.filter("days", lambda day: day["day_of_week"] == weekday)
+        total = F.aggregate(same, F.lit(0).cast("bigint"), lambda sum_, day: sum_ + day["actual_incidents"])
+        mean = total / F.nullif(F.size(same), F.lit(0))
+        return F.struct(weekday.alias("day_of_week"), mean.alias("same_weekday_average"))
+
+    weekdays = F.array_distinct(F.transform("days", lambda day: day["day_of_week"]))
+    return row.withColumn("profile", F.transform(weekdays, average)).drop("days")
 
-def weekday_profile(history: DataFrame) -> DataFrame:
-    return history.groupBy("day_of_week").agg(F.avg("actual_incidents").alias("same_weekday_average"))
+
+def weekday_profile(statistics: DataFrame) -> DataFrame:
+    """One row per weekday of the history."""
+    return statistics.select(F.inline("profile"))
 
 
 def forecast_summary(history: DataFrame, policy: ForecastPolicy = FORECAST) -> DataFrame:
     """Horizon rows with bounds and totals; no rows for an empty history."""
-    stats = history.agg(
-        F.max("history_start_date").alias("history_start_date"),
-        F.max("history_end_date").alias("history_end_date"),
-        F.avg(F.when(is_recent(policy), F.col("actual_incidents"))).alias("recent"),
-        F.stddev_pop("actual_incidents").alias("spread"),
-        F.collect_list(F.struct("day_of_week", "actual_incidents")).alias("days"),
-    ).filter(F.col("history_end_date").isNotNull())
+    stats = history_statistics(history, policy).filter(F.col("history_end_date").isNotNull())
 
     def prediction(step: Column) -> Column:
         target = F.dayofweek(F.date_add("history_end_date", step))
-        same = F.filter("days", lambda d: d["day_of_week"] == target)
-        total = F.aggregate(same, F.lit(0).cast("bigint"), lambda acc, d: acc + d["actual_incidents"])
-        weekday = total / F.nullif(F.size(same), F.lit(0))
-        recent = F.coalesce(F.col("recent"), F.lit(0.0))
+        same = F.filter("profile", lambda entry: entry["day_of_week"] == target)
+        weekday = F.try_element_at(same, F.lit(1))["same_weekday_average"]
+        recent = F.coalesce(F.col("recent_average"), F.lit(0.0))
         blend = F.coalesce(weekday, recent) * policy.weekday_weight + recent * policy.recent_weight
         return F.greatest(F.round(blend, 0), F.lit(0.0)).cast("bigint")
 
     steps = F.sequence(F.lit(1), F.lit(policy.horizon_days))
-    margin = F.greatest(F.round(F.coalesce(F.col("spread"), F.lit(0.0)), 0), F.lit(0.0)).cast("bigint")
+    margin = F.greatest(F.round(F.coalesce(F.col("history_stddev"), F.lit(0.0)), 0), F.lit(0.0)).cast("bigint")
     rows = (
         stats.withColumn("predictions", F.transform(steps, prediction))
         .withColumns(

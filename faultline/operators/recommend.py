@@ -72,20 +72,26 @@ def from_risk(risk: DataFrame, rules: Iterable[str] = RISK_RULES, policy: Advice
     rate_candidate = known & (evaluated >= policy.rate_min_evaluated) & (rate >= policy.rate_high)
     volume_candidate = known & kind.isin(*policy.volume_dimensions) & (volume >= policy.volume_min)
 
-    def place(candidate: Column, *order: Column) -> Column:
+    # Only rows that may become a finding are kept before they are ranked.
+    high = known & (F.col("rank") <= policy.risk_top) & (score >= policy.risk_high)
+    flags = {"_high": high, "_rate": rate_candidate, "_volume": volume_candidate}
+    candidates = risk.withColumns({name: F.coalesce(flag, F.lit(False)) for name, flag in flags.items()}).filter(
+        "_high OR _rate OR _volume"
+    )
+
+    def place(flag: str, *order: Column) -> Column:
         """Position among the candidates of the same dimension."""
-        group = Window.partitionBy("dimension_type", F.coalesce(candidate, F.lit(False)))
-        return F.row_number().over(group.orderBy(*order))
+        return F.row_number().over(Window.partitionBy("dimension_type", flag).orderBy(*order))
 
-    ranked = risk.withColumns(
+    ranked = candidates.withColumns(
         {
-            "_rate_place": place(rate_candidate, rate.desc(), evaluated.desc(), value.asc()),
-            "_volume_place": place(volume_candidate, volume.desc(), value.asc()),
+            "_rate_place": place("_rate", rate.desc(), evaluated.desc(), value.asc()),
+            "_volume_place": place("_volume", volume.desc(), value.asc()),
         }
     )
     findings = {
         "RISK_SCORE_HIGH": F.when(
-            known & (F.col("rank") <= policy.risk_top) & (score >= policy.risk_high),
+            F.col("_high"),
             finding(
                 "RISK_SCORE_HIGH", kind, value,
                 graded(score, policy.risk_critical, "CRITICAL", "HIGH"),
@@ -97,7 +103,7 @@ def from_risk(risk: DataFrame, rules: Iterable[str] = RISK_RULES, policy: Advice
             ),
         ),
         "KPI_VIOLATION_RATE_HIGH": F.when(
-            rate_candidate & (F.col("_rate_place") <= policy.rate_top),
+            F.col("_rate") & (F.col("_rate_place") <= policy.rate_top),
             finding(
                 "KPI_VIOLATION_RATE_HIGH", kind, value,
                 graded(rate, policy.rate_critical, "CRITICAL", "HIGH"),
@@ -109,7 +115,7 @@ def from_risk(risk: DataFrame, rules: Iterable[str] = RISK_RULES, policy: Advice
             ),
         ),
         "VOLUME_CONCENTRATION": F.when(
-            volume_candidate & (F.col("_volume_place") == 1),
+            F.col("_volume") & (F.col("_volume_place") == 1),
             finding(
                 "VOLUME_CONCENTRATION", kind, value, F.lit("MEDIUM"), volume,
                 F.concat(F.lit("Maior volume da dimensão, com "), volume.cast("string"), F.lit(" incidentes.")),

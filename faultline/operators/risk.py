@@ -8,11 +8,12 @@ second shuffle as partial sums, never as its incidents.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faultline.config import RISK, RiskPolicy
 from faultline.functions.measures import share_pct
+from faultline.functions.ranking import range_ranked
 from faultline.functions.text import blank_to_null
 from faultline.operators.aggregates import are_cells, count_of
 from faultline.schema import RISK_DIMENSIONS
@@ -57,16 +58,25 @@ COMPONENTS = {
 }
 
 
+def component_maxima(df: DataFrame) -> DataFrame:
+    """The largest known value of every component, one row per dimension."""
+    known = ~F.col("is_unknown")
+    return df.groupBy("dimension_type").agg(*(F.max(F.when(known, F.col(v))).alias(f"top_{v}") for v in COMPONENTS.values()))
+
+
 def scaled(value: str) -> Column:
     """Share of the largest known value of the dimension, at most 1; 0 without a maximum."""
-    known = F.when(~F.col("is_unknown"), F.col(value))
-    top = F.max(known).over(Window.partitionBy("dimension_type"))
+    top = F.col(f"top_{value}")
     share = F.least(F.coalesce(F.col(value), F.lit(0)) / F.nullif(top, F.lit(0)), F.lit(1.0))
     return F.round(F.when(top > 0, share).otherwise(F.lit(0.0)), 4)
 
 
 def add_components(df: DataFrame) -> DataFrame:
-    return df.withColumns({name: scaled(value) for name, value in COMPONENTS.items()})
+    """The maxima, one row per dimension, are joined back; the sums below are shared by both sides."""
+    placed = df.join(F.broadcast(component_maxima(df)), "dimension_type")
+    return placed.withColumns({name: scaled(value) for name, value in COMPONENTS.items()}).drop(
+        *(f"top_{value}" for value in COMPONENTS.values())
+    )
 
 
 def add_score(df: DataFrame, policy: RiskPolicy = RISK) -> DataFrame:
@@ -80,13 +90,14 @@ def add_score(df: DataFrame, policy: RiskPolicy = RISK) -> DataFrame:
 
 def add_rank(df: DataFrame) -> DataFrame:
     """Position among the known values of a dimension; unknown values stay unranked."""
-    worst_first = Window.partitionBy("dimension_type").orderBy(
+    worst_first = [
         F.col("is_unknown").asc(),
         F.col("risk_score").desc(),
         F.col("volume").desc(),
         F.col("dimension_value").asc(),
-    )
-    return df.withColumn("rank", F.when(~F.col("is_unknown"), F.row_number().over(worst_first)))
+    ]
+    ranked = range_ranked(df, "dimension_type", worst_first, "rank")
+    return ranked.withColumn("rank", F.when(~F.col("is_unknown"), F.col("rank").cast("int")))
 
 
 def risk_scores(df: DataFrame, policy: RiskPolicy = RISK) -> DataFrame:

@@ -139,7 +139,12 @@ def risk_dimensions(risk: DataFrame) -> DataFrame:
     return risk.select("dimension_type").distinct()
 
 
-def newest_month(trends: DataFrame) -> DataFrame:
-    """Rows of the latest month; the month is a scalar subquery the scan can prune with."""
-    first_day = F.trunc(trends.agg(F.max("date").alias("newest")).scalar(), "month")
-    return trends.filter(F.col("date") >= first_day)
+def newest_month(trends: DataFrame, index: DataFrame) -> DataFrame:
+    """Records of the latest month of trends stored by ``year`` and ``month``.
+
+    The published index names the month; joined to the folder names as one row, it prunes the
+    folders that are read when the query runs.
+    """
+    newest = index.filter("record_count > 0").agg(F.max(F.struct("year", "month")).alias("m"))
+    folder = newest.filter("m.month > 0").select("m.year", "m.month")
+    return trends.join(F.broadcast(folder), ["year", "month"], "left_semi")

@@ -1,7 +1,7 @@
 """All Gold tables from the valid incidents.
 
-Only the four tables with a percentile read incidents; the additive ones roll up from the
-daily cells, whose size is bounded by days x dimension combinations, not by tickets.
+Only the cells and the three other tables with a percentile read incidents; the additive ones roll
+up from the daily cells, whose size is bounded by days x dimension combinations, not by tickets.
 """
 
 from __future__ import annotations
@@ -11,7 +11,6 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faultline.config import P95_ACCURACY
 from faultline.operators import aggregates, forecast, recommend, risk
 from faultline.session import held
 from faultline.sinks.tables import write_counted
@@ -19,19 +18,15 @@ from faultline.sinks.tables import write_counted
 CONCURRENT_WRITES = 6
 
 
-def daily_cells_with_p95(valid: DataFrame, accuracy: int = P95_ACCURACY) -> DataFrame:
-    return aggregates.daily_cells(valid, extra=[aggregates.p95_duration(accuracy)])
-
-
-def base_tables(valid: DataFrame, cells: DataFrame, accuracy: int = P95_ACCURACY) -> dict[str, DataFrame]:
+def base_tables(valid: DataFrame, cells: DataFrame) -> dict[str, DataFrame]:
     """Tables read from incidents or cells; ``cells`` should be stored or persisted."""
     return {
-        "monthly_kpis": aggregates.monthly_kpis(valid, accuracy),
-        "priority_summary": aggregates.priority_summary(valid, accuracy),
+        "monthly_kpis": aggregates.monthly_kpis(valid),
+        "priority_summary": aggregates.priority_summary(valid),
         "team_summary": aggregates.team_summary(cells),
         "dashboard_summary": aggregates.dashboard_summary(cells),
         "daily_trends": aggregates.daily_trends_from_cells(cells),
-        "operational_kpi_summary": aggregates.operational_kpi_summary(valid, accuracy),
+        "operational_kpi_summary": aggregates.operational_kpi_summary(valid),
         "annual_ola_summary": aggregates.annual_ola_summary(cells),
         "risk_summary": risk.risk_summary(cells),
         "forecast_history": forecast.forecast_history(cells),
@@ -50,8 +45,8 @@ def derived_tables(base: dict[str, DataFrame]) -> dict[str, DataFrame]:
 SOURCES_OF_DERIVED = ("risk_summary", "annual_ola_summary", "forecast_history")
 
 
-def gold_tables(valid: DataFrame, cells: DataFrame, accuracy: int = P95_ACCURACY) -> dict[str, DataFrame]:
-    base = base_tables(valid, cells, accuracy)
+def gold_tables(valid: DataFrame, cells: DataFrame) -> dict[str, DataFrame]:
+    base = base_tables(valid, cells)
     return base | derived_tables(base)
 
 
@@ -62,7 +57,7 @@ def run_together(jobs: dict, workers: int = CONCURRENT_WRITES) -> dict:
         return {name: future.result() for name, future in running.items()}
 
 
-def write_gold(spark: SparkSession, valid: DataFrame, path: str, accuracy: int = P95_ACCURACY) -> dict[str, int]:
+def write_gold(spark: SparkSession, valid: DataFrame, path: str) -> dict[str, int]:
     """Write the cells, the tables from them and the tables from those; row count of each table."""
 
     def write_all(tables: dict[str, DataFrame]) -> dict[str, int]:
@@ -74,18 +69,18 @@ def write_gold(spark: SparkSession, valid: DataFrame, path: str, accuracy: int =
     def stored(name: str) -> DataFrame:
         return spark.read.parquet(f"{path}/{name}")
 
-    write_counted(daily_cells_with_p95(valid, accuracy), f"{path}/daily_cells")
-    counts = write_all(base_tables(valid, stored("daily_cells"), accuracy))
+    write_counted(aggregates.daily_cells_with_p95(valid), f"{path}/daily_cells")
+    counts = write_all(base_tables(valid, stored("daily_cells")))
     return counts | write_all(derived_tables({name: stored(name) for name in SOURCES_OF_DERIVED}))
 
 
-def count_gold(valid: DataFrame, accuracy: int = P95_ACCURACY) -> dict[str, float]:
+def count_gold(valid: DataFrame) -> dict[str, float]:
     """Count every Gold table without storing it; seconds per stage."""
     start = time.perf_counter()
-    with held(daily_cells_with_p95(valid, accuracy)) as (cells,):
+    with held(aggregates.daily_cells_with_p95(valid)) as (cells,):
         cells.count()
         cells_done = time.perf_counter()
-        base = base_tables(valid, cells, accuracy)
+        base = base_tables(valid, cells)
         with held(*(base[name] for name in SOURCES_OF_DERIVED)) as kept:
             base |= dict(zip(SOURCES_OF_DERIVED, kept))
             run_together({name: df.count for name, df in base.items()})

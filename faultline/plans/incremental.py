@@ -5,18 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faultline.config import P95_ACCURACY, SLA, SlaPolicy
+from faultline.config import SLA, SlaPolicy
 from faultline.operators.ledger import control_snapshot, effective_batches, pending_batches, silver_entries
 from faultline.operators.quality import batch_quality, latest_versions
 from faultline.operators.reconcile import missing_gold, reconciliation_checks
 from faultline.operators.sla import audit_sla
 from faultline.plans.gold import write_gold
+from faultline.plans.membership import member_bitmaps, possible_months, power_for
 from faultline.plans.silver import silver_records
-from faultline.plans.store import SLICE_COLUMNS, STORE_TIEBREAK, Slice, Store
+from faultline.plans.store import FILE_KEYS, SLICE_COLUMNS, STORE_TIEBREAK, Slice, Store
 from faultline.schema import RAW_SCHEMA
+from faultline.session import adaptive_profile
 from faultline.sinks.tables import WriteMismatch, balanced_by, write_counted
 from faultline.sources.incident_csv import add_source_file, read_incident_csv
-from faultline.sources.landing import landed_files, pending_files
+from faultline.sources.landing import (
+    content_digests, file_listing, hashed_files, identified, listed_files, literal_path, pending_files, shared_batch_ids,
+)
 
 
 class EmptyBatch(RuntimeError):
@@ -28,17 +32,19 @@ def with_digest(raw: DataFrame) -> DataFrame:
     return raw.withColumn("_row_digest", F.xxhash64(*(F.col(f"`{c}`") for c in RAW_SCHEMA.names)))
 
 
-def write_bronze(store: Store, rows: DataFrame) -> DataFrame:
-    """Write batches to their own folders and return (batch_id, records) as stored.
+def write_bronze(store: Store, rows: DataFrame) -> int:
+    """Write batches to their own folders and return the number of rows, observed on the way.
 
     Dynamic overwrite makes a repeated batch replace itself instead of doubling.
     """
-    spark = store.spark
-    target = store.path("bronze")
     columns = rows.select(*store.bronze_schema().names)
-    columns.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_batch_id").parquet(target)
-    stored = spark.read.schema(store.bronze_schema()).parquet(target)
-    return stored.groupBy(F.col("_batch_id").alias("batch_id")).agg(F.count("*").alias("records_written"))
+    return write_counted(columns, store.path("bronze"), ["_batch_id"], replace_partitions=True)["rows"]
+
+
+def stored_counts(store: Store, batches: DataFrame) -> DataFrame:
+    """(batch_id, records_written) of the given batches, from the footers of their folders."""
+    found = store.bronze(batches).groupBy(F.col("_batch_id").alias("batch_id"))
+    return found.agg(F.count("*").alias("records_written"))
 
 
 def bronze_ledger(files: DataFrame, counts: DataFrame) -> DataFrame:
@@ -59,7 +65,7 @@ def bronze_ledger(files: DataFrame, counts: DataFrame) -> DataFrame:
 def ingest_files(store: Store, files: list) -> None:
     spark = store.spark
     listed = spark.createDataFrame(files)
-    raw = add_source_file(read_incident_csv(spark, [file.path for file in files]))
+    raw = add_source_file(read_incident_csv(spark, [literal_path(file.path) for file in files]))
     lineage = listed.select(
         F.col("source_path").alias("_source_path"),
         F.col("source_file").alias("_source_file"),
@@ -73,7 +79,11 @@ def ingest_files(store: Store, files: list) -> None:
         .withColumn("_batch_id", F.coalesce("_known_batch", unlisted.cast("string")))
         .withColumn("_ingested_at", F.current_timestamp())
     )
-    counts = write_bronze(store, with_digest(rows))
+    written = write_bronze(store, with_digest(rows))
+    counts = stored_counts(store, listed)
+    stored = counts.agg(F.coalesce(F.sum("records_written"), F.lit(0))).first()[0]
+    if stored != written:
+        raise WriteMismatch(f"{written} Bronze rows written, {stored} stored")
     entries = bronze_ledger(listed, counts)
     store.append("ledger", entries)
     empty = [row.source_file for row in entries.filter("status = 'FAILED'").select("source_file").collect()]
@@ -94,33 +104,70 @@ def record_failure(store: Store, file, error: Exception) -> None:
     store.append("ledger", row)
 
 
-def ingest_landing(store: Store, landing: str) -> int:
-    """Ingest every file not seen before in one job and return their number.
+def catalogued(store: Store, listed: DataFrame) -> DataFrame:
+    """The listed files with their hashes; only files the catalogue does not know are read."""
+    keys = list(FILE_KEYS)
+    # As with any read of many files, their names are on the driver; their contents are not.
+    fresh = [row.path for row in listed.join(store.catalogue(), keys, "left_anti").select("path").collect()]
+    if fresh:
+        named = store.spark.createDataFrame([(path,) for path in fresh], "path string")
+        new = listed.join(named, "path", "left_semi")
+        store.catalogue_files(hashed_files(new, content_digests(store.spark, fresh)))
+    return identified(listed.join(store.catalogue(), keys))
+
+
+def ingest_listed(store: Store, listed: DataFrame) -> int:
+    """Ingest every listed file whose content was never ingested and return their number.
 
-    If that job fails, the files are taken one by one in name order so that the ledger names
-    the broken file; files before it stay ingested and the error is raised.
+    If the job over all of them fails, halves of the list are tried until the broken file is alone
+    and the ledger can name it; files before it, in name order, stay ingested, and the error is raised.
     """
-    found = pending_files(landed_files(store.spark, landing), store.control("ledger"))
+    ledger = store.control("ledger")
+    found = pending_files(catalogued(store, listed), ledger)
     files = found.orderBy("source_file", "path").collect()
     if not files:
         return 0
+    clash = shared_batch_ids(store.spark.createDataFrame(files), ledger).first()
+    if clash is not None:
+        raise RuntimeError(f"batch id {clash.batch_id} stands for {clash.contents} contents")
+    ingest_or_name(store, files)
+    return len(files)
+
+
+def ingest_or_name(store: Store, files: list) -> None:
     try:
         ingest_files(store, files)
     except EmptyBatch:
         raise
-    except Exception:  # noqa: BLE001 - attributed to a file below, then raised again
-        for file in files:
-            try:
-                ingest_files(store, [file])
-            except EmptyBatch:
-                raise
-            except Exception as error:
-                record_failure(store, file, error)
-                raise
-    return len(files)
+    except Exception as error:  # noqa: BLE001 - attributed to a file, then raised again
+        if len(files) == 1:
+            record_failure(store, files[0], error)
+            raise
+        half = len(files) // 2
+        ingest_or_name(store, files[:half])
+        ingest_or_name(store, files[half:])
+
+
+def ingest_landing(store: Store, landing: str) -> int:
+    return ingest_listed(store, listed_files(file_listing(store.spark, landing)))
 
 
 # ---------------------------------------------------------------------------------- silver
+# Loads above this share of the stored incidents look at all months instead of asking the filters.
+FILTERED_SHARE = 1 / 16
+
+
+def months_to_search(store: Store, ids: DataFrame, slices: list[Slice]) -> list[Slice]:
+    """Months that may hold one of the ids, by their filters; all of them for a large load."""
+    filled = [part for part in slices if part.valid + part.invalid]
+    stored = sum(part.valid + part.invalid for part in filled)
+    most = int(stored * FILTERED_SHARE)
+    if ids.limit(most + 1).count() > most:
+        return filled
+    matched = {(r.opened_year, r.opened_month) for r in possible_months(store.members(filled), ids).collect()}
+    return [part for part in filled if part.key in matched]
+
+
 def touched_months(store: Store, staged: DataFrame, slices: list[Slice], policy: SlaPolicy) -> set[tuple]:
     """Months whose stored rows can change.
 
@@ -128,15 +175,24 @@ def touched_months(store: Store, staged: DataFrame, slices: list[Slice], policy:
     incoming incident, and months audited under another rule version.
     """
     months = staged.select("opened_year", "opened_month").distinct()
+    ids = staged.select("incident_id").distinct()
     # Adaptive execution broadcasts the incoming ids only if they turn out to be small.
-    ids = staged.select(F.col("incident_id").alias("_id")).distinct()
-    state = store.records(slices).select("incident_id", "opened_year", "opened_month")
-    older = state.join(ids, F.col("incident_id").eqNullSafe(F.col("_id")), "left_semi")
+    searched = store.records(months_to_search(store, ids, slices)).select("incident_id", "opened_year", "opened_month")
+    named = ids.select(F.col("incident_id").alias("_id"))
+    older = searched.join(named, F.col("incident_id").eqNullSafe(F.col("_id")), "left_semi")
     both = months.union(older.select("opened_year", "opened_month").distinct()).distinct()
     touched = {tuple(row) for row in both.collect()}
     return touched | {part.key for part in slices if part.rule_version != policy.version}
 
 
+def write_members(store: Store, stored: DataFrame, counts: dict[tuple, tuple[int, int]], run: str) -> None:
+    """The id filters of the months that a run wrote."""
+    sizes = [(*key, power_for(sum(held))) for key, held in counts.items()]
+    powers = store.spark.createDataFrame(sizes, "opened_year int, opened_month int, power int")
+    rows = member_bitmaps(stored, powers, run).drop("run")
+    rows.write.mode("overwrite").parquet(store.path("members", f"run={run}"))
+
+
 def merge_versions(state: DataFrame, staged: DataFrame, policy: SlaPolicy, tiebreak) -> DataFrame:
     """Stored and incoming versions, audited again, newest per incident."""
     combined = state.unionByName(staged, allowMissingColumns=True)
@@ -163,8 +219,9 @@ def upsert(store: Store, staged: DataFrame, policy: SlaPolicy = SLA, tiebreak=ST
             "invalid": F.count_if(F.col("dq_status") == "INVALID"),
         },
     )
+    rewritten = spark.read.schema(store.record_schema()).parquet(target)
     stored = (
-        spark.read.schema(store.record_schema()).parquet(target)
+        rewritten
         .groupBy("opened_year", "opened_month")
         .agg(
             F.count_if(F.col("dq_status") == "VALID").alias("valid_records"),
@@ -176,6 +233,7 @@ def upsert(store: Store, staged: DataFrame, policy: SlaPolicy = SLA, tiebreak=ST
         raise WriteMismatch(f"upsert {run}: {before} + {received} rows in, {written} written, {found} stored")
 
     counts = {(row.opened_year, row.opened_month): (row.valid_records, row.invalid_records) for row in stored}
+    write_members(store, rewritten, counts, run)
     sequence = store.next_sequence("slices")
     index = [
         (*key, run, sequence, policy.version, *counts.get(key, (0, 0))) for key in sorted(touched | set(counts), key=str)
@@ -200,7 +258,7 @@ def refresh_silver(store: Store, policy: SlaPolicy = SLA, tiebreak=STORE_TIEBREA
     if not batches:
         return None
     staging = store.path("staging", store.new_run())
-    transformed = silver_records(store.bronze([b.batch_id for b in batches]), policy)
+    transformed = silver_records(store.bronze(pending), policy)
     count = write_counted(transformed, staging)["rows"]
     expected = sum(b.records_written for b in batches)
     if count != expected:
@@ -216,7 +274,7 @@ def refresh_silver(store: Store, policy: SlaPolicy = SLA, tiebreak=STORE_TIEBREA
 
 
 # ------------------------------------------------------------------------------------ gold
-def refresh_gold(store: Store, accuracy: int = P95_ACCURACY) -> dict[str, int] | None:
+def refresh_gold(store: Store) -> dict[str, int] | None:
     """Rebuild Gold if Silver has batches Gold has not seen; None when there are none."""
     spark = store.spark
     pending = pending_batches(store.control("ledger"), "silver", "gold").select("batch_id", "source_file", "file_hash")
@@ -225,7 +283,7 @@ def refresh_gold(store: Store, accuracy: int = P95_ACCURACY) -> dict[str, int] |
         return None
     run = store.new_run()
     valid = store.valid_records()
-    counts = write_gold(spark, valid, store.path("gold", f"run={run}"), accuracy)
+    counts = write_gold(spark, valid, store.path("gold", f"run={run}"))
     snapshot = sum(part.valid for part in store.slices())
     sequence = store.next_sequence("gold_runs")
     store.append("gold_runs", spark.createDataFrame([(run, sequence)], store.control_tables()["gold_runs"]))
@@ -293,7 +351,15 @@ def orphan_batches(store: Store) -> DataFrame:
 
 # ------------------------------------------------------------------------------- whole run
 def run_incremental(store: Store, landing: str, policy: SlaPolicy = SLA) -> str:
-    """One run over all stages, recorded in the run history even when a stage fails."""
+    """One run over all stages, recorded in the run history even when a stage fails.
+
+    The runtime settings of the library hold during the run and are restored afterwards.
+    """
+    with adaptive_profile(store.spark):
+        return run_stages(store, landing, policy)
+
+
+def run_stages(store: Store, landing: str, policy: SlaPolicy) -> str:
     stages: list[tuple[str, str]] = []
     run_id = store.new_run()
     started = F.lit(store.spark.sql("SELECT current_timestamp()").first()[0])
@@ -325,7 +391,7 @@ def record_run(
     store: Store, run_id: str, landing: str, status: str, started, stages: list[tuple[str, str]]
 ) -> None:
     spark = store.spark
-    snapshot = control_snapshot(store.control("ledger"), landed_files(spark, landing).select("path"))
+    snapshot = control_snapshot(store.control("ledger"), file_listing(spark, landing).select("path"))
     done = F.array(*(F.struct(F.lit(n).alias("name"), F.lit(s).alias("status")) for n, s in stages))
     row = snapshot.withColumnRenamed("gold_snapshot_records", "gold_records").select(
         F.lit(run_id).alias("run_id"),

@@ -11,8 +11,10 @@ from faultline.config import FORECAST, MONTH_NAMES, RISK, ForecastPolicy, RiskPo
 from faultline.functions.text import blank_to_null
 from faultline.operators.recommend import severity_rank
 from faultline.operators.risk import risk_order
+from faultline.sources.lines import file_hashes
 
 SCHEMA_VERSION = "1.0"
+MANIFEST_VERSION = "1.0"
 
 
 def iso_day(column: str) -> Column:
@@ -80,12 +82,16 @@ def risk_payload(risk: DataFrame) -> DataFrame:
     )
 
 
-def risk_methodology(spark: SparkSession, policy: RiskPolicy = RISK) -> DataFrame:
-    row = (policy.name, policy.version, "0-100", policy.volume_weight, policy.rate_weight, policy.duration_weight)
-    columns = (
-        "name string, version string, score_scale string, volume double, kpi_violation_rate double, avg_duration double"
+def risk_methodology(risk: DataFrame, policy: RiskPolicy = RISK) -> DataFrame:
+    """How every dimension was scored and what came out: items, ranked items and the largest score."""
+    constants = {
+        "name": policy.name, "version": policy.version, "score_scale": "0-100", "volume": policy.volume_weight,
+        "kpi_violation_rate": policy.rate_weight, "avg_duration": policy.duration_weight,
+    }
+    found = risk.groupBy("dimension_type").agg(
+        F.count("*").alias("items"), F.count("rank").alias("ranked"), F.max("risk_score").alias("top_score")
     )
-    return spark.createDataFrame([row], columns)
+    return found.withColumns({name: F.lit(value) for name, value in constants.items()})
 
 
 def history_payload(history: DataFrame) -> DataFrame:
@@ -166,27 +172,41 @@ def partition_counts(trends: DataFrame) -> DataFrame:
     )
 
 
-def stored_files(spark: SparkSession, path: str, pattern: str = "*.json") -> DataFrame:
-    """Stored files with size and hash after CRLF and CR -> LF, so both hold on any platform."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
-    text = F.translate(F.replace(F.decode("content", "UTF-8"), F.lit("\r\n"), F.lit("\n")), "\r", "\n")
-    return files.load(path).select(
-        "path", F.octet_length(text).cast("bigint").alias("size_bytes"), F.sha2(text, 256).alias("sha256")
-    )
-
-
 def combined_hash(column: str = "sha256") -> Column:
-    """Hash of a multi-file dataset: the hash of its sorted file hashes."""
+    """Hash of a dataset of several files: the hash of its sorted file hashes, one per file of up to
+    ``LINES_PER_FILE`` lines."""
     return F.sha2(F.array_join(F.sort_array(F.collect_list(column)), ""), 256)
 
 
-def partition_index(spark: SparkSession, trends_path: str, schema) -> DataFrame:
-    """Count, size and hash of every stored month, with totals and the default month."""
+INDEX_SCHEMA = (
+    "year int, month int, path string, record_count bigint, size_bytes bigint, sha256 string, generated_at string, mock boolean"
+)
+HEADER_SCHEMA = "year int, month int, record_count bigint, generated_at string, mock boolean"
+SUMMARY_SCHEMA = (
+    "total_records bigint, total_size_bytes bigint, partition_count bigint, default_year int, default_month int, "
+    "generated_at string, mock boolean"
+)
+INDEX_FIELDS = ["record_count", "size_bytes", "sha256"]
+HEADER_FIELDS = ["record_count", "generated_at", "mock"]
+TOTAL_FIELDS = ["total_records", "total_size_bytes", "partition_count", "default_year", "default_month"]
+
+
+def partition_headers(trends: DataFrame, generated_at: str, mock: bool = False) -> DataFrame:
+    """What every month says about itself, known without reading its records."""
+    return partition_counts(trends).select(
+        "year", "month", "record_count", F.lit(generated_at).alias("generated_at"), F.lit(mock).alias("mock")
+    )
+
+
+def partition_index(
+    spark: SparkSession, trends_path: str, schema, generated_at: str | None = None, mock: bool = False
+) -> DataFrame:
+    """Count, size and hash of every stored month; with ``generated_at`` also its time and mock flag."""
     records = spark.read.schema(schema).json(trends_path)
     counts = records.groupBy("year", "month").agg(F.count("*").alias("record_count"))
     part = r"year=(\d+)/month=(\d+)"
     files = (
-        stored_files(spark, trends_path)
+        file_hashes(spark, trends_path)
         .withColumns(
             {
                 "year": F.regexp_extract("path", part, 1).try_cast("int"),
@@ -196,7 +216,7 @@ def partition_index(spark: SparkSession, trends_path: str, schema) -> DataFrame:
         .groupBy("year", "month")
         .agg(F.sum("size_bytes").alias("size_bytes"), combined_hash().alias("sha256"))
     )
-    return counts.join(files, ["year", "month"], "left").select(
+    index = counts.join(files, ["year", "month"], "left").select(
         "year",
         "month",
         F.format_string("daily_trends/year=%d/month=%d", "year", "month").alias("path"),
@@ -204,22 +224,55 @@ def partition_index(spark: SparkSession, trends_path: str, schema) -> DataFrame:
         "size_bytes",
         "sha256",
     )
+    if generated_at is None:
+        return index
+    return index.withColumns({"generated_at": F.lit(generated_at), "mock": F.lit(mock)})
 
 
-def index_summary(index: DataFrame) -> DataFrame:
+def index_summary(index: DataFrame, generated_at: str | None = None, mock: bool = False) -> DataFrame:
     newest = F.max(F.struct("year", "month"))
-    return index.agg(
+    summary = index.agg(
         F.coalesce(F.sum("record_count"), F.lit(0)).alias("total_records"),
         F.coalesce(F.sum("size_bytes"), F.lit(0)).alias("total_size_bytes"),
         F.count("*").alias("partition_count"),
         newest["year"].alias("default_year"),
         newest["month"].alias("default_month"),
     )
+    if generated_at is None:
+        return summary
+    return summary.withColumns({"generated_at": F.lit(generated_at), "mock": F.lit(mock)})
 
 
 def index_problems(recorded: DataFrame, stored: DataFrame) -> DataFrame:
     """Differences between a recorded index and what is stored now, one row per field."""
-    return field_differences(recorded, stored, ["year", "month"], ["record_count", "size_bytes", "sha256"])
+    return field_differences(recorded, stored, ["year", "month"], INDEX_FIELDS)
+
+
+def validate_partitions(recorded: DataFrame, summary: DataFrame, stored: DataFrame, headers: DataFrame) -> DataFrame:
+    """Every difference of a recorded index from the stored months, their headers and its own totals.
+
+    Rows of totals have no year and month.  Headers are read without the records they describe.
+    """
+    keys = ["year", "month"]
+    of_headers = field_differences(recorded, headers, keys, HEADER_FIELDS).withColumn(
+        "field", F.concat(F.lit("header."), F.col("field"))
+    )
+    nowhere = {name: F.lit(None).cast("int") for name in keys}
+    totals = field_differences(
+        summary.withColumns(nowhere), index_summary(recorded).withColumns(nowhere), keys, TOTAL_FIELDS
+    )
+    default = summary.filter("default_year IS NOT NULL").select(
+        F.col("default_year").alias("year"), F.col("default_month").alias("month")
+    )
+    missing = default.join(recorded.select(*keys), keys, "left_anti").select(
+        *(column.alias(name) for name, column in nowhere.items()),
+        F.lit("default_partition").alias("field"),
+        F.format_string("%d-%02d", "year", "month").alias("expected"),
+        F.lit(None).cast("string").alias("actual"),
+    )
+    times = recorded.select("generated_at", "mock").distinct().withColumns(nowhere)
+    own = field_differences(summary.select("generated_at", "mock").withColumns(nowhere), times, keys, ["generated_at", "mock"])
+    return index_problems(recorded, stored).unionByName(of_headers).unionByName(totals).unionByName(missing).unionByName(own)
 
 
 def misplaced_records(records: DataFrame) -> DataFrame:
@@ -254,23 +307,40 @@ def field_differences(expected: DataFrame, actual: DataFrame, keys: list[str], f
     return both.select(*keys, F.inline(rows)).filter(~F.col("expected").eqNullSafe(F.col("actual")))
 
 
+# What the items of a published table are.
+ITEM_SOURCES = {
+    "filter_options": "year+month+priority+product+category+team",
+    "daily_trends": "total_records",
+    "risk_summary": "items",
+    "forecast_history": "history",
+    "forecast": "forecast",
+    "recommendations": "items",
+}
+MANIFEST_SCHEMA = (
+    "name string, path string, schema_path string, contract_status string, schema_version string, data_generated_at string, "
+    "mock boolean, item_count bigint, item_count_source string, size_bytes bigint, sha256 string, position int"
+)
+
+
 def manifest_entry(
     spark: SparkSession, name: str, path: str, items: DataFrame, violations: DataFrame, generated_at: Column,
-    position: int | None = None,
+    position: int | None = None, mock: bool = False,
 ) -> DataFrame:
     """Manifest row of one stored payload; with ``position`` also its place in the manifest."""
-    files = stored_files(spark, path).agg(
+    files = file_hashes(spark, path).agg(
         F.coalesce(F.sum("size_bytes"), F.lit(0)).alias("size_bytes"), combined_hash().alias("sha256")
     )
     broken = violations.agg(F.coalesce(F.sum("violations"), F.lit(0)).alias("n")).scalar()
     entry = files.select(
         F.lit(name).alias("name"),
         F.lit(path.rsplit("/", 1)[-1]).alias("path"),
+        F.lit(f"contracts/{name}").alias("schema_path"),
         F.when(broken == 0, "VALID").otherwise("INVALID").alias("contract_status"),
         F.lit(SCHEMA_VERSION).alias("schema_version"),
         generated_at.alias("data_generated_at"),
-        F.lit(False).alias("mock"),
+        F.lit(mock).alias("mock"),
         items.agg(F.count("*").alias("n")).scalar().alias("item_count"),
+        F.lit(ITEM_SOURCES.get(name, "items")).alias("item_count_source"),
         "size_bytes",
         "sha256",
     )
@@ -287,31 +357,43 @@ def manifest_summary(entries: DataFrame) -> DataFrame:
     )
 
 
+def manifest_head(entries: DataFrame, generated_at: str) -> DataFrame:
+    """The manifest's own row: version, time and summary."""
+    return manifest_summary(entries).withColumns(
+        {"schema_version": F.lit(MANIFEST_VERSION), "generated_at": F.lit(generated_at)}
+    )
+
+
 MANIFEST_FIELDS = [
-    "path", "contract_status", "schema_version", "data_generated_at", "mock", "item_count", "size_bytes", "sha256",
+    "path", "schema_path", "contract_status", "schema_version", "data_generated_at", "mock", "item_count", "item_count_source",
+    "size_bytes", "sha256",
 ]
 
 
 SUMMARY_FIELDS = ["status", "files_total", "files_valid", "contains_mock_data"]
+HEAD_FIELDS = ["schema_version", "generated_at", *SUMMARY_FIELDS]
 
 
-def manifest_drift(recorded: DataFrame, current: DataFrame, fields: list[str] | None = None) -> DataFrame:
+def manifest_drift(
+    recorded: DataFrame, current: DataFrame, fields: list[str] | None = None,
+    heads: tuple[DataFrame, DataFrame] | None = None,
+) -> DataFrame:
     """Field differences, missing entries and changed positions between two manifests.
 
-    Without ``fields`` the summaries are compared too, under a null name, and the positions
-    where either manifest has the column ``position``.
+    Without ``fields`` the heads are compared too, under a null name (without ``heads`` only their
+    summaries), and the positions where either manifest has the column ``position``.
     """
     if fields:
         return field_differences(recorded, current, ["name"], fields)
-    compared = list(MANIFEST_FIELDS)
-    if "position" in recorded.columns or "position" in current.columns:
-        compared.append("position")
-        recorded, current = (
-            df if "position" in df.columns else df.withColumn("position", F.lit(None).cast("int")) for df in (recorded, current)
-        )
-    top = [manifest_summary(df).withColumn("name", F.lit(None).cast("string")) for df in (recorded, current)]
+    # A field that an older manifest does not have is null there.
+    compared = [name for name in (*MANIFEST_FIELDS, "position") if name in recorded.columns or name in current.columns]
+    recorded, current = (
+        df.withColumns({name: F.lit(None).cast("string") for name in compared if name not in df.columns}) for df in (recorded, current)
+    )
+    top = [manifest_summary(df) for df in (recorded, current)] if heads is None else heads
+    top = [df.withColumn("name", F.lit(None).cast("string")) for df in top]
     return field_differences(recorded, current, ["name"], compared).unionByName(
-        field_differences(*top, ["name"], SUMMARY_FIELDS)
+        field_differences(*top, ["name"], SUMMARY_FIELDS if heads is None else HEAD_FIELDS)
     )
 
 

@@ -26,15 +26,16 @@ def output_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counted)
 
 
-def summarize_samples(samples: DataFrame, key: str, value: str) -> DataFrame:
+def summarize_samples(samples: DataFrame, keys: str | list[str], value: str) -> DataFrame:
     """Exact order statistics per key: nearest-rank p95, median of the two middle values.
 
     Equal values are counted first, with map-side combining; the running count then sorts
     distinct values only, on disk if need be, instead of holding a group in memory.
     """
-    counted = samples.groupBy(key, value).agg(F.count("*").alias("n"))
-    ordered = Window.partitionBy(key).orderBy(value)
-    whole = Window.partitionBy(key)
+    key = [keys] if isinstance(keys, str) else list(keys)
+    counted = samples.groupBy(*key, value).agg(F.count("*").alias("n"))
+    ordered = Window.partitionBy(*key).orderBy(value)
+    whole = Window.partitionBy(*key)
     placed = counted.withColumns(
         {"last": F.sum("n").over(ordered), "size": F.sum("n").over(whole)}
     )
@@ -45,7 +46,7 @@ def summarize_samples(samples: DataFrame, key: str, value: str) -> DataFrame:
 
     half = F.col("size") / 2
     weighted = F.col(value) * F.col("n")
-    stats = placed.groupBy(key).agg(
+    stats = placed.groupBy(*key).agg(
         F.min(value).alias("minimum"),
         ((at_rank(F.ceil(half)) + at_rank(F.floor(half) + 1)) / 2).alias("median"),
         at_rank(F.ceil(F.col("size") * 0.95)).alias("p95"),
@@ -55,40 +56,44 @@ def summarize_samples(samples: DataFrame, key: str, value: str) -> DataFrame:
             F.sum(F.col(value) * weighted) / F.sum("n") - F.pow(F.sum(weighted) / F.sum("n"), F.lit(2.0))
         ).alias("stdev"),
     )
-    return stats.select(key, *(F.round(F.col(s).cast("double"), 4).alias(s) for s in STATISTICS))
+    return stats.select(*key, *(F.round(F.col(s).cast("double"), 4).alias(s) for s in STATISTICS))
 
 
 FINGERPRINT = ("rows", "duration_sum", "priority_sum")
 
 
-def summarize_profiles(runs: DataFrame) -> DataFrame:
-    """Timing statistics, fingerprint and its stability per profile.
+def summarize_profiles(runs: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Timing statistics, fingerprint and its stability per profile, for every comparison in ``by``.
 
     ``runs`` has one row per measured run: profile, total_seconds and the fingerprint.
     """
-    prints = runs.groupBy("profile").agg(
+    keys = [*(by or []), "profile"]
+    prints = runs.groupBy(*keys).agg(
         *(F.min(c).alias(c) for c in FINGERPRINT),
         *(F.max(c).alias(f"max_{c}") for c in FINGERPRINT),
     )
     stable = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"max_{c}")) for c in FINGERPRINT))
-    timing = summarize_samples(runs, "profile", "total_seconds")
-    return timing.join(prints.select("profile", *FINGERPRINT, stable.alias("stable")), "profile")
+    timing = summarize_samples(runs, keys, "total_seconds")
+    return timing.join(prints.select(*keys, *FINGERPRINT, stable.alias("stable")), keys)
 
 
-def compare_profiles(summary: DataFrame, baseline: str, optimized: str, minimum_pct: float = 10.0) -> DataFrame:
-    """Improvement, speed-up and verdict; one row when both profiles were measured."""
+def compare_profiles(
+    summary: DataFrame, baseline: str, optimized: str, minimum_pct: float = 10.0, by: list[str] | None = None
+) -> DataFrame:
+    """Improvement, speed-up and verdict; one row per comparison in which both profiles were measured."""
 
     def of(profile: str, column: str) -> Column:
         return F.max(F.when(F.col("profile") == profile, F.col(column)))
 
     sides = {"b": baseline, "o": optimized}
-    wide = summary.agg(
+    wide = summary.groupBy(*(by or [])).agg(
         *(of(p, c).alias(f"{s}_{c}") for s, p in sides.items() for c in ("median", "stable", *FINGERPRINT))
     ).filter((F.col("b_median") > 0) & (F.col("o_median") > 0))
     same = reduce(lambda a, b: a & b, (F.col(f"b_{c}").eqNullSafe(F.col(f"o_{c}")) for c in FINGERPRINT))
     matches = same & F.col("b_stable") & F.col("o_stable")
     improvement = (F.col("b_median") - F.col("o_median")) / F.col("b_median") * 100
     return wide.select(
+        *(by or []),
         F.when(matches, "MATCH").otherwise("MISMATCH").alias("correctness_status"),
         F.round(F.lit(minimum_pct), 2).alias("minimum_improvement_pct"),
         F.round(improvement, 2).alias("median_improvement_pct"),

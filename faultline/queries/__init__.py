@@ -4,7 +4,7 @@ from importlib import import_module
 
 from faultline.queries.registry import ORACLES, QUERIES
 
-for _topic in ("silver", "gold", "rollup", "ledger", "publish", "workload", "disk"):
+for _topic in ("silver", "gold", "ledger", "publish", "workload", "disk", "rollup"):
     import_module(f"faultline.queries.{_topic}_queries")
 
 __all__ = ["ORACLES", "QUERIES"]

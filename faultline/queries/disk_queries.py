@@ -11,10 +11,10 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from faultline.operators import aggregates, contracts
 from faultline.operators.quality import latest_versions
-from faultline.plans import incremental, publish
+from faultline.plans import incremental, publication, publish
 from faultline.plans.gold import write_gold
 from faultline.plans.store import Store
-from faultline.queries.frames import CHECK_ACCURACY, current, plain_time, raw, silver, trends, valid
+from faultline.queries.frames import current, plain_time, raw, silver, stored_valid, trends, valid
 from faultline.queries.registry import query
 from faultline.queries.silver_queries import KEYS_SQL, with_keys
 from faultline.queries.sqlbase import VIEWS
@@ -24,7 +24,8 @@ from faultline.session import new_run_dir
 from faultline.sinks import payloads, tables
 from faultline.sources.incident_csv import READ_OPTIONS, WRITE_OPTIONS, add_lineage, add_source_file, read_incident_csv
 from faultline.sources.landing import landed_files, landing_inventory, pending_files
-from faultline.sources.testbed import VERSION_TIEBREAK
+from faultline.sources.lines import CHUNK, folded
+from faultline.sources.testbed import POLICY, VERSION_TIEBREAK
 from faultline.streaming.landing_stream import start_landing_stream
 
 TIEBREAK_DDL = "_line_number int, _part_key bigint, _supplier_key bigint, _extended_price double"
@@ -65,12 +66,15 @@ def scan_incidents(spark, sf_dir):
 
 
 def bronze_store(spark, sf_dir) -> Store:
-    """Bronze batches written from the versions, one folder per shipping month."""
+    """Bronze batches written from the versions, one folder per shipping month, and their ledger."""
     store = store_for(spark, "bronze", TIEBREAK_DDL)
     rows = raw(spark, sf_dir).withColumns(
         {"_source_file": F.concat(F.lit("incidents_"), "_batch_id", F.lit(".csv")), "_source_hash": F.sha2("_batch_id", 256)}
     )
     incremental.write_bronze(store, incremental.with_digest(rows))
+    batches = rows.select(F.col("_batch_id").alias("batch_id"), F.col("_source_file").alias("source_file"),
+                          F.col("_source_hash").alias("file_hash")).distinct()
+    store.append("ledger", incremental.bronze_ledger(batches, incremental.stored_counts(store, batches)))
     return store
 
 
@@ -79,12 +83,11 @@ def bronze_store(spark, sf_dir) -> Store:
     f"SELECT {KEYS_SQL} FROM v_raw WHERE batch_id > (SELECT max(batch_id) FROM v_raw WHERE batch_id LIKE '%_12')",
 )
 def scan_pending_batches(spark, sf_dir):
-    """Only the folders of batches after the last December are read."""
+    """Only the folders of batches after the last December are read: the ledger's ids prune them."""
     store = bronze_store(spark, sf_dir)
-    done = store.bronze().filter(F.col("_batch_id").like("%\\_12")).agg(F.max("_batch_id")).first()[0]
-    ids = store.bronze().select("_batch_id").distinct().filter(F.col("_batch_id") > done).collect()
-    pending = store.bronze([row[0] for row in ids]).withColumnRenamed("Número", "incident_id")
-    return with_keys(pending)
+    december = store.control("ledger").filter("batch_id LIKE '%_12'").agg(F.max("batch_id")).scalar()
+    later = store.control("ledger").filter(F.col("batch_id") > december)
+    return with_keys(store.bronze(later).withColumnRenamed("Número", "incident_id"))
 
 
 @query(
@@ -216,7 +219,8 @@ def migrate_trends(spark, sf_dir):
     rows = trends(spark, sf_dir)
     # Bounded by the other dimensions of a day and product, not by tickets.
     documents = rows.groupBy("date", "product").agg(F.collect_list(F.struct(*rows.columns)).alias("records"))
-    documents.select("records").write.option("ignoreNullFields", "false").json(legacy)
+    stamped = documents.select(F.date_format("date", "yyyy-MM-dd").alias("generated_at"), "records")
+    stamped.write.option("ignoreNullFields", "false").json(legacy)
     payloads.migrate_trends(spark, legacy, TREND_FILE_SCHEMA, folder, multiline=False)
     return payloads.read_trend_partitions(spark, folder, STORED_TRENDS)
 
@@ -233,19 +237,47 @@ def stored_index_totals(spark, sf_dir):
     return publish.index_summary(index).drop("total_size_bytes")
 
 
+TRENDS_BY_MONTH = """
+    SELECT CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month, count(*) AS n FROM v_trends GROUP BY ALL
+"""
+
+
 @query(
     "validate_partitions",
-    """SELECT CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month, 'record_count' AS field,
-              CAST(count(*) + 1 AS VARCHAR) AS expected, CAST(count(*) AS VARCHAR) AS actual
-       FROM v_trends WHERE month(date) = 4 GROUP BY ALL""",
+    f"""SELECT * FROM (WITH m AS ({TRENDS_BY_MONTH}), newest AS (SELECT max(year * 100 + month) AS p FROM m),
+        t AS (SELECT strftime(max(date), '%Y-%m-%d') AS g FROM v_trends), n AS (SELECT NULL::INTEGER AS year, NULL::INTEGER AS month)
+        SELECT year, month, 'record_count' AS field, CAST(n + 1 AS VARCHAR) AS expected, CAST(n AS VARCHAR) AS actual
+          FROM m WHERE month = 4
+        UNION ALL SELECT year, month, 'header.record_count', CAST(n + 1 AS VARCHAR), CAST(n AS VARCHAR) FROM m WHERE month = 4
+        UNION ALL SELECT year, month, 'header.generated_at', g, '1900-01-01' FROM m, t WHERE month = 3
+        UNION ALL SELECT year, month, 'header.mock', 'false', 'true' FROM m WHERE month = 5
+        UNION ALL SELECT n.*, 'total_records', CAST((SELECT sum(n) FROM m) AS VARCHAR),
+          CAST((SELECT sum(n) + count(*) FILTER (month = 4) FROM m) AS VARCHAR) FROM n
+        UNION ALL SELECT n.*, 'default_year', CAST(p // 100 + 1 AS VARCHAR), CAST(p // 100 AS VARCHAR) FROM n, newest
+        UNION ALL SELECT n.*, 'default_partition', printf('%d-%02d', p // 100 + 1, p % 100), NULL FROM n, newest
+        UNION ALL SELECT n.*, 'generated_at', g || 'T', g FROM n, t)""",
 )
 def validate_partitions(spark, sf_dir):
-    """The stored index against a recorded one that is wrong by one record every April."""
+    """A stored index with one fault of every kind: counts of April, header times of March, headers
+    of May, a total, the default month and the time of the whole index."""
     folder, saved = stored_trends(spark, sf_dir), new_run_dir(spark, "index")
-    publish.partition_index(spark, folder, STORED_TRENDS).write.parquet(saved)
+    rows = payloads.read_trend_partitions(spark, folder, STORED_TRENDS)
+    newest = rows.agg(F.date_format(F.max("date"), "yyyy-MM-dd")).first()[0]
+    publish.partition_index(spark, folder, STORED_TRENDS, newest).write.parquet(saved)
+    payloads.write_json(publish.partition_headers(rows, newest), f"{saved}-headers")
     index = spark.read.parquet(saved)
+    headers = spark.read.schema(publish.HEADER_SCHEMA).json(f"{saved}-headers")
+    summary = publish.index_summary(index, newest).withColumns(
+        {"default_year": F.col("default_year") + 1, "generated_at": F.concat("generated_at", F.lit("T"))}
+    )
     recorded = index.withColumn("record_count", F.col("record_count") + (F.col("month") == 4).cast("int"))
-    return publish.index_problems(recorded, index)
+    wrong = headers.withColumns(
+        {
+            "generated_at": F.when(F.col("month") == 3, "1900-01-01").otherwise(F.col("generated_at")),
+            "mock": F.col("mock") | (F.col("month") == 5),
+        }
+    )
+    return publish.validate_partitions(recorded, summary, index, wrong)
 
 
 @query("misplaced_records", "SELECT 0 AS misplaced, count(*) AS records FROM v_trends")
@@ -272,17 +304,89 @@ def manifest(spark, sf_dir):
         stored = spark.read.schema(df.schema).json(path)
         broken = contracts.contract_outcomes(stored, name)
         entry = publish.manifest_entry(spark, name, path, stored, broken, newest)
+        # The hash tree again, folded from lines numbered by a window instead of by blocks.
         files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(path)
-        again = files.agg(
-            F.sha2(F.array_join(F.sort_array(F.collect_list(F.sha2("content", 256))), ""), 256).alias("hash"),
-            F.sum("length").alias("bytes"),
+        lines = files.select("path", F.posexplode(F.split(F.decode("content", "UTF-8"), "\n")).alias("number", "value"))
+        lines = lines.filter("value <> ''").select(
+            "path", "number", F.sha2("value", 256).alias("hash"), F.octet_length("value").cast("bigint").alias("size_bytes")
         )
-        holds = (F.col("sha256") == again.select("hash").scalar()) & (F.col("size_bytes") == again.select("bytes").scalar())
+        for _ in range(3):
+            lines = folded(lines, ["path"], CHUNK)
+        again = lines.agg(publish.combined_hash("hash").alias("hash"))
+        bytes_ = files.agg(F.sum("length")).scalar()
+        holds = (F.col("sha256") == again.scalar()) & (F.col("size_bytes") == bytes_)
         entry = entry.select("name", "contract_status", "mock", "item_count", holds.alias("hash_holds"), "data_generated_at")
         entries = entry if entries is None else entries.unionByName(entry)
     return entries
 
 
+VIEWS["v_publication"] = """
+    SELECT 'filter_options' AS name, 0 AS position, 'year+month+priority+product+category+team' AS item_count_source,
+           count(*) AS item_count FROM v_options
+    UNION ALL SELECT 'daily_trends', 1, 'total_records', count(*) FROM v_trends
+    UNION ALL SELECT 'risk_summary', 2, 'items', count(*) FROM v_risk
+    UNION ALL SELECT 'forecast_history', 3, 'history', count(*) FROM v_history
+    UNION ALL SELECT 'forecast', 4, 'forecast', count(*) FROM v_forecast
+    UNION ALL SELECT 'recommendations', 5, 'items', count(*) FROM v_recommendations
+"""
+
+
+@query(
+    "publish_store",
+    """SELECT name, position, 'contracts/' || name AS schema_path, item_count_source, item_count, 'VALID' AS contract_status,
+              (SELECT strftime(max(date), '%Y-%m-%d') FROM v_trends) AS data_generated_at,
+              (SELECT sum(total_incidents)::BIGINT FROM v_trends) AS incidents, 1::BIGINT AS publications, 1 AS refused
+       FROM v_publication""",
+)
+def publish_store(spark, sf_dir):
+    """A publication, then one whose trends count some incidents below zero, which is refused: the
+    first stays visible, with its manifest and its trends."""
+    store = store_for(spark, "store")
+    write_gold(spark, stored_valid(spark, sf_dir), store.path("gold", "run=one"))
+    store.append("gold_runs", spark.createDataFrame([("one", 1)], store.control_tables()["gold_runs"]))
+    newest = store.gold("daily_trends").agg(F.date_format(F.max("date"), "yyyy-MM-dd")).first()[0]
+    publication.publish_gold(store, newest)
+    flawed = publication.payload_tables(publication.gold_of(store))
+    below = F.when(F.dayofmonth("date") == 13, -F.col("total_incidents")).otherwise(F.col("total_incidents"))
+    flawed["daily_trends"] = flawed["daily_trends"].withColumn("total_incidents", below)
+    refused = 0
+    try:
+        publication.publish_gold(store, newest, tables=flawed)
+    except publication.PublicationRefused:
+        refused = 1
+    rows = publication.published(store, "daily_trends", STORED_TRENDS)
+    shown = publication.published(store, "manifest", publish.MANIFEST_SCHEMA).select(
+        "name", "position", "schema_path", "item_count_source", "item_count", "contract_status", "data_generated_at"
+    )
+    return shown.withColumns(
+        {
+            "incidents": rows.agg(F.sum("total_incidents")).scalar(),
+            "publications": store.control("publications").agg(F.count("*")).scalar(),
+            "refused": F.lit(refused),
+        }
+    )
+
+
+@query(
+    "json_safe_values",
+    """SELECT assigned_group, CASE WHEN total_incidents % 3 = 2 THEN avg_duration_seconds END AS avg_duration_seconds,
+              CASE WHEN total_incidents % 3 = 2 THEN kpi_compliance_pct END AS compliance FROM v_team""",
+)
+def json_safe_values(spark, sf_dir):
+    """Team figures with NaN and infinities planted, as they come back from a JSON payload."""
+    folder, kind = new_run_dir(spark, "safe"), F.col("total_incidents") % 3
+    team = aggregates.team_summary(valid(spark, sf_dir))
+    bad = F.when(kind == 0, F.lit(float("nan"))).when(kind == 1, F.lit(float("-inf")))
+    planted = team.select(
+        "assigned_group",
+        F.coalesce(bad, F.col("avg_duration_seconds")).alias("avg_duration_seconds"),
+        F.array(F.struct(F.coalesce(bad, F.col("kpi_compliance_pct")).alias("compliance"))).alias("rates"),
+    )
+    payloads.write_json(planted, folder)
+    stored = spark.read.schema(planted.schema).option("mode", "FAILFAST").json(folder)
+    return stored.select("assigned_group", "avg_duration_seconds", F.col("rates")[0]["compliance"].alias("compliance"))
+
+
 @query("export_tables", "SELECT * FROM v_dashboard")
 def export_tables(spark, sf_dir):
     source, target = new_run_dir(spark, "gold"), new_run_dir(spark, "export")
@@ -319,15 +423,13 @@ def ingest_totals(spark, sf_dir):
 
 
 def upserted(spark, sf_dir) -> tuple[Store, list[dict]]:
-    """Versions shipped before 1998 first, the others as a second load."""
+    """Versions shipped before 1998 first, the others as a second load; both are staged by one write."""
     store = store_for(spark, "store", TIEBREAK_DDL)
-    versions = silver(spark, sf_dir)
-    halves = (versions.filter("_batch_id < '1998_01'"), versions.filter("_batch_id >= '1998_01'"))
+    versions, staging = silver(spark, sf_dir), store.path("staging", store.new_run())
+    versions.withColumn("load", (F.col("_batch_id") >= "1998_01").cast("int")).write.partitionBy("load").parquet(staging)
     metrics = []
-    for half in halves:
-        staging = store.path("staging", store.new_run())
-        half.write.parquet(staging)
-        staged = spark.read.schema(versions.schema).parquet(staging)
+    for load in range(2):
+        staged = spark.read.schema(versions.schema).parquet(f"{staging}/load={load}")
         metrics.append(incremental.upsert(store, staged, tiebreak=VERSION_TIEBREAK))
     return store, metrics
 
@@ -402,26 +504,54 @@ def gold_refresh(spark, sf_dir):
     folder = new_run_dir(spark, "gold")
     source = new_run_dir(spark, "silver")
     tables.write_by_month(current(spark, sf_dir), source)
-    counts = write_gold(spark, spark.read.parquet(source).filter("dq_status = 'VALID'"), folder, CHECK_ACCURACY)
+    counts = write_gold(spark, spark.read.parquet(source).filter("dq_status = 'VALID'"), folder)
     return spark.createDataFrame(list(counts.items()), "table_name string, rows bigint")
 
 
 @query("gold_refresh_trends", "SELECT * FROM v_trends")
 def gold_refresh_trends(spark, sf_dir):
     folder = new_run_dir(spark, "gold")
-    write_gold(spark, valid(spark, sf_dir), folder, CHECK_ACCURACY)
+    write_gold(spark, stored_valid(spark, sf_dir), folder)
     return spark.read.parquet(f"{folder}/daily_trends")
 
 
-NEWEST_SQL = "SELECT incident_id, max(closed_at) AS closed_at FROM v_silver GROUP BY incident_id"
 
 
-@query("stream_upsert", NEWEST_SQL)
+# Every Silver column; the times are compared without a zone.
+SILVER_TIMES = ("opened_at", "resolved_at", "closed_at")
+SILVER_COLUMNS = (
+    "priority", "product", "category", "subcategory", "assigned_group", "configuration_item", "duration_seconds", "close_code",
+    "short_description", "opened_by", "parent_incident_id", "status", "entered_kpi", "kpi_violated", "priority_code",
+    "priority_name", "opened_year", "opened_month", "kpi_rule_version", "kpi_limit_seconds", "kpi_eligible_by_rule",
+    "kpi_violated_by_rule", "entered_kpi_rule_matches_source", "kpi_violated_rule_matches_source", "dq_status", "dq_issues",
+    "opened_at", "resolved_at",
+)
+VIEWS["v_newest"] = """
+    SELECT *, count(*) OVER (PARTITION BY incident_id) AS newest_versions
+    FROM (SELECT * FROM v_silver QUALIFY rank() OVER (PARTITION BY incident_id ORDER BY closed_at DESC NULLS LAST) = 1)
+"""
+
+
+@query(
+    "stream_upsert",
+    "SELECT incident_id, closed_at, newest_versions, "
+    + ", ".join(f"any_value(CASE WHEN newest_versions = 1 THEN {c} END) AS {c}" for c in SILVER_COLUMNS)
+    + " FROM v_newest GROUP BY ALL",
+)
 def stream_upsert(spark, sf_dir):
-    """The landing files as a stream in several micro-batches."""
+    """The landing files as a stream in several micro-batches, with every Silver column.
+
+    Where versions closed at one moment, the store takes the one with the largest row digest, which
+    SQL does not know: such incidents are compared by their time and their number of versions.
+    """
     store, files = store_for(spark, "stream"), landing(spark, sf_dir)
-    start_landing_stream(store, files, gold=False, files_per_batch=48).awaitTermination()
-    return store.records().select("incident_id", plain_time("closed_at"))
+    start_landing_stream(store, files, POLICY, gold=False, files_per_batch=48).awaitTermination()
+    versions = silver(spark, sf_dir).groupBy("incident_id", "closed_at").agg(F.count("*").alias("newest_versions"))
+    state = store.records().withColumnsRenamed({"incident_id": "_id", "closed_at": "_closed"})
+    same = (F.col("_id") == F.col("incident_id")) & F.col("_closed").eqNullSafe(F.col("closed_at"))
+    columns = [plain_time(c) if c in SILVER_TIMES else F.col(c) for c in SILVER_COLUMNS]
+    shown = [F.when(F.col("newest_versions") == 1, c).alias(name) for c, name in zip(columns, SILVER_COLUMNS)]
+    return state.join(versions, same).select("incident_id", plain_time("closed_at"), "newest_versions", *shown)
 
 
 @query(

@@ -6,19 +6,19 @@ from pyspark.sql import functions as F
 
 from faultline.operators import aggregates, forecast, recommend, risk
 from faultline.queries import frames
-from faultline.queries.frames import CHECK_ACCURACY, valid
+from faultline.queries.frames import valid
 from faultline.queries.registry import query
 from faultline.queries.sqlbase import finished
 
 
 @query("monthly_kpis", "SELECT * FROM v_monthly")
 def monthly_kpis(spark, sf_dir):
-    return aggregates.monthly_kpis(valid(spark, sf_dir), CHECK_ACCURACY)
+    return aggregates.monthly_kpis(valid(spark, sf_dir))
 
 
 @query("priority_summary", "SELECT * FROM v_priority")
 def priority_summary(spark, sf_dir):
-    return aggregates.priority_summary(valid(spark, sf_dir), CHECK_ACCURACY)
+    return aggregates.priority_summary(valid(spark, sf_dir))
 
 
 @query("team_summary", "SELECT * FROM v_team")
@@ -33,7 +33,7 @@ def dashboard_summary(spark, sf_dir):
 
 @query("operational_kpi_summary", "SELECT * FROM v_operational")
 def operational_kpi_summary(spark, sf_dir):
-    return aggregates.operational_kpi_summary(valid(spark, sf_dir), CHECK_ACCURACY)
+    return aggregates.operational_kpi_summary(valid(spark, sf_dir))
 
 
 @query("daily_trends", "SELECT * FROM v_trends")
@@ -94,7 +94,7 @@ def forecast_scope(spark, sf_dir):
     "SELECT CAST(max(d) - INTERVAL 27 DAY AS DATE) AS history_start_date, max(d) AS history_end_date FROM v_scope",
 )
 def forecast_bounds(spark, sf_dir):
-    return forecast.history_bounds(valid(spark, sf_dir))
+    return forecast.history_bounds(valid(spark, sf_dir)).drop("by_day")
 
 
 @query("forecast_history", "SELECT * FROM v_history")
@@ -118,7 +118,7 @@ def forecast_stats(spark, sf_dir):
 
 @query("weekday_profile", "SELECT * FROM v_weekday")
 def weekday_profile(spark, sf_dir):
-    return forecast.weekday_profile(frames.history(spark, sf_dir))
+    return forecast.weekday_profile(forecast.history_statistics(frames.history(spark, sf_dir)))
 
 
 @query("forecast_summary", "SELECT * FROM v_forecast")
@@ -148,7 +148,7 @@ def rec_compliance(spark, sf_dir):
 
 @query("rec_forecast_growth", finished("v_rec_growth"))
 def rec_forecast_growth(spark, sf_dir):
-    past = frames.history(spark, sf_dir)
+    past = frames.stored_history(spark, sf_dir)
     return recommend.from_forecast(forecast.forecast_summary(past), past)
 
 
@@ -168,7 +168,7 @@ def report_top_teams(spark, sf_dir):
 
 @query("report_latest_months", "SELECT * FROM v_monthly ORDER BY opened_year DESC, opened_month DESC LIMIT 12")
 def report_latest_months(spark, sf_dir):
-    months = aggregates.monthly_kpis(valid(spark, sf_dir), CHECK_ACCURACY)
+    months = aggregates.monthly_kpis(valid(spark, sf_dir))
     return months.orderBy(F.desc("opened_year"), F.desc("opened_month")).limit(12)
 
 

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from faultline.operators import aggregates, contracts, forecast, risk
 from faultline.plans import publish
 from faultline.queries import frames
-from faultline.queries.frames import CHECK_ACCURACY, advice, history, outlook, risk_table, trends, valid
+from faultline.queries.frames import advice, risk_table, trends, valid
 from faultline.queries.registry import query
 from faultline.queries.sqlbase import VIEWS
 from faultline.sinks.payloads import in_export_order
@@ -26,6 +26,7 @@ VIEWS["v_options"] = f"""
     UNION SELECT 'category', {NO_CODE}, trim(category) FROM v_trends WHERE trim(category) <> ''
     UNION SELECT 'team', {NO_CODE}, trim(assigned_group) FROM v_trends WHERE trim(assigned_group) <> ''
 """
+BAD_DATE = "(NOT regexp_full_match(date, '\\d{4}-\\d{2}-\\d{2}') OR TRY_CAST(date AS DATE) IS NULL)"
 VIEWS["v_trend_payload"] = """
     SELECT strftime(date, '%Y-%m-%d') AS date, priority_code, priority_name, product, category, assigned_group,
            total_incidents, kpi_incidents, kpi_violations, avg_duration_seconds, p95_duration_seconds FROM v_trends
@@ -43,7 +44,7 @@ def filter_options(spark, sf_dir):
 
 @query("export_monthly", "SELECT * FROM v_monthly ORDER BY opened_year, opened_month")
 def export_monthly(spark, sf_dir):
-    return in_export_order(aggregates.monthly_kpis(valid(spark, sf_dir), CHECK_ACCURACY), "monthly_kpis")
+    return in_export_order(aggregates.monthly_kpis(valid(spark, sf_dir)), "monthly_kpis")
 
 
 @query("publish_trends", "SELECT * FROM v_trend_payload")
@@ -72,8 +73,8 @@ def publish_risk(spark, sf_dir):
        FROM v_forecast""",
 )
 def publish_forecast(spark, sf_dir):
-    past = history(spark, sf_dir)
-    document = publish.forecast_document(past, outlook(spark, sf_dir))
+    past = frames.stored_history(spark, sf_dir)
+    document = publish.forecast_document(past, forecast.forecast_summary(past))
 
     def day_text(d):
         return F.concat_ws("=", d["date"], d["actual_incidents"].cast("string"))
@@ -105,7 +106,9 @@ def publish_recommendations(spark, sf_dir):
 
 # Trend payload with planted defects, to see every kind of rule report something.
 VIEWS["v_flawed"] = """
-    SELECT date, CASE WHEN substr(date, 9, 2) = '02' THEN 0 ELSE priority_code END AS priority_code,
+    SELECT CASE WHEN substr(date, 9, 2) = '17' THEN replace(date, '-', '/') WHEN substr(date, 9, 2) = '19'
+             THEN substr(date, 1, 8) || '32' ELSE date END AS date,
+           CASE WHEN substr(date, 9, 2) = '02' THEN 0 ELSE priority_code END AS priority_code,
            CASE WHEN substr(date, 9, 2) = '01' AND priority_code = 5 THEN '' ELSE priority_name END AS priority_name,
            CASE WHEN substr(date, 9, 2) = '03' THEN '' ELSE product END AS product, category, assigned_group,
            CASE WHEN substr(date, 9, 2) = '13' THEN -total_incidents ELSE total_incidents END AS total_incidents,
@@ -121,8 +124,10 @@ def flawed_trends(spark, sf_dir) -> DataFrame:
 
 def with_flaws(payload: DataFrame) -> DataFrame:
     day = F.substring("date", 9, 2)
+    slashed, no_day = F.replace("date", F.lit("-"), F.lit("/")), F.concat(F.substring("date", 1, 8), F.lit("32"))
     return payload.withColumns(
         {
+            "date": F.when(day == "17", slashed).when(day == "19", no_day).otherwise(F.col("date")),
             "priority_name": F.when((day == "01") & (F.col("priority_code") == 5), "").otherwise(F.col("priority_name")),
             "priority_code": F.when(day == "02", 0).otherwise(F.col("priority_code")),
             "product": F.when(day == "03", "").otherwise(F.col("product")),
@@ -134,8 +139,9 @@ def with_flaws(payload: DataFrame) -> DataFrame:
 
 @query(
     "contract_violations",
-    """SELECT 'daily_trends' AS table_name, column_name, rule, violations FROM (
-           SELECT 'priority_code' AS column_name, 'minimum' AS rule, count(*) AS violations FROM v_flawed
+    f"""SELECT 'daily_trends' AS table_name, column_name, rule, violations FROM (
+           SELECT 'date' AS column_name, 'date_format' AS rule, count(*) AS violations FROM v_flawed WHERE {BAD_DATE}
+           UNION ALL SELECT 'priority_code' AS column_name, 'minimum' AS rule, count(*) AS violations FROM v_flawed
              WHERE priority_code < 1
            UNION ALL SELECT 'priority_name', 'min_length', count(*) FROM v_flawed WHERE length(priority_name) < 1
            UNION ALL SELECT 'product', 'min_length', count(*) FROM v_flawed WHERE length(product) < 1
@@ -149,9 +155,10 @@ def contract_violations(spark, sf_dir):
 
 @query(
     "contract_report",
-    """SELECT date, priority_code, product, category, assigned_group, broken_rules,
+    f"""SELECT date, priority_code, product, category, assigned_group, broken_rules,
               greatest((count(*) OVER ()) - 10, 0) AS not_shown
        FROM (SELECT *, concat_ws('|',
+                 CASE WHEN {BAD_DATE} THEN 'date:date_format' END,
                  CASE WHEN priority_code < 1 THEN 'priority_code:minimum' END,
                  CASE WHEN length(priority_name) < 1 THEN 'priority_name:min_length' END,
                  CASE WHEN length(product) < 1 THEN 'product:min_length' END,
@@ -214,28 +221,72 @@ def partition_index(spark, sf_dir):
     return publish.partition_counts(trends(spark, sf_dir))
 
 
+# The two manifests of the drift query: fields by name, as text, and their heads under a null name.
+DRIFT_FIELDS = {
+    "path": "'risk/' || dimension_type",
+    "schema_path": "'contracts/risk_summary'",
+    "contract_status": "CASE WHEN max(risk_score) >= 75 THEN 'INVALID' ELSE 'VALID' END",
+    "schema_version": "'1.0'",
+    "data_generated_at": "CAST(max(volume) AS VARCHAR)",
+    "mock": "CASE WHEN min(risk_score) < 1 THEN 'true' ELSE 'false' END",
+    "item_count": "CAST(count(*) AS VARCHAR)",
+    "item_count_source": "'items'",
+    "size_bytes": "CAST(CAST(sum(length(dimension_value)) AS BIGINT) AS VARCHAR)",
+    "sha256": "sha256(max(dimension_value))",
+}
+RECORDED = "FROM v_risk WHERE dimension_type <> 'product' GROUP BY dimension_type"
+LATER = "FROM v_risk WHERE dimension_type <> 'priority' AND risk_score >= 20 GROUP BY dimension_type"
+
+
+def drift_side(rows: str, order: str, time: str) -> str:
+    """Entries and head of one manifest as (name, field, value)."""
+    columns = ", ".join(f"{sql} AS {name}" for name, sql in DRIFT_FIELDS.items())
+    placed = f"SELECT dimension_type AS name, {columns}, CAST(row_number() OVER (ORDER BY dimension_type {order}) AS VARCHAR) AS position {rows}"
+    healthy = "count(*) FILTER (contract_status = 'VALID')"
+    return f"""
+        SELECT name, field, value FROM (UNPIVOT ({placed}) ON COLUMNS(* EXCLUDE name) INTO NAME field VALUE value)
+        UNION ALL SELECT NULL, field, value FROM (UNPIVOT (
+            SELECT '1.0' AS schema_version, '{time}' AS generated_at, CAST(count(*) AS VARCHAR) AS files_total,
+                   CASE WHEN {healthy} = count(*) THEN 'HEALTHY' ELSE 'UNHEALTHY' END AS status,
+                   CAST({healthy} AS VARCHAR) AS files_valid, CAST(bool_or(mock = 'true') AS VARCHAR) AS contains_mock_data
+            FROM ({placed})) ON COLUMNS(*) INTO NAME field VALUE value)"""
+
+
 @query(
     "manifest_drift",
-    """SELECT coalesce(e.dimension_type, a.dimension_type) AS name,
-              CASE WHEN e.dimension_type IS NULL OR a.dimension_type IS NULL THEN 'entry' ELSE 'item_count' END AS field,
-              CASE WHEN a.dimension_type IS NULL THEN 'present' ELSE CAST(e.n AS VARCHAR) END AS expected,
-              CASE WHEN e.dimension_type IS NULL THEN 'present' ELSE CAST(a.n AS VARCHAR) END AS actual
-       FROM (SELECT dimension_type, count(*) AS n FROM v_risk WHERE dimension_type <> 'product' GROUP BY 1) e
-       FULL JOIN (SELECT dimension_type, count(*) AS n FROM v_risk
-                  WHERE dimension_type <> 'priority' AND risk_score >= 60 GROUP BY 1) a
-         ON e.dimension_type = a.dimension_type
-       WHERE e.n IS DISTINCT FROM a.n""",
+    f"""SELECT * FROM (WITH e AS ({drift_side(RECORDED, 'ASC', 'first')}), a AS ({drift_side(LATER, 'DESC', 'second')}),
+        one AS (SELECT coalesce(e.name, a.name) AS name, CASE WHEN e.name IS NULL THEN 'present' END AS actual,
+                       CASE WHEN a.name IS NULL THEN 'present' END AS expected
+                FROM (SELECT DISTINCT name FROM e WHERE name IS NOT NULL) e
+                FULL JOIN (SELECT DISTINCT name FROM a WHERE name IS NOT NULL) a ON e.name = a.name
+                WHERE e.name IS NULL OR a.name IS NULL)
+        SELECT name, 'entry' AS field, expected, actual FROM one
+        UNION ALL
+        SELECT e.name, e.field, e.value, a.value
+        FROM e JOIN a ON e.name IS NOT DISTINCT FROM a.name AND e.field = a.field WHERE e.value IS DISTINCT FROM a.value)""",
 )
 def manifest_drift(spark, sf_dir):
-    """A recorded table of contents against a later one with other, missing and new entries."""
+    """A recorded manifest against a later one: other, missing and new entries, another order, another head."""
     ranked = risk_table(spark, sf_dir)
 
-    def contents(df):
-        return df.groupBy(F.col("dimension_type").alias("name")).agg(F.count("*").alias("item_count"))
+    def manifest(df, order):
+        entries = df.groupBy(F.col("dimension_type").alias("name")).agg(
+            F.max("risk_score").alias("worst"), F.min("risk_score").alias("least"), F.max("volume").alias("volume"),
+            F.count("*").alias("item_count"), F.sum(F.length("dimension_value")).alias("size_bytes"),
+            F.sha2(F.max("dimension_value"), 256).alias("sha256"),
+        )
+        return entries.select(
+            "name", F.concat(F.lit("risk/"), "name").alias("path"), F.lit("contracts/risk_summary").alias("schema_path"),
+            F.when(F.col("worst") >= 75, "INVALID").otherwise("VALID").alias("contract_status"),
+            F.lit(publish.SCHEMA_VERSION).alias("schema_version"), F.col("volume").cast("string").alias("data_generated_at"),
+            (F.col("least") < 1).alias("mock"), "item_count", F.lit("items").alias("item_count_source"), "size_bytes", "sha256",
+            F.row_number().over(Window.orderBy(order)).alias("position"),
+        )
 
-    recorded = contents(ranked.filter("dimension_type <> 'product'"))
-    later = contents(ranked.filter("dimension_type <> 'priority' AND risk_score >= 60"))
-    return publish.manifest_drift(recorded, later, ["item_count"])
+    recorded = manifest(ranked.filter("dimension_type <> 'product'"), F.asc("name"))
+    later = manifest(ranked.filter("dimension_type <> 'priority' AND risk_score >= 20"), F.desc("name"))
+    heads = publish.manifest_head(recorded, "first"), publish.manifest_head(later, "second")
+    return publish.manifest_drift(recorded, later, heads=heads)
 
 
 def gate_entries(spark, sf_dir) -> DataFrame:
@@ -255,10 +306,10 @@ def gate_entries(spark, sf_dir) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
-VIEWS["v_flaws"] = """
+VIEWS["v_flaws"] = f"""
     SELECT count(*) AS flaws FROM v_flawed
     WHERE priority_code < 1 OR length(priority_name) < 1 OR length(product) < 1 OR total_incidents < 0
-          OR kpi_violations IS NULL
+          OR kpi_violations IS NULL OR {BAD_DATE}
 """
 
 
@@ -279,10 +330,9 @@ def publication_freshness(spark, sf_dir):
 
 @query(
     "risk_methodology",
-    """SELECT 'weighted_operational_risk' AS name, '1.0' AS version, '0-100' AS score_scale,
+    """SELECT dimension_type, 'weighted_operational_risk' AS name, '1.0' AS version, '0-100' AS score_scale,
               CAST(0.45 AS DOUBLE) AS volume, CAST(0.35 AS DOUBLE) AS kpi_violation_rate, CAST(0.2 AS DOUBLE) AS avg_duration,
-              (SELECT count(*) FROM v_risk) AS items""",
+              count(*) AS items, count(rank) AS ranked, max(risk_score) AS top_score FROM v_risk GROUP BY dimension_type""",
 )
 def risk_methodology(spark, sf_dir):
-    items = frames.risk_table(spark, sf_dir).agg(F.count("*").alias("n")).scalar()
-    return publish.risk_methodology(spark).withColumn("items", items)
+    return publish.risk_methodology(risk_table(spark, sf_dir))

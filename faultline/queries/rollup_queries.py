@@ -4,9 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from faultline.operators import rollups
-from faultline.queries.frames import advice, dashboard, history, outlook, risk_table, trends
+from faultline.operators import forecast, rollups
+from faultline.plans import publish
+from faultline.queries import frames
+from faultline.queries.disk_queries import STORED_TRENDS, stored_trends
+from faultline.queries.frames import advice, dashboard, risk_table, trends
 from faultline.queries.registry import query
+from faultline.session import new_run_dir
+from faultline.sinks import payloads
 
 SHARE = """CASE WHEN kpi_incidents > 0
     THEN (kpi_incidents - kpi_violations)::DOUBLE / kpi_incidents::DOUBLE * 100 END AS compliance_pct"""
@@ -110,7 +115,8 @@ def trend_weekly(spark, sf_dir):
        SELECT forecast_date, NULL, predicted_incidents, lower_bound, upper_bound FROM v_forecast""",
 )
 def forecast_timeline(spark, sf_dir):
-    return rollups.forecast_timeline(history(spark, sf_dir), outlook(spark, sf_dir)).orderBy("date")
+    past = frames.stored_history(spark, sf_dir)
+    return rollups.forecast_timeline(past, forecast.forecast_summary(past)).orderBy("date")
 
 
 @query(
@@ -146,7 +152,11 @@ def risk_dimensions(spark, sf_dir):
        WHERE date_trunc('month', date) = (SELECT date_trunc('month', max(date)) FROM v_trends)""",
 )
 def trends_default_month(spark, sf_dir):
-    newest = rollups.newest_month(trends(spark, sf_dir))
+    """The default view reads one stored month folder, which the join with the newest month picks."""
+    folder, index = stored_trends(spark, sf_dir), new_run_dir(spark, "index")
+    publish.partition_index(spark, folder, STORED_TRENDS).write.parquet(index)
+    stored = payloads.read_trend_partitions(spark, folder, STORED_TRENDS)
+    newest = rollups.newest_month(stored, spark.read.parquet(index))
     return newest.select("date", "priority_code", "product", "category", "assigned_group", "total_incidents")
 
 

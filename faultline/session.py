@@ -33,10 +33,20 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
     return builder.getOrCreate()
 
 
-def apply_adaptive_conf(spark: SparkSession) -> SparkSession:
-    for key, value in ADAPTIVE_CONF.items():
-        spark.conf.set(key, value)
-    return spark
+@contextmanager
+def adaptive_profile(spark: SparkSession) -> Iterator[SparkSession]:
+    """The library's runtime settings for the duration of a block, whatever the session has."""
+    before = {key: spark.conf.get(key, None) for key in ADAPTIVE_CONF}
+    try:
+        for key, value in ADAPTIVE_CONF.items():
+            spark.conf.set(key, value)
+        yield spark
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -18,11 +18,13 @@ def write_counted(
     partition_by: Sequence[str] = (),
     mode: str = "overwrite",
     extra: dict | None = None,
+    replace_partitions: bool = False,
 ) -> dict[str, int]:
     """Write once and return the row count (and further aggregates) observed on the way.
 
     The observation sits directly below the writer, in the result stage, where Spark counts
-    every task once even if executors are lost and earlier stages run again.
+    every task once even if executors are lost and earlier stages run again.  With
+    ``replace_partitions`` only the partitions that are written replace what they held.
     """
     seen = Observation()
     measures = {"rows": F.count(F.lit(1)), **(extra or {})}
@@ -30,6 +32,8 @@ def write_counted(
     writer = watched.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if replace_partitions:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
     return dict(seen.get)
 

@@ -12,6 +12,7 @@ from faultline.operators import contracts, ledger, reconcile, rollups
 from faultline.plans import publish, workload
 from faultline.schema import LEDGER_SCHEMA
 from faultline.sinks.payloads import write_json, write_trend_partitions
+from faultline.sources.lines import file_hashes
 from faultline.sources.synthetic import synthetic_incidents
 
 
@@ -164,7 +165,7 @@ def test_line_ends_do_not_change_hashes(spark, tmp_path):
     for name, text in (("unix", b"a\nb\n"), ("dos", b"a\r\nb\r\n"), ("old", b"a\rb\n")):
         (tmp_path / name).mkdir()
         (tmp_path / name / "x.json").write_bytes(text)
-    rows = [publish.stored_files(spark, str(tmp_path / n)).select("size_bytes", "sha256").first() for n in ("unix", "dos", "old")]
+    rows = [file_hashes(spark, str(tmp_path / n)).select("size_bytes", "sha256").first() for n in ("unix", "dos", "old")]
     assert rows[0] == rows[1] == rows[2] and rows[0].size_bytes == 4
 
 
@@ -187,7 +188,9 @@ def test_trend_rollups(trends):
     teams = {r.name: r.total_incidents for r in rollups.top_dimension(trends, "team").collect()}
     assert teams == {"t": 3, "Não informado": 3}
     assert rollups.top_dimension(trends, "priority").first().name == "1 - Alta"
-    assert rollups.newest_month(trends).count() == 1
+    by_month = trends.withColumns({"year": F.year("date"), "month": F.month("date")})
+    index = by_month.groupBy("year", "month").agg(F.count("*").alias("record_count"))
+    assert rollups.newest_month(by_month, index).count() == 1
     assert rollups.trends_sliced(trends, year=2026, month=1, priority_code=None).count() == 2
     assert rollups.trends_sliced(trends, month=2).count() == 1
 

@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from faultline.operators import aggregates, forecast, recommend, risk
-from faultline.plans.gold import daily_cells_with_p95, gold_tables
+from faultline.operators.aggregates import daily_cells_with_p95
+from faultline.plans.gold import gold_tables
 
 SILVER = (
     "incident_id string, opened_at timestamp, opened_year int, opened_month int, priority_code int, priority_name string, "

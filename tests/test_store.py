@@ -53,7 +53,7 @@ def test_whole_run_twice(spark, store, tmp_path):
     assert (month.total_incidents, month.kpi_incidents, month.kpi_violations, month.kpi_compliance_pct) == (1, 1, 0, 100.0)
     for name in ("priority_summary", "team_summary", "dashboard_summary"):
         assert store.gold(name).count() == 1
-    digest = content_digests(spark, str(path)).first().lines_hash
+    digest = content_digests(spark, str(path)).first().file_hash
     bronze = store.control("ledger").filter("layer = 'bronze'").first()
     assert (bronze.file_hash, bronze.batch_id, bronze.records_written) == (digest, digest[:16], 3)
 
@@ -217,7 +217,8 @@ def test_batch_and_stream_agree_on_a_file(spark, store, tmp_path):
 def test_migration_stops_on_damage(spark, tmp_path):
     schema = "date date, n int"
     for name, text in (("broken", '{"records": [{"date": "2024-01-01", "n": 1}'), ("bad", '{"records": [{"date": "2024-13-99", "n": 1}]}'),
-                       ("none", '{"records": [{"n": 1}]}')):
+                       ("none", '{"generated_at": "t", "records": [{"n": 1}]}'), ("norecords", '{"generated_at": "t", "rows": []}'),
+                       ("nolist", '{"generated_at": "t", "records": "x"}'), ("notime", '{"records": [{"date": "2024-01-01", "n": 1}]}')):
         (tmp_path / name).mkdir()
         (tmp_path / name / "x.json").write_text(text)
         with pytest.raises(Exception):
@@ -291,13 +292,198 @@ def test_stored_records_prune_and_push_down(spark, store, tmp_path):
     land(tmp_path / "landing", "a.csv", rows)
     incremental.ingest_landing(store, str(tmp_path / "landing"))
     incremental.refresh_silver(store)
-    valid = store.valid_records()
-    spark.conf.set("spark.sql.maxMetadataStringLength", "4000")
+    plan = forecast_history(store.valid_records())._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert len(scans) == 1 and "dq_status" in scans[0].split("PartitionFilters")[1]
+    assert "short_description" not in plan and "assigned_group" not in plan
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_names_with_glob_characters_keep_every_row(spark, store, tmp_path):
+    """In batch and stream alike; a1.csv is what the pattern a[1].csv would match."""
+    names = ["a[1].csv", "a1.csv", "b{x,y}.csv", "bx.csv", "c*.csv", "cc.csv", "d?.csv", "dd.csv"]
+    rows = [(f"INC{n:07d}", "1 - A", "2026-01-05 10:00:00", "2026-01-06 10:00:00", str(n), "T") for n in range(len(names))]
+    for folder, stream in (("batch", False), ("stream", True)):
+        landing = tmp_path / folder
+        for n, name in enumerate(names):
+            land(landing, name, [rows[n]] * (n + 1))
+        target = Store.create(spark, str(tmp_path / f"store-{folder}"))
+        if stream:
+            start_landing_stream(target, str(landing), gold=False, files_per_batch=3).awaitTermination()
+        else:
+            assert incremental.ingest_landing(target, str(landing)) == len(names)
+        held = {r._source_file: r.n for r in target.bronze().groupBy("_source_file").agg(F.count("*").alias("n")).collect()}
+        assert held == {name: n + 1 for n, name in enumerate(names)}
+        assert target.control("ledger").filter("layer = 'bronze' AND status <> 'SUCCESS'").count() == 0
+
+
+def test_a_second_load_reads_only_new_files(spark, store, tmp_path, monkeypatch):
+    landing, read = tmp_path / "landing", []
+
+    def noted(session, paths, *more):
+        read.append(sorted(p.rsplit("/", 1)[-1] for p in paths))
+        return content_digests(session, paths, *more)
+
+    monkeypatch.setattr(incremental, "content_digests", noted)
+    for n in range(3):
+        land(landing, f"f{n}.csv", [(f"INC000000{n}", "1 - A", "2026-01-05 10:00:00", "2026-01-06 10:00:00", "1", "T")])
+    assert incremental.ingest_landing(store, str(landing)) == 3
+    assert incremental.ingest_landing(store, str(landing)) == 0
+    land(landing, "f9.csv", [("INC0000009", "1 - A", "2026-01-05 10:00:00", "2026-01-06 10:00:00", "1", "T")])
+    land(landing, "f1.csv", [("INC0000011", "1 - A", "2026-01-05 10:00:00", "2026-01-06 10:00:00", "12", "T")])
+    assert incremental.ingest_landing(store, str(landing)) == 2
+    assert read == [["f0.csv", "f1.csv", "f2.csv"], ["f1.csv", "f9.csv"]]
+    assert store.bronze().count() == 5 and store.catalogue().count() == 5
+
+
+def test_catalogue_is_compacted(spark, store, monkeypatch):
+    import datetime
+
+    from faultline.plans import store as stores
+
+    monkeypatch.setattr(stores, "COMPACT_AFTER", 4)
+    moment = datetime.datetime(2026, 1, 1)
+    for n in range(9):
+        store.catalogue_files(store.catalogue_rows([(f"f{n}", n, moment, "h"), (f"f{n}", n, moment, "h")]))
+    assert store.generation("catalogue") != "0" and store.control("generations").count() >= 2
+    assert store.catalogue().count() == 9 and len(store.catalogue().inputFiles()) < 9
+
+
+def test_content_is_lines_in_order_and_does_not_depend_on_blocks(spark, tmp_path):
+    lines = [f"line {n % 700}," + "x" * (n % 90) for n in range(4000)]
+    texts = {
+        "a.csv": "\n".join(lines), "same.csv": "\n".join(lines), "swapped.csv": "\n".join([lines[1], lines[0], *lines[2:]]),
+        "far.csv": "\n".join([lines[-1], *lines[1:-1], lines[0]]), "crlf.csv": "\r\n".join(lines), "end.csv": "\n".join(lines) + "\n",
+        "one.csv": "x", "empty.csv": "",
+    }
+    folder = tmp_path / "texts"
+    folder.mkdir()
+    for name, text in texts.items():
+        (folder / name).write_text(text, newline="")
+    found = []
+    for size in ("128m", "7k", "900"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "0" if size == "900" else "4m")
+        try:
+            rows = content_digests(spark, str(folder)).collect()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+        found.append({r.source_path.rsplit("/", 1)[-1]: r.file_hash for r in rows})
+    assert found[0] == found[1] == found[2]
+    hashes = found[0]
+    assert hashes["a.csv"] == hashes["same.csv"] and len(set(hashes.values())) == len(hashes) - 1
+    assert set(texts) - set(hashes) == {"empty.csv"}
+
+
+def test_contents_that_share_a_batch_id_stop_the_load(spark, store, tmp_path, monkeypatch):
+    from faultline.sources import landing as landed
+
+    monkeypatch.setattr(landed, "BATCH_ID_DIGITS", 0)
+    for n in range(2):
+        land(tmp_path / "landing", f"f{n}.csv", [(f"INC000000{n}", "1 - A", "2026-01-05 10:00:00", "2026-01-06 10:00:00", "1", "T")])
+    with pytest.raises(RuntimeError, match="2 contents"):
+        incremental.ingest_landing(store, str(tmp_path / "landing"))
+
+
+def test_stream_stores_equal_files_once_and_names_empty_ones(spark, store, tmp_path):
+    landing = tmp_path / "landing"
+    land(landing, "a.csv", RAW_ROWS[:1])
+    land(landing, "b copy.csv", RAW_ROWS[:1])
+    land(landing, "c.csv", [])
+    land(landing, "d.csv", RAW_ROWS[1:])
+    query = start_landing_stream(store, str(landing), gold=False)
+    query.awaitTermination()
+    assert query.exception() is None and store.bronze().count() == len(RAW_ROWS)
+    entries = {(r.source_file, r.status) for r in store.control("ledger").filter("layer = 'bronze'").collect()}
+    assert entries == {("a.csv", "SUCCESS"), ("c.csv", "FAILED"), ("d.csv", "SUCCESS")}
+
+
+def test_broken_file_among_many_is_found_by_halves(spark, store, tmp_path, monkeypatch):
+    landing, tried = tmp_path / "landing", []
+    whole = incremental.ingest_files
+    monkeypatch.setattr(incremental, "ingest_files", lambda s, files: (tried.append(len(files)), whole(s, files))[1])
+    for n in range(8):
+        header = ["wrong", *HEADER[1:]] if n == 6 else HEADER
+        land(landing, f"f{n}.csv", [(f"INC000000{n}", "1 - A", "2026-01-05 10:00:00", "2026-01-06 10:00:00", "1", "T")], header)
+    with pytest.raises(Exception):
+        incremental.ingest_landing(store, str(landing))
+    entries = {r.source_file: r.status for r in store.control("ledger").collect()}
+    assert entries == {f"f{n}.csv": "SUCCESS" for n in range(6)} | {"f6.csv": "FAILED"}
+    assert tried == [8, 4, 4, 2, 2, 1]
+
+
+def test_pending_batches_prune_the_folders(spark, store, tmp_path):
+    landing = tmp_path / "landing"
+    for n in range(4):
+        land(landing, f"f{n}.csv", [(f"INC000000{n}", "1 - A", "2026-01-05 10:00:00", "2026-01-06 10:00:00", "1", "T")])
+    incremental.ingest_landing(store, str(landing))
+    wanted = store.control("ledger").filter("source_file = 'f2.csv'")
+    rows = store.bronze(wanted)
+    assert [r._source_file for r in rows.collect()] == ["f2.csv"]
+    assert "dynamicpruning" in rows._jdf.queryExecution().executedPlan().toString().lower()
+
+
+def test_upsert_searches_only_months_that_may_hold_an_id(spark, store, monkeypatch):
+    """And gives the same state as one load over everything."""
+    searched = []
+    whole = Store.records
+    monkeypatch.setattr(Store, "records", lambda self, slices=None: (searched.append(None if slices is None else len(slices)), whole(self, slices))[1])
+    rows = [(f"INC{n:07d}", "1 - A", f"20{20 + n % 5}-{n // 5 % 12 + 1:02d}-05 10:00:00", "2026-01-06 10:00:00", "5", "T") for n in range(1200)]
+
+    def load(part, moment):
+        raw = raw_rows(spark, part).withColumns(
+            {"_batch_id": F.lit("b"), "_source_file": F.lit("f"), "_source_hash": F.lit("h"), "_ingested_at": F.lit(moment).cast("timestamp")}
+        )
+        searched.clear()
+        incremental.upsert(store, silver_records(incremental.with_digest(raw)))
+        return searched[0]
+
+    assert load(rows, "2026-01-01") == 0
+    assert len(store.slices()) == 60
+    # A correction that moves one incident of 2020-01 to 2027-01, a new incident, and one without an id.
+    moved = ("INC0000000", "1 - A", "2027-01-05 10:00:00", "2027-01-06 10:00:00", "7", "T")
+    new = ("INC9990000", "1 - A", "2027-01-05 10:00:00", "2027-01-06 10:00:00", "8", "T")
+    nobody = ("", "1 - A", "2027-02-05 10:00:00", "2027-02-06 10:00:00", "9", "T")
+    assert load([moved, new, nobody], "2026-02-01") <= 3
+    found = state(store)
+    assert len(found) == 1202 and found["INC0000000"] == ("VALID", 7) and found["INC9990000"] == ("VALID", 8)
+    assert load([("", "1 - A", "2027-03-05 10:00:00", "2027-03-06 10:00:00", "3", "T")], "2026-03-01") <= 2
+    assert state(store)[None] == ("INVALID", 3) and len(state(store)) == 1202
+    # A load of many incidents looks at every month.
+    assert load(rows[:600], "2026-04-01") == len([p for p in store.slices() if p.valid + p.invalid]) or searched
+    assert len(state(store)) == 1202
+
+
+def test_id_filters_have_no_false_negatives(spark):
+    from faultline.plans import membership
+
+    ids = spark.range(3000).select(F.format_string("INC%07d", "id").alias("incident_id"), F.lit(2020).alias("opened_year"),
+                                   (F.col("id") % 3 + 1).cast("int").alias("opened_month"))
+    powers = spark.createDataFrame([(2020, m, membership.power_for(1000)) for m in (1, 2, 3)], "opened_year int, opened_month int, power int")
+    members = membership.member_bitmaps(ids, powers, "r")
+    for wanted, months in ((range(0, 3000, 3), {1}), ((4,), {2}), ((5, 7), {2, 3})):
+        probe = spark.createDataFrame([(f"INC{n:07d}",) for n in wanted], "incident_id string")
+        assert months <= {r.opened_month for r in membership.possible_months(members, probe).collect()}
+    strangers = spark.range(9000, 9400).select(F.format_string("INC%07d", "id").alias("incident_id"))
+    matched = membership.possible_months(members, strangers).count()
+    assert matched <= 1
+
+
+def test_plain_session_gets_and_loses_the_profile(spark, store, tmp_path, monkeypatch):
+    from faultline.session import ADAPTIVE_CONF
+
+    land(tmp_path / "landing", "a.csv", RAW_ROWS)
+    seen = {}
+    gold = incremental.refresh_gold
+    monkeypatch.setattr(incremental, "refresh_gold", lambda s: (seen.update({k: s.spark.conf.get(k) for k in ADAPTIVE_CONF}), gold(s))[1])
+    before = {key: spark.conf.get(key) for key in ADAPTIVE_CONF}
     try:
-        plan = forecast_history(valid)._jdf.queryExecution().executedPlan().toString()
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
+        incremental.run_incremental(store, str(tmp_path / "landing"))
+        assert seen == ADAPTIVE_CONF
+        assert spark.conf.get("spark.sql.adaptive.enabled") == "false" and spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "65535"
     finally:
-        spark.conf.unset("spark.sql.maxMetadataStringLength")
-    scans = [line for line in plan.splitlines() if "FileScan" in line]
-    assert scans and all("PartitionFilters: [isnotnull(dq_status" in line for line in scans)
-    assert any(re.search(r"DataFilters: .*opened_at#\d+ >= (Reused)?[Ss]ubquery", line) for line in scans)
-    assert "short_description" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+        for key, value in before.items():
+            spark.conf.set(key, value)
