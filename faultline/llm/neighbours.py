@@ -9,8 +9,9 @@ windows of enough arrays is verified by its exact inner product.  Widening stops
 near as the worst of the best ``k`` verified ones would have been found with probability ``sure``,
 or when everything is verified; nothing is capped.
 
-Data and queries are dealt into blocks by a hash of their ids; a task holds one block of either,
-and the best ``k`` of all blocks are merged.  All rows are indexed.
+Every vector is dealt to one block of about ``block`` vectors and indexed there once.  The queries
+go to all blocks: a task holds one block, and the queries stream past it.  The best ``k`` of all
+blocks are merged.
 
 Defined cases: null, empty and zero vectors and vectors with a null or non-finite component take no
 part; vectors meet only vectors of their own length; equal rows count once; candidates with the
@@ -36,8 +37,7 @@ THRESHOLD = 40
 SURE = 0.97
 WIDEN = 1.3
 FIRST_WINDOW = 0.15
-BLOCK = 65536
-QUERY_BLOCK = 1024
+BLOCK = 16384
 SEED = 5
 
 
@@ -67,8 +67,10 @@ class CollisionIndex:
 
     def search(self, query: np.ndarray, own: int, k: int, threshold: int, reach: float) -> tuple[np.ndarray, np.ndarray]:
         """Ids and inner products of the best ``k`` found, best first, ties to the smaller id."""
-        size, norm = len(self.ids), math.sqrt(float((query**2).sum()))
-        centre = self.axes[:, :-1] @ (query / norm)
+        size, top = len(self.ids), float(np.abs(query).max())
+        unit = query / top
+        length = math.sqrt(float((unit**2).sum()))
+        centre = self.axes[:, :-1] @ (unit / length)
         low = np.array([v.searchsorted(c) for v, c in zip(self.values, centre)])
         high = low.copy()
         counts = np.zeros(size, dtype=np.int64)
@@ -92,7 +94,7 @@ class CollisionIndex:
             if seen.all():
                 break
             if len(rows) == k:
-                cosine = scores[-1] / (norm * self.largest)
+                cosine = scores[-1] / top / length / self.largest
                 if half >= reach * math.sqrt(max(0.0, 2.0 - 2.0 * cosine)):
                     break
             half *= WIDEN
@@ -101,41 +103,50 @@ class CollisionIndex:
 
 
 def _matrix(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    ids = frame["vec_id"].to_numpy(dtype=np.int64)
-    vectors = np.array(frame["vector"].tolist(), dtype=np.float64)
-    if len(ids) and len(np.unique(ids)) < len(ids):
-        both = np.unique(np.column_stack((ids.view(np.float64), vectors)).view(np.uint64), axis=0, return_index=True)[1]
-        ids, vectors = ids[both], vectors[both]
+    return frame["vec_id"].to_numpy(dtype=np.int64), np.array(frame["vector"].tolist(), dtype=np.float64)
+
+
+def _distinct(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """The different rows of the parts, in the order of their first place."""
+    ids, vectors = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+    if len(np.unique(ids)) < len(ids):
+        bits = np.column_stack((ids.view(np.float64), vectors)).view(np.uint64)
+        places = np.sort(np.unique(bits, axis=0, return_index=True)[1])
+        ids, vectors = ids[places], vectors[places]
     return ids, vectors
 
 
-def _tasks(frames: Iterator[pd.DataFrame], k: int, projections: int, threshold: int, sure: float, seed: int):
+def _tasks(
+    frames: Iterator[pd.DataFrame], k: int, projections: int, threshold: int, sure: float, seed: int, block: int
+) -> Iterator[pd.DataFrame]:
+    """Rows come sorted by block, vectors before queries; equal rows stand together."""
     reach = NormalDist().inv_cdf((1 + needed_share(projections, threshold, sure)) / 2)
-    held: list[pd.DataFrame] = []
-
-    def finish() -> pd.DataFrame:
-        part = pd.concat(held)
-        ids, vectors = _matrix(part[~part["is_query"]])
-        queries, wanted = _matrix(part[part["is_query"]])
-        out = []
-        if len(ids) and len(queries):
-            index = CollisionIndex(ids, vectors, float(part["largest"].iloc[0]), projections, seed)
-            for own, query in sorted(zip(queries.tolist(), wanted), key=lambda pair: pair[0]):
-                found, scores = index.search(query, own, k, threshold, reach)
-                out.append(pd.DataFrame({"query_id": own, "vec_id": found, "score": scores}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-
-    current = None
-    keys = ["dims", "block", "query_block"]
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    index, current, last = None, None, None
     for frame in frames:
-        for key, part in frame.groupby(keys, sort=False):
-            if held and key != current:
-                yield finish()
+        for key, part in frame.groupby(["dims", "block"], sort=False):
+            if key != current:
+                held, index, current, last = [], None, key, None
+            data, asked = part[~part["is_query"]], part[part["is_query"]]
+            if len(data):
+                held.append(_matrix(data))
+                # Equal rows may be many; they are held once.
+                if len(held) > 1 and sum(len(ids) for ids, _ in held) > 2 * block:
+                    held = [_distinct(held)]
+            if not len(asked):
+                continue
+            if held:
+                index = CollisionIndex(*_distinct(held), float(part["largest"].iloc[0]), projections, seed)
                 held = []
-            current = key
-            held.append(part)
-    if held:
-        yield finish()
+            out = []
+            for own, query in zip(*_matrix(asked)):
+                row = (int(own), query.tobytes())
+                if index is not None and row != last:
+                    found, scores = index.search(query, int(own), k, threshold, reach)
+                    out.append(pd.DataFrame({"query_id": int(own), "vec_id": found, "score": scores}))
+                last = row
+            if out:
+                yield pd.concat(out)
 
 
 def _usable(vector: Column) -> Column:
@@ -145,29 +156,31 @@ def _usable(vector: Column) -> Column:
 
 def nearest(
     vectors: DataFrame, is_query: Column, k: int = 20, projections: int = PROJECTIONS, threshold: int = THRESHOLD,
-    sure: float = SURE, block: int = BLOCK, query_block: int = QUERY_BLOCK, seed: int = SEED,
+    sure: float = SURE, block: int = BLOCK, seed: int = SEED,
 ) -> DataFrame:
     """Per query row and rank: query_id, rank (from 1), vec_id, score."""
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding", is_query.alias("is_query")).filter(
         F.col("vec_id").isNotNull() & _usable(F.col("embedding"))
     )
+    # Scaled by its largest component, no vector's norm vanishes.
+    top = F.array_max(F.transform("vector", F.abs))
     rows = rows.select(
         "vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("vector"), F.coalesce("is_query", F.lit(False)).alias("is_query")
-    ).withColumn("norm", F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)).filter("norm > 0")
-    sizes = rows.agg(F.count(F.lit(1)), F.count_if(F.col("is_query")), F.sqrt(F.max("norm"))).first()
-    blocks, query_blocks = max(1, -(-sizes[0] // block)), max(1, -(-sizes[1] // query_block))
+    ).withColumn("top", top).filter("top > 0")
+    squares = F.aggregate(F.transform("vector", lambda x: x / F.col("top")), F.lit(0.0), lambda a, x: a + x * x)
+    count, largest = rows.agg(F.count(F.lit(1)), F.max(F.col("top") * F.sqrt(squares))).first()
+    blocks = max(1, -(-count // block))
     placed = rows.select(
-        "vec_id", "vector", "is_query", F.size("vector").alias("dims"), F.lit(sizes[2] or 1.0).alias("largest")
+        "vec_id", "vector", F.size("vector").alias("dims"), F.lit(largest or 1.0).alias("largest"), "is_query"
     )
-    shared = ["vec_id", "vector", "dims", "largest"]
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    of = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")
-    data = placed.select(*shared, F.lit(False).alias("is_query"), of(blocks).alias("block"), every(query_blocks).alias("query_block"))
-    asked = placed.filter("is_query").select(*shared, "is_query", every(blocks).alias("block"), of(query_blocks).alias("query_block"))
-    keys = ["dims", "block", "query_block"]
-    tasks = data.unionByName(asked).repartition(*keys).sortWithinPartitions(*keys)
+    data = placed.withColumn("block", F.pmod(F.xxhash64("vec_id", "vector"), F.lit(blocks)).cast("int"))
+    asked = placed.filter("is_query").withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    keys = ["dims", "block"]
+    tasks = data.withColumn("is_query", F.lit(False)).unionByName(asked)
+    tasks = tasks.repartition(*keys).sortWithinPartitions(*keys, "is_query", "vec_id", "vector")
     found = in_pandas(
-        tasks, lambda frames: _tasks(frames, k, projections, threshold, sure, seed), "query_id long, vec_id long, score double"
+        tasks, lambda frames: _tasks(frames, k, projections, threshold, sure, seed, block),
+        "query_id long, vec_id long, score double",
     )
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(

@@ -131,7 +131,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_policy(quality_rules.ledger(table(spark, sf_dir, "documents")))
 
 
-ORACLES["op8_quality_rules"] = r"""
+_MARKED_SQL = r"""
 WITH texts AS (
   SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text,
     regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
@@ -156,10 +156,29 @@ marked AS (
     + 4 * (2 * n_symbols > n_words)::INT + 8 * (100 * n_dup_lines > 50 * n_lines)::INT
     + 16 * (2 * word_chars < 3 * n_words)::INT + 32 * (word_chars > 30 * n_words)::INT AS BIGINT) AS failed_rules
   FROM measures)
+"""
+
+ORACLES["op8_quality_rules"] = _MARKED_SQL + """
 SELECT *, 3 AS policy_version, failed_rules & 3 <> 0 AS base_failed, failed_rules = 0 AS kept FROM marked
 """
 
 
+@query
+def quality_rule_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of the newest policy does: documents that fail it, fail it alone, are kept without it."""
+    return quality_rules.ablations(quality_rules.ledger(table(spark, sf_dir, "documents")))
+
+
+ORACLES["quality_rule_ablations"] = _MARKED_SQL + """,
+rules AS (SELECT unnest(['few_words', 'repeated_words', 'many_symbols', 'repeated_lines', 'short_words', 'long_words']) AS rule,
+  unnest([1, 2, 4, 8, 16, 32]) AS bit)
+SELECT rule, CAST(bit AS BIGINT) AS bit, CAST(count(*) FILTER (failed_rules & bit <> 0) AS BIGINT) AS n_failed,
+  CAST(count(*) FILTER (failed_rules = bit) AS BIGINT) AS n_failed_alone,
+  CAST(count(*) FILTER (failed_rules IN (0, bit)) AS BIGINT) AS n_kept_without
+FROM marked CROSS JOIN rules GROUP BY rule, bit
+"""
+
+
 @query
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document."""

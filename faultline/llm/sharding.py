@@ -91,15 +91,17 @@ def shuffled_shards(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) ->
     rows = stored(digests(docs), "digests")
     counted = sorted((r.part, r["count"]) for r in rows.groupBy("part").count().collect())
     total = sum(count for _, count in counted)
-    bits = bucket_bits(total)
+    # A group of ranks is one source partition, then one shard: its buckets follow the largest of them.
+    part_bits = bucket_bits(max((count for _, count in counted), default=0))
+    shard_bits = bucket_bits(-(-total // shards))
     matrix = communication_matrix([count for _, count in counted], shard_sizes(total, shards), seed)
     cuts = [(part, np.cumsum(line)[:-1].tolist()) for (part, _), line in zip(counted, matrix)]
     table = docs.sparkSession.createDataFrame(cuts, "part int, cuts array<long>")
     keyed = rows.withColumn("key", uniform_key(seed, *[F.col(c) for c in ties]))
-    local = spread_rank(keyed, ["part"], "key", ties, bits, "place").join(table, "part")
+    local = spread_rank(keyed, ["part"], "key", ties, part_bits, "place").join(table, "part")
     dealt = local.select(*ties, F.size(F.filter("cuts", lambda cut: cut <= F.col("place"))).cast("int").alias("shard"))
     exchanged = stored(dealt.withColumn("key", uniform_key(seed + 1, *[F.col(c) for c in ties])), "dealt")
-    return spread_rank(exchanged, ["shard"], "key", ties, bits, "slot").select(
+    return spread_rank(exchanged, ["shard"], "key", ties, shard_bits, "slot").select(
         *ties,
         F.lit("rows").alias("law"),
         "shard",

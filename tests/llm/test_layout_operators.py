@@ -172,6 +172,18 @@ def test_shards_are_exact_and_gapless(spark, monkeypatch):
     assert sharding.shuffled_shards(docs.limit(0)).count() == 0
 
 
+def test_places_do_not_depend_on_the_source(spark):
+    docs = spark.range(0, 160, 1, 4).select(F.col("id").alias("doc_id"), F.lit("text").alias("text"))
+    seen, places = Counter(), defaultdict(list)
+    for seed in range(6):
+        for r in sharding.shuffled_shards(docs, 4, seed).collect():
+            seen[r.doc_id // 40, r.shard] += 1
+            places[r.doc_id // 40].append(r.slot)
+    # 240 rows of each source partition: 60 a shard, spread below 6; slots 0 to 39.
+    assert len(seen) == 16 and all(abs(n - 60) < 5 * 6 for n in seen.values())
+    assert all(abs(np.mean(slots) - 19.5) < 5 * 11.6 / 240**0.5 for slots in places.values())
+
+
 @pytest.mark.parametrize("rows", [0, 1, 15, 16, 1000])
 def test_sizes(rows):
     sizes = sharding.shard_sizes(rows, 16)

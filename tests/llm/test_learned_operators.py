@@ -107,6 +107,29 @@ def test_resampling_prefers_good_documents(spark):
     assert resampling.resampled(docs.limit(0), labels).count() == 0
 
 
+def test_log_ratio_against_plain_counts(spark):
+    rng = random.Random(4)
+    texts = [" ".join(rng.choices("ab cd Ef gh é ij\tkl".split(" "), k=rng.randint(0, 40))) for _ in range(120)]
+    docs = [(i % 100 if i % 9 else None, t if i % 17 else None) for i, t in enumerate(texts)]
+    labels = [(i, i % 3 == 0, 0) for i in range(0, 100, 2)] + [(6, True, 0), (None, True, 0), (500, True, 0)]
+    labels = spark.createDataFrame([(i, int(q), t) for i, q, t in labels], "doc_id long, quality int, toxic int")
+    frame = spark.createDataFrame(docs, "doc_id long, text string").withColumn("good", F.lit("mine"))
+    good = {r.doc_id for r in labels.filter("quality = 1").collect()} - {None}
+    raw, target = np.ones(64), np.ones(64)
+    for doc_id, text in docs:
+        for feature in resampling.hashed_ngrams(text, 64):
+            raw[feature] += 1
+            target[feature] += doc_id in good
+    expected = np.concatenate([
+        np.log(target[p] / target[p].sum()) - np.log(raw[p] / raw[p].sum()) for p in (slice(0, 32), slice(32, 64))
+    ])
+    assert np.allclose(resampling.log_ratio(frame, labels, features=64), expected, atol=1e-12)
+    got = resampling.resampled(frame, labels, keep=(1, 4), features=64).collect()
+    weights = sorted(round(float(expected[resampling.hashed_ngrams(t, 64)].sum()), 9) for _, t in docs)
+    assert sorted(round(r.log_weight, 9) for r in got) == weights and sum(r.kept for r in got) == 30
+    assert min(r.key for r in got if r.kept) >= max(r.key for r in got if not r.kept)
+
+
 def test_weights_of_texts(spark):
     docs = spark.createDataFrame([(1, "a b a"), (2, None), (3, " "), (None, "a b a"), (1, "a b a")], "doc_id long, text string")
     ratio = np.random.default_rng(0).normal(size=resampling.FEATURES)
@@ -147,7 +170,7 @@ def test_nearest_against_brute_force(spark):
     odd = [(20_000, None), (20_020, []), (20_040, [0.0] * 24), (20_060, [inf] + [1.0] * 23), (20_080, [nan] + [1.0] * 23),
            (20_100, [None] + [1.0] * 23), (None, [1.0] * 24), (20_120, [1.0, 2.0]), (20_121, [2.0, 1.0]), rows[0], rows[3]]
     frame = spark.createDataFrame(rows + odd, "vec_id long, embedding array<float>").withColumn("score", F.lit("mine"))
-    got = neighbours.nearest(frame, F.col("vec_id") % 20 == 0, k=10, block=400, query_block=30).collect()
+    got = neighbours.nearest(frame, F.col("vec_id") % 20 == 0, k=10, block=400).collect()
     found = {}
     for r in sorted(got, key=lambda r: (r.query_id, r["rank"])):
         found.setdefault(r.query_id, []).append((r.vec_id, r.score))
@@ -165,3 +188,11 @@ def test_nearest_against_brute_force(spark):
     assert neighbours.nearest(frame.limit(0), F.lit(True)).count() == 0
     few = neighbours.nearest(frame.filter("vec_id < 5"), F.col("vec_id") == 0, k=10).collect()
     assert sorted(r.vec_id for r in few) == [1, 2, 3, 4]
+
+
+def test_very_small_and_repeated_vectors(spark):
+    rows = [(i, [1e-170 * (i + 1), 1e-170]) for i in range(6)] + [(7, [0.0, 0.0])] + [(3, [4e-170, 1e-170])] * 500
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = neighbours.nearest(frame, F.col("vec_id") % 5 == 0, k=3, block=4).collect()
+    assert {(r.query_id, r["rank"]) for r in got} == {(q, n) for q in (0, 5) for n in (1, 2, 3)}
+    assert [r.vec_id for r in sorted(got, key=lambda r: (r.query_id, r["rank"]))] == [1, 2, 3, 0, 1, 2]

@@ -12,7 +12,7 @@ import pytest
 from faultline.llm import neighbours
 from tests.oracle_check import DATA
 
-TABLE = f"{DATA}/check_s/embeddings.parquet"
+TABLE = f"{DATA}/sf0.1/embeddings.parquet"
 pytestmark = pytest.mark.skipif(not os.path.exists(TABLE), reason="test tables not present")
 
 
