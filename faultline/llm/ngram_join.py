@@ -34,11 +34,11 @@ from fractions import Fraction
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from faultline.llm.common import in_pandas, stored
+from faultline.llm.common import in_pandas, send_package, stored
 from faultline.llm.components import components
 
 WIDTH = 3
@@ -406,7 +406,8 @@ def _full_frame(rows: list[tuple]) -> pd.DataFrame:
 
 def member_filter(members: DataFrame) -> np.ndarray:
     """Bits of the ids in ``members`` (rep): two to the power ``FILTER_POWER`` at most, so that
-    texts of other documents, or most of them, are neither shuffled nor cut into shingles."""
+    texts of other documents, or most of them, are neither shuffled nor cut into shingles.  A filter
+    too small for its ids lets more texts pass, to the exact join that follows."""
     power = min(FILTER_POWER, max(LEAST_POWER, (max(1, members.count()) * 32).bit_length()))
     places = members.select(F.shiftrightunsigned(F.xxhash64("rep"), 64 - power).alias("place"))
     bucket = F.shiftright("place", LEAST_POWER).alias("bucket")
@@ -418,14 +419,28 @@ def member_filter(members: DataFrame) -> np.ndarray:
     return out
 
 
-def _member_rows(frames: Iterator[pd.DataFrame], width: int, bits: np.ndarray) -> Iterator[pd.DataFrame]:
-    """Sets and digests of the texts whose id may be a member."""
+def _may_be_member(docs: DataFrame, bits: np.ndarray) -> Column:
+    """False only where the doc_id is none of the filter's ids."""
     shift = np.uint64(64 - (len(bits) << 3).bit_length() + 1)
+    send_package(docs.sparkSession)
+
+    @F.pandas_udf("boolean")
+    def may(key: pd.Series) -> pd.Series:
+        place = key.to_numpy(np.int64).view(np.uint64) >> shift
+        return pd.Series((bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 > 0)
+
+    return may(F.xxhash64(F.col("doc_id").cast("long")))
+
+
+def _member_sets(frames: Iterator[pd.DataFrame], width: int) -> Iterator[pd.DataFrame]:
+    for frame in frames:
+        yield frame.assign(tokens=[shingle_set(text, width).tobytes() for text in frame["text"]]).drop(columns="text")
+
+
+def _keyed_sets(frames: Iterator[pd.DataFrame], width: int) -> Iterator[pd.DataFrame]:
     for frame in frames:
-        place = frame["key"].to_numpy(np.int64).view(np.uint64) >> shift
-        may = (bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 > 0
         rows = [(rep, s.tobytes(), *_digest(s)) for rep, s in
-                ((rep, shingle_set(text, width)) for rep, text in zip(frame["rep"][may], frame["text"][may]))]
+                ((rep, shingle_set(text, width)) for rep, text in zip(frame["rep"], frame["text"]))]
         yield pd.DataFrame(rows, columns=["rep", "tokens", "low", "high"])
 
 
@@ -445,12 +460,15 @@ def group_links(
         members = members.join(classes.select("rep", *keyed), "rep")
     members = stored(members, "members")
     bits = member_filter(members.select("rep").distinct())
-    named = docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("rep"), F.xxhash64("doc_id").alias("key"), "text")
-    sets = in_pandas(
-        named, lambda frames: _member_rows(frames, width, bits), "rep long, tokens binary, low long, high long"
-    )
-    # A text of a repeated doc_id meets every class of that doc_id and goes on as its own only.
-    rows = sets.join(members, ["rep", "low", "high"] if keyed else ["rep"])
+    named = docs.filter(F.col("doc_id").isNotNull() & _may_be_member(docs, bits)).select(F.col("doc_id").alias("rep"), "text")
+    if keyed:
+        # A text of a repeated doc_id meets every class of that doc_id and goes on as its own only.
+        sets = in_pandas(named, lambda frames: _keyed_sets(frames, width), "rep long, tokens binary, low long, high long")
+        rows = sets.join(members, ["rep", "low", "high"])
+    else:
+        # Texts take less room than their sets, so they are joined first.
+        texts = named.join(members, "rep").select("rep", "group", "size", "text")
+        rows = in_pandas(texts, lambda frames: _member_sets(frames, width), "rep long, group long, size long, tokens binary")
     blocks = F.ceil(F.col("size") / F.lit(block)).cast("long")
     dealt = (
         rows.withColumn("blocks", blocks)
@@ -492,11 +510,13 @@ def _classes(docs: DataFrame, width: int, threshold: Fraction, sizes: bool = Fal
     repeated = owned.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id")
     shared = owned.select("doc_id", *EQUAL).join(repeated, "doc_id", "left_semi").distinct().join(classes, EQUAL)
     own = shared.filter("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct()
-    firsts = (
-        owned.select(F.col("doc_id").alias("rep"), *EQUAL, "drop", "signs")
-        .join(classes, ["rep", *EQUAL], "left_semi")
-        .select("rep", F.explode("signs").alias("sign"), "drop")
-    )
+    # Signs of documents that surely represent their class are not shuffled for that.
+    copies = owned.select("doc_id", *EQUAL).join(classes, EQUAL).filter("doc_id <> rep")
+    may_copy = _may_be_member(owned, member_filter(copies.select(F.col("doc_id").alias("rep")).distinct()))
+    narrow = [F.col("doc_id").alias("rep"), *EQUAL, "drop", "signs"]
+    looked_up = owned.filter(may_copy).select(*narrow).join(classes, ["rep", *EQUAL], "left_semi").select("rep", "drop", "signs")
+    firsts = owned.filter(~may_copy).select(*narrow).select("rep", "drop", "signs").union(looked_up)
+    firsts = firsts.select("rep", F.explode("signs").alias("sign"), "drop")
     return texts, digests, classes, own, stored(components(signature_ties(rare_signs(firsts))), "groups")
 
 
@@ -551,7 +571,10 @@ def first_of_each_component(docs: DataFrame, **options) -> DataFrame:
     stay, equal ones once."""
     found = stored(ngram_components(docs, **options).select("doc_id", "component_id"), "found")
     others = found.filter("component_id <> doc_id").select("doc_id").distinct()
-    kept = docs.join(others, "doc_id", "left_anti").select(docs.columns)
+    # Texts that surely stay are not shuffled.
+    may_go = _may_be_member(docs, member_filter(others.select(F.col("doc_id").alias("rep"))))
+    looked_up = docs.filter(may_go).join(others, "doc_id", "left_anti").select(docs.columns)
+    kept = docs.filter(~may_go).union(looked_up)
     counted = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("doc_id IS NULL OR n > 1")
     repeated = stored(counted.select("doc_id"), "repeated")
     if repeated.isEmpty():
