@@ -47,6 +47,12 @@ class Field:
 
 # Fixed value: a calendar day as published.
 DAY_PATTERN = r"^\d{4}-\d{2}-\d{2}$"
+DAY_START = r"^\d{4}-\d{2}-\d{2}(?!\d)"
+
+
+def dated(text: Column) -> Column:
+    """The text if it starts with a calendar day, else null: only such texts sort by time."""
+    return F.when(text.rlike(DAY_START) & F.try_to_date(F.substring(text, 1, 10)).isNotNull(), text)
 WHOLE, NUMBER, TEXT, FLAG = ("int", "bigint"), ("int", "bigint", "double"), ("string",), ("boolean",)
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from faultline.config import FORECAST, MONTH_NAMES, RISK, ForecastPolicy, RiskPolicy
 from faultline.functions.text import blank_to_null
+from faultline.operators.contracts import dated
 from faultline.operators.recommend import severity_rank
 from faultline.operators.risk import risk_order
 from faultline.sources.lines import file_hashes
@@ -405,4 +406,5 @@ def publication_gate(entries: DataFrame) -> DataFrame:
 
 
 def freshness(entries: DataFrame) -> DataFrame:
-    return entries.agg(F.max("data_generated_at").alias("latest_data_at"))
+    """Newest time of the entries; one that is not a time, as of a flawed payload, is no newer than any."""
+    return entries.agg(F.max(dated(F.col("data_generated_at"))).alias("latest_data_at"))

@@ -290,13 +290,13 @@ def manifest_drift(spark, sf_dir):
 
 
 def gate_entries(spark, sf_dir) -> DataFrame:
-    """Manifest rows of one clean and one flawed payload, dated by their newest record."""
+    """Manifest rows of one clean and one flawed payload, dated by their newest record with a readable day."""
     clean = publish.trends_payload(aggregates.daily_trends_from_cells(frames.stored_cells(spark, sf_dir)))
     parts = []
     for name, df in (("daily_trends", clean), ("flawed_trends", with_flaws(clean))):
         broken = contracts.contract_outcomes(df, "daily_trends").agg(F.sum("violations")).scalar()
         parts.append(
-            df.agg(F.max("date").alias("data_generated_at")).select(
+            df.agg(F.max(contracts.dated(F.col("date"))).alias("data_generated_at")).select(
                 F.lit(name).alias("name"),
                 F.when(broken == 0, "VALID").otherwise("INVALID").alias("contract_status"),
                 F.lit(False).alias("mock"),

@@ -240,3 +240,11 @@ def test_synthetic_rows(spark):
     assert (first["Prioridade"], first["Aberto"], first["Duração"]) == ("1 - Crítica", "2023-01-01 00:00:00", "600")
     with pytest.raises(ValueError):
         synthetic_incidents(spark, 99)
+
+
+def test_freshness_passes_over_texts_that_are_no_time(spark):
+    """Flawed days such as 1998/12/17 sort behind every day of their year as texts."""
+    times = ["1998-11-30", "1998/12/17", "1998-12-32", "soon", None, "1998-12-31T08:00:00", "1998-12-311"]
+    entries = spark.createDataFrame([(t,) for t in times], "data_generated_at string")
+    assert publish.freshness(entries).first().latest_data_at == "1998-12-31T08:00:00"
+    assert publish.freshness(entries.filter("data_generated_at = 'soon'")).first().latest_data_at is None
