@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import gzip
 import re
 
 import pytest
@@ -13,7 +14,9 @@ from faultline.plans import incremental
 from faultline.plans.silver import silver_records
 from faultline.plans.store import Store
 from faultline.schema import GOLD_TABLES, SOURCE_COLUMNS
+from faultline.session import settings
 from faultline.sinks import payloads, tables
+from faultline.sources import testbed
 from faultline.sources.incident_csv import read_incident_csv
 from faultline.sources.landing import content_digests, landed_files, landing_inventory, pending_files
 from faultline.streaming.landing_stream import start_landing_stream
@@ -484,3 +487,71 @@ def test_plain_session_gets_and_loses_the_profile(spark, store, tmp_path, monkey
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
+
+
+def test_compressed_files_are_landed_files(spark, store, tmp_path):
+    """In batch and stream; a compressed copy of an ingested text is known by its content."""
+    landing, streamed = tmp_path / "landing", Store.create(spark, str(tmp_path / "streamed"))
+    plain = land(landing, "a.csv", RAW_ROWS)
+    (landing / "b.csv.gz").write_bytes(gzip.compress(plain.read_bytes()))
+    other = land(tmp_path / "other", "c.csv", RAW_ROWS[:1])
+    (landing / "c.csv.gz").write_bytes(gzip.compress(other.read_bytes()))
+    hashes = {r.source_file: r.file_hash for r in landed_files(spark, str(landing)).collect()}
+    assert set(hashes) == {"a.csv", "b.csv.gz", "c.csv.gz"} and hashes["a.csv"] == hashes["b.csv.gz"] != hashes["c.csv.gz"]
+    assert landing_inventory(spark, str(landing)).first().file_count == 3
+    assert incremental.ingest_landing(store, str(landing)) == 2
+    start_landing_stream(streamed, str(landing), gold=False).awaitTermination()
+    for each in (store, streamed):
+        found = {r._source_file: r["count"] for r in each.bronze().groupBy("_source_file").count().collect()}
+        assert found == {"a.csv": len(RAW_ROWS), "c.csv.gz": 1}
+
+
+def test_monthly_batches_are_compressed(spark, tmp_path):
+    rows = raw_rows(spark, [(f"INC{n:07d}", "1", f"2026-0{n % 2 + 1}-03", "", "", "") for n in range(500)])
+    payloads.write_monthly_batches(rows, str(tmp_path))
+    files = list(tmp_path.rglob("part-*"))
+    assert files and all(file.name.endswith(".csv.gz") for file in files)
+    assert read_incident_csv(spark, str(tmp_path)).count() == 500
+
+
+def test_rows_of_landed_files_are_not_shuffled(spark, store, tmp_path, monkeypatch):
+    """Their batch ids are broadcast even where Spark would not, and files are read a few at a time."""
+    land(tmp_path / "landing", "a.csv", RAW_ROWS)
+    plans = []
+
+    def watched(store, rows):
+        plans.append((rows._jdf.queryExecution().executedPlan().toString(), spark.conf.get("spark.sql.files.maxPartitionBytes")))
+        return write_bronze(store, rows)
+
+    write_bronze = incremental.write_bronze
+    monkeypatch.setattr(incremental, "write_bronze", watched)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        incremental.ingest_landing(store, str(tmp_path / "landing"))
+    plan, size = plans[0]
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan and size == incremental.BYTES_PER_TASK
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+
+
+def test_large_tables_are_dealt_into_tasks_of_bounded_size(spark, monkeypatch):
+    """The number of tasks follows the rows; an order that would fill a task is left to adaptive execution."""
+    monkeypatch.setattr(testbed, "ROWS_PER_TASK", 100)
+    monkeypatch.setattr(testbed, "MOST_ROWS", 400)
+
+    def tasks(lines):
+        orders = lines.select(F.col("l_orderkey").alias("o_orderkey")).distinct()
+        dealt = testbed.by_order(lines, orders)
+        joined = dealt[0].join(dealt[1], F.col("l_orderkey") == F.col("o_orderkey"))
+        assert joined.count() == lines.count()
+        return [df.rdd.getNumPartitions() for df in dealt] if dealt[0] is not lines else None
+
+    spread = spark.range(3000).select((F.col("id") % 700).alias("l_orderkey"))
+    assert tasks(spread) == [30, 30]
+    assert tasks(spread.limit(300)) is None
+    assert tasks(spread.withColumn("l_orderkey", F.when(F.col("l_orderkey") % 3 == 0, 1).otherwise(F.col("l_orderkey")))) is None
+
+
+def test_incident_ids_keep_their_format(spark):
+    keys = spark.createDataFrame([(0,), (7,), (9_999_999,), (10_000_000,), (-5,)], "k bigint")
+    rows = keys.select(testbed.incident_id("k").alias("id"), F.format_string("INC%07d", "k").alias("formatted")).collect()
+    assert all(r.id == r.formatted for r in rows)
