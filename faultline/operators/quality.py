@@ -59,15 +59,20 @@ def version_order(df: DataFrame, tiebreak: Sequence[str] = ()) -> list[str]:
     return ["closed_at", *lineage, *tiebreak]
 
 
-def latest_versions(df: DataFrame, tiebreak: Sequence[str] = ()) -> DataFrame:
+def latest_versions(
+    df: DataFrame, tiebreak: Sequence[str] = (), incident: Column | str = "incident_id", closed: Column | str = "closed_at"
+) -> DataFrame:
     """Newest version of every incident; rows without an id count as one incident.
 
+    ``incident`` and ``closed`` may be expressions, for rows whose columns are not typed yet.
+
     The filter sits directly on the window, so Spark keeps one row per id in every map task
     before the shuffle: an id with a third of all versions costs its reducer only one row
     per map task.
     """
-    newest_first = [F.col(name).desc_nulls_last() for name in version_order(df, tiebreak)]
-    window = Window.partitionBy("incident_id").orderBy(*newest_first)
+    closed = F.col(closed) if isinstance(closed, str) else closed
+    ages = [closed, *(F.col(name) for name in version_order(df, tiebreak)[1:])]
+    window = Window.partitionBy(incident).orderBy(*(age.desc_nulls_last() for age in ages))
     return df.withColumn("_version_rank", F.row_number().over(window)).filter("_version_rank = 1").drop("_version_rank")
 
 

@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from faultline.config import SLA, SlaPolicy
+from faultline.functions.text import blank_to_null
 from faultline.operators.clean import rename_source, strip_blanks, type_columns
 from faultline.operators.quality import add_quality, latest_versions
 from faultline.operators.sla import audit_sla
@@ -27,6 +29,9 @@ def current_records(raw: DataFrame, tiebreak: Sequence[str] = (), policy: SlaPol
     """Newest version of every incident, valid or not.
 
     The choice comes before the validity split: a newer invalid version replaces an older
-    valid one.
+    valid one.  It needs the id and the closing time only, so superseded versions are never
+    typed and the rows that are sorted and shuffled are the raw ones.
     """
-    return latest_versions(silver_records(raw, policy), tiebreak)
+    named = rename_source(raw)
+    closed = F.try_to_timestamp(blank_to_null(F.col("closed_at")))
+    return silver_records(latest_versions(named, tiebreak, blank_to_null(F.col("incident_id")), closed), policy)

@@ -195,3 +195,13 @@ def test_silver_end_to_end(spark):
 def test_newer_invalid_version_replaces_valid_one(spark):
     rows = [RAW_ROWS[0], ("INC9999998", "3 - Média", "2026-01-01 10:00:00", "2026-01-05 11:00:00", "-5", "Time")]
     assert one(current_records(raw_rows(spark, rows))).dq_status == "INVALID"
+
+
+def test_newest_version_is_chosen_before_typing(spark):
+    """Ids and closing times are compared as cleaned, and superseded versions reach no typed column."""
+    rows = [(" INC0000001 ", "1 - A", "2026-01-01", "2026-01-09 10:00:00", "5", "T"), ("INC0000001", "2 - B", "2026-01-01", "  2026-01-10 ", "5", "T"),
+            ("INC0000001", "3 - C", "2026-01-01", "soon", "5", "T"), ("  ", "4 - D", "2026-01-01", "2026-01-02", "5", "T"), (None, "5 - E", "2026-01-01", "", "5", "T")]
+    found = current_records(raw_rows(spark, rows))
+    assert {(r.incident_id, r.priority_code) for r in found.collect()} == {("INC0000001", 2), (None, 4)}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("regexp_extract") < plan.index("Window")
