@@ -132,7 +132,7 @@ def files_pending(spark, sf_dir):
 )
 def inventory(spark, sf_dir):
     folder = landing(spark, sf_dir)
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").load(folder)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", LANDED).load(folder)
     seen = files.agg(
         F.count_distinct(batch_month("path")).alias("months"),
         F.count("*").alias("n"),
