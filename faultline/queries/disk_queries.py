@@ -25,7 +25,7 @@ from faultline.sinks import payloads, tables
 from faultline.sources.incident_csv import READ_OPTIONS, WRITE_OPTIONS, add_lineage, add_source_file, read_incident_csv
 from faultline.sources.landing import LANDED, landed_files, landing_inventory, pending_files
 from faultline.sources.lines import CHUNK, folded
-from faultline.sources.testbed import POLICY, VERSION_TIEBREAK
+from faultline.sources.testbed import POLICY, VERSION_TIEBREAK, joined_lines, rendered
 from faultline.streaming.landing_stream import start_landing_stream
 
 TIEBREAK_DDL = "_line_number int, _part_key bigint, _supplier_key bigint, _extended_price double"
@@ -33,13 +33,18 @@ TIEBREAK_DDL = "_line_number int, _part_key bigint, _supplier_key bigint, _exten
 
 def extract(spark, sf_dir) -> DataFrame:
     """Raw versions with just the columns of the incident extract."""
-    return raw(spark, sf_dir).select(*(F.col(f"`{name}`") for name in RAW_SCHEMA.names))
+    return of_extract(raw(spark, sf_dir))
+
+
+def of_extract(rows: DataFrame) -> DataFrame:
+    return rows.select(*(F.col(f"`{name}`") for name in RAW_SCHEMA.names))
 
 
 def landing(spark, sf_dir) -> str:
-    """Landing folder with the CSV files of every opening month."""
+    """Landing folder with the CSV files of every opening month; dealt to months as typed values, not as texts."""
     folder = new_run_dir(spark, "landing")
-    payloads.write_monthly_batches(extract(spark, sf_dir), folder)
+    joined = joined_lines(spark, sf_dir).withColumn("_month", F.date_format("o_orderdate", "yyyy_MM"))
+    payloads.write_monthly_batches(of_extract(rendered(tables.balanced_by(joined, "_month"))), folder, dealt=True)
     return folder
 
 

@@ -118,7 +118,10 @@ def with_batch_month(raw: DataFrame) -> DataFrame:
     return raw.withColumn("batch_month", F.when(opened.rlike(MONTH_PREFIX), month).otherwise(bad))
 
 
-def write_monthly_batches(raw: DataFrame, path: str) -> None:
-    """Landing files per opening month, compressed: their texts repeat and take a multiple of the tables they come from."""
-    by_month = balanced_by(with_batch_month(raw), "batch_month")
+def write_monthly_batches(raw: DataFrame, path: str, dealt: bool = False) -> None:
+    """Landing files per opening month, compressed: their texts repeat and take a multiple of the tables they come from.
+
+    With ``dealt`` the rows of a month are together already.
+    """
+    by_month = with_batch_month(raw) if dealt else balanced_by(with_batch_month(raw), "batch_month")
     by_month.write.mode("overwrite").options(**WRITE_OPTIONS, compression="gzip").partitionBy("batch_month").csv(path)

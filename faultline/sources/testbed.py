@@ -51,18 +51,26 @@ def incident_id(key: str) -> Column:
 
 
 def incident_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rendered(joined_lines(spark, sf_dir))
+
+
+def joined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """No join hints: the optimizer broadcasts a side only while its measured size allows it."""
     lines, orders = by_order(table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders"))
     parts = table(spark, sf_dir, "part")
     suppliers = table(spark, sf_dir, "supplier")
     nations = table(spark, sf_dir, "nation")
 
-    joined = (
+    return (
         lines.join(orders, lines.l_orderkey == orders.o_orderkey)
         .join(parts, lines.l_partkey == parts.p_partkey, "left")
         .join(suppliers, lines.l_suppkey == suppliers.s_suppkey, "left")
         .join(nations, suppliers.s_nationkey == nations.n_nationkey, "left")
     )
+
+
+def rendered(joined: DataFrame) -> DataFrame:
+    """Joined lines as texts under the headers of the extract."""
     line = F.col("l_linenumber")
     stamp = "yyyy-MM-dd HH:mm:ss"
     shipped = F.date_format("l_shipdate", stamp)
