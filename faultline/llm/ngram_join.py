@@ -9,8 +9,12 @@ two linking sets therefore share at least ``l`` of the smaller one.  Only these
 routed.  The frequency of each of their shingles over all classes is counted; every set then drops
 the most frequent ones, one fewer than any partner must share, so the rarest common shingle of two
 linking sets is kept by both.  Passages and lines that many documents share are what is dropped.
-Sets that keep a common shingle are tied together, and the connected groups of these ties are
-joined separately.
+Sets that keep a common shingle are tied together if their sizes and their *sketches* allow a link,
+and the connected groups of these ties are joined separately.  Bit ``i`` of a sketch is the parity of
+the shingles whose hash ends in ``i``, so two sketches differ in no more bits than their sets differ
+in shingles: a pair that is left untied cannot link.  Sketches grow with their sets, so sets that
+meet by chance differ in half of the bits and large corpora are not tied together by common phrases.
+Shingles of more than ``LONG_RUN`` sets tie without that comparison.
 
 *Prefix trees.*  The sets of a group, in the global order, form a compressed trie.  A set walks all
 branches at once, level by level.  Shared beginnings are intersected once.  A subtree is left when
@@ -46,6 +50,8 @@ THRESHOLD = Fraction(90, 100)
 BLOCK = 2000
 # Frequencies of routed shingles are told apart up to this number.
 LONG_RUN = 20_000
+# The bits of a sketch: powers of two from the one to the other.
+LEAST_BITS, MOST_BITS = 64, 2048
 # The bits of the filter of grouped documents: two to these powers at least and at most (16 MB).
 LEAST_POWER, FILTER_POWER = 15, 27
 
@@ -97,14 +103,29 @@ def _digest(tokens: np.ndarray) -> tuple[int, int]:
     return low, int(_mix(tokens ^ np.uint64(0xA5A5A5A55A5A5A5A)).sum(dtype=np.uint64).astype(np.int64))
 
 
+def sketch(tokens: np.ndarray, threshold: Fraction = THRESHOLD) -> bytes:
+    """Parities of the shingles by the last bits of their hashes.
+
+    There are enough bits that half of them are, but for few chances, more than a linking set may differ in.
+    """
+    up, down = threshold.numerator, threshold.denominator
+    differ = 2 * len(tokens) * (down - up) / (up + down)
+    bits = LEAST_BITS
+    while bits < min(MOST_BITS, 2.3 * differ + 40):
+        bits *= 2
+    ends = (tokens & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(ends, minlength=bits) & 1).astype(np.uint8)).tobytes()
+
+
 def _digests(frames: Iterator[pd.DataFrame], width: int, threshold: Fraction) -> Iterator[pd.DataFrame]:
     for frame in frames:
         rows = []
         for doc_id, text in zip(frame["doc_id"], frame["text"]):
             tokens = shingle_set(text, width)
             signs = beginning(tokens, threshold).view(np.int64)
-            rows.append((doc_id, len(tokens), *_digest(tokens), dropped(len(tokens), threshold), signs))
-        yield pd.DataFrame(rows, columns=["doc_id", "n_shingles", "low", "high", "drop", "signs"])
+            drop = dropped(len(tokens), threshold)
+            rows.append((doc_id, len(tokens), *_digest(tokens), drop, signs, sketch(tokens, threshold)))
+        yield pd.DataFrame(rows, columns=["doc_id", "n_shingles", "low", "high", "drop", "signs", "sketch"])
 
 
 def _ties(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -132,6 +153,91 @@ def _ties(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"a": [hub], "b": [hub], "sign": [sign], "edge": False})
 
 
+class _Sketches:
+    """Sketches of several widths; two are compared at the smaller width, to which the larger folds."""
+
+    def __init__(self, sketches: list[bytes]):
+        self.words = np.fromiter(map(len, sketches), np.int64, len(sketches)) // 8
+        self.at: dict[int, np.ndarray] = {}
+        widths = np.unique(self.words).tolist()
+        for width in widths:
+            self.at[width] = np.zeros((len(sketches), width), np.uint64)
+        for width in widths:
+            rows = np.flatnonzero(self.words == width)
+            folded = np.frombuffer(b"".join(sketches[i] for i in rows.tolist()), np.uint64).reshape(-1, width)
+            while True:
+                if width in self.at:
+                    self.at[width][rows] = folded
+                if width <= widths[0]:
+                    break
+                width //= 2
+                folded = folded[:, :width] ^ folded[:, width:]
+
+    def differ(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Bits in which the rows ``a`` and ``b`` differ."""
+        out, words = np.zeros(len(a), np.int64), np.minimum(self.words[a], self.words[b])
+        for width in np.unique(words).tolist():
+            here = np.flatnonzero(words == width)
+            bits = np.bitwise_count(self.at[width][a[here]] ^ self.at[width][b[here]])
+            out[here] = bits.sum(axis=1, dtype=np.int64)
+        return out
+
+
+def _whole_runs(frames: Iterator[pd.DataFrame], column: str) -> Iterator[pd.DataFrame]:
+    """Frames sorted by ``column``, cut where its value changes."""
+    held: list[pd.DataFrame] = []
+    for frame in frames:
+        if not len(frame):
+            continue
+        values = frame[column].to_numpy()
+        if held and held[-1][column].iloc[-1] != values[0]:
+            yield pd.concat(held, ignore_index=True)
+            held = []
+        cut = int(np.searchsorted(values, values[-1]))
+        if cut:
+            yield pd.concat([*held, frame.iloc[:cut]], ignore_index=True)
+            held = []
+        held.append(frame.iloc[cut:])
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
+def _near_ties(frames: Iterator[pd.DataFrame], threshold: Fraction) -> Iterator[pd.DataFrame]:
+    """Rows come sorted by (sign, n).  Spanning ties of the sets of one sign that may link by size and sketch."""
+    up, down = threshold.numerator, threshold.denominator
+    for rows in _whole_runs(frames, "sign"):
+        sign, n = rows["sign"].to_numpy(), rows["n"].to_numpy()
+        names, node = np.unique(rows["rep"].to_numpy(), return_inverse=True)
+        sketches = _Sketches(rows["sketch"].tolist())
+        root = np.arange(len(names))
+        a: list[int] = []
+        b: list[int] = []
+        at, lag = np.arange(len(rows)), 1
+        while True:
+            # Behind a row that is too large, or of another sign, none fits.
+            at = at[: np.searchsorted(at, len(rows) - lag)]
+            at = at[(sign[at] == sign[at + lag]) & (n[at] * down >= n[at + lag] * up)]
+            if not len(at):
+                break
+            apart = at[root[node[at]] != root[node[at + lag]]]
+            differ = sketches.differ(apart, apart + lag)
+            near = apart[differ * (up + down) <= (n[apart] + n[apart + lag]) * (down - up)]
+            for i, j in zip(node[near].tolist(), node[near + lag].tolist()):
+                first, second = i, j
+                while root[first] != first:
+                    first = root[first]
+                while root[second] != second:
+                    second = root[second]
+                if first != second:
+                    root[max(first, second)] = min(first, second)
+                    a.append(i)
+                    b.append(j)
+            while len(near) and (root[root] != root).any():
+                root = root[root]
+            lag += 1
+        yield pd.DataFrame({"a": names[a], "b": names[b]}) if a else pd.DataFrame({"a": [], "b": []}, dtype="int64")
+
+
 def _sized(frames: Iterator[pd.DataFrame], long_run: int) -> Iterator[pd.DataFrame]:
     """Rows come sorted by (sign, rep).  Rows of longer runs than one, with the run's length.
 
@@ -171,7 +277,8 @@ def _ranged(rows: DataFrame) -> DataFrame:
 
 
 def rare_signs(signed: DataFrame, long_run: int = LONG_RUN) -> DataFrame:
-    """(rep, sign) without the ``drop`` most frequent signs of every rep and without signs of one rep.
+    """(rep, sign) without the ``drop`` most frequent signs of every rep and without signs of one rep,
+    with the number of reps that had the sign, ``long_run`` at most.
 
     ``signed`` has rep, sign and drop, each (rep, sign) once.
     """
@@ -186,7 +293,7 @@ def rare_signs(signed: DataFrame, long_run: int = LONG_RUN) -> DataFrame:
     opened = sized.filter("size IS NULL").drop("size").join(F.broadcast(totals), "sign")
     counted = sized.filter("size IS NOT NULL").unionByName(opened)
     order = Window.partitionBy("rep").orderBy(F.desc("size"), F.desc("sign"))
-    return counted.withColumn("_place", F.row_number().over(order)).filter("_place > drop").select("rep", "sign")
+    return counted.withColumn("_place", F.row_number().over(order)).filter("_place > drop").select("rep", "sign", "size")
 
 
 def signature_ties(signed: DataFrame) -> DataFrame:
@@ -201,6 +308,20 @@ def signature_ties(signed: DataFrame) -> DataFrame:
     return runs.filter("edge").select("a", "b").union(across).distinct()
 
 
+def near_ties(rare: DataFrame, sets: DataFrame, threshold: Fraction, long_run: int = LONG_RUN) -> DataFrame:
+    """Edges (a, b) that connect all sets with a common sign that may link.
+
+    ``rare`` has rep, sign and size, ``sets`` rep, n and sketch.  A task holds the rows of one sign;
+    the signs of ``long_run`` sets or more, which are spread over tasks, tie whatever has them.
+    """
+    rare = stored(rare, "rare")
+    rows = rare.filter(F.col("size") < long_run).select("rep", "sign").join(sets, "rep")
+    sorted_rows = rows.repartition("sign").sortWithinPartitions("sign", "n", "rep")
+    ties = in_pandas(sorted_rows, lambda frames: _near_ties(frames, threshold), "a long, b long").distinct()
+    long = rare.filter(F.col("size") >= long_run).select("rep", "sign")
+    return ties if long.isEmpty() else ties.union(signature_ties(long))
+
+
 class _Forest:
     def __init__(self, nodes: np.ndarray):
         self.names, self.label = np.unique(nodes, return_inverse=True)
@@ -498,7 +619,7 @@ def _classes(docs: DataFrame, width: int, threshold: Fraction, sizes: bool = Fal
         in_pandas(
             texts,
             lambda frames: _digests(frames, width, threshold),
-            "doc_id long, n_shingles long, low long, high long, drop int, signs array<long>",
+            "doc_id long, n_shingles long, low long, high long, drop int, signs array<long>, sketch binary",
         ),
         "digests",
     )
@@ -517,7 +638,12 @@ def _classes(docs: DataFrame, width: int, threshold: Fraction, sizes: bool = Fal
     looked_up = owned.filter(may_copy).select(*narrow).join(classes, ["rep", *EQUAL], "left_semi").select("rep", "drop", "signs")
     firsts = owned.filter(~may_copy).select(*narrow).select("rep", "drop", "signs").union(looked_up)
     firsts = firsts.select("rep", F.explode("signs").alias("sign"), "drop")
-    return texts, digests, classes, own, stored(components(signature_ties(rare_signs(firsts))), "groups")
+    # A rep of several classes meets with the sketch of each.
+    shown = [F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "sketch"]
+    copied = owned.filter(may_copy).select(*shown).join(classes.select("rep"), "rep", "left_semi")
+    sets = owned.filter(~may_copy).select(*shown).union(copied).distinct()
+    ties = near_ties(rare_signs(firsts), sets, threshold)
+    return texts, digests, classes, own, stored(components(ties), "groups")
 
 
 def _labelled(digests: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
@@ -525,7 +651,7 @@ def _labelled(digests: DataFrame, classes: DataFrame, links: DataFrame) -> DataF
     labels = components(links).select(F.col("node").alias("rep"), "component")
     named = classes.join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep")).drop("rep")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    return digests.drop("signs", "drop").join(named, EQUAL, "left").withColumn("component_id", component)
+    return digests.drop("signs", "drop", "sketch").join(named, EQUAL, "left").withColumn("component_id", component)
 
 
 def ngram_components(

@@ -208,6 +208,44 @@ def test_defined_cases(spark):
     assert sorted((r.doc_id for r in kept.collect()), key=str) == [5, 5, None]
 
 
+@pytest.mark.parametrize("threshold", [Fraction(9, 10), Fraction(8, 10)])
+def test_sketches_untie_no_linking_sets(threshold):
+    """Ties connect whatever links within a sign, and nothing that only shares the sign by chance."""
+    rng = np.random.default_rng(2)
+    up, down = threshold.numerator, threshold.denominator
+    rows, sets, rep = [], {}, 0
+    for size in (1, 3, 20, 150, 160, 900, 1000, 2500):
+        for _ in range(4):
+            base = np.unique(rng.integers(0, 2**64, size, dtype=np.uint64))
+            for change in range(4):
+                gone = rng.choice(len(base), min(len(base) - 1, change * len(base) // 40), replace=False)
+                more = rng.integers(0, 2**64, change * len(base) // 50, dtype=np.uint64)
+                sets[rep] = np.union1d(np.delete(base, gone), more)
+                rows += [(rep, sign, len(sets[rep]), ngram_join.sketch(sets[rep], threshold)) for sign in (size % 7, 50 + rep % 2)]
+                rep += 1
+    rows.sort(key=lambda row: (row[1], row[2], row[0]))
+    frame = pd.DataFrame(rows, columns=["rep", "sign", "n", "sketch"])
+    cuts = [0, 5, 6, 40, 41, 90, 200, len(frame)]
+    parts = [frame.iloc[a:b] for a, b in zip(cuts, cuts[1:])]
+    ties = pd.concat(list(ngram_join._near_ties(iter(parts), threshold)))
+    got = smallest_reachable(sets, list(zip(ties["a"].tolist(), ties["b"].tolist())))
+    signs = {}
+    for r, sign, *_ in rows:
+        signs.setdefault(r, set()).add(sign)
+    linked = [(a, b) for a in sets for b in range(a) if signs[a] & signs[b] and links(sets[a].tolist(), sets[b].tolist(), threshold)]
+    assert linked and all(got[a] == got[b] for a, b in linked)
+    assert max(Counter(got.values()).values()) == 4
+
+
+def test_chance_meetings_make_no_group(spark):
+    """Texts of a small vocabulary meet in many rare phrases; without links they stay apart."""
+    rng = random.Random(8)
+    texts = [" ".join(rng.choices([f"w{i}" for i in range(40)], k=rng.randint(150, 170))) for _ in range(120)]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate([*texts, texts[0] + " more"])], SCHEMA)
+    groups = ngram_join._classes(docs, 3, THRESHOLD)[-1].collect()
+    assert {tuple(r) for r in groups} == {(0, 0), (120, 0)}
+
+
 def test_long_text_is_read_whole():
     text = "a b c d " * 200_000
     assert len(shingle_set(text)) == 4
