@@ -2,13 +2,17 @@
 
 Vectors are scaled by the largest norm and lifted to the unit sphere, so that a larger inner
 product with a query is a smaller distance.  Every hash is one random projection; a block of
-vectors keeps each projection as a sorted array.  A query opens a window around its own value in
+vectors keeps an array of each.  A query opens a window around its own value in
 every array and widens all windows step by step (virtual rehashing); it starts two steps below the
 width at which the query before it ended.  A vector that falls into the
 windows of enough arrays is verified by its exact inner product.  Widening stops when a vector as
 near as the worst of the best ``k`` verified ones would have been found with probability ``sure``,
 or when everything is verified; nothing is capped.
 
+Collisions are counted by comparing bytes, the projections in steps of ``STEP``; the projections
+themselves decide about vectors for which the outermost steps of the windows matter.  Vectors without structure put half of a block into the last window, and looking the
+windows up in sorted arrays costs more than reading the block.
+
 Every vector is dealt to one block of about ``block`` vectors and indexed there once.  The queries
 go to all blocks: a task holds one block, and the queries stream past it.  The best ``k`` of all
 blocks are merged.
@@ -39,6 +43,8 @@ WIDEN = 1.3
 FIRST_WINDOW = 0.15
 BLOCK = 16384
 SEED = 5
+# The width of a byte's step; projections beyond 128 steps to either side count as the outermost.
+STEP = 1 / 32
 
 
 def needed_share(projections: int, threshold: int, sure: float) -> float:
@@ -52,7 +58,7 @@ def needed_share(projections: int, threshold: int, sure: float) -> float:
 
 
 class CollisionIndex:
-    """Sorted projections of one block of vectors."""
+    """Projections of one block of vectors, and their steps in one byte each."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, largest: float, projections: int, seed: int):
         self.ids, self.vectors = ids, vectors
@@ -60,33 +66,63 @@ class CollisionIndex:
         lift = np.sqrt(np.maximum(0.0, 1.0 - (scaled**2).sum(1)))
         self.axes = np.random.default_rng(seed).standard_normal((projections, vectors.shape[1] + 1))
         values = self.axes[:, :-1] @ scaled.T + np.outer(self.axes[:, -1], lift)
-        self.order = np.argsort(values, axis=1)
-        self.values = np.take_along_axis(values, self.order, axis=1)
+        self.steps = self._steps(values).astype(np.uint8)
+        self.values = np.ascontiguousarray(values.T)
         self.largest = largest
         self.first = FIRST_WINDOW
 
+    @staticmethod
+    def _steps(values: np.ndarray) -> np.ndarray:
+        return np.clip(np.floor(values / STEP), -128, 127).astype(np.int64) + 128
+
+    @staticmethod
+    def _counted(inside: np.ndarray) -> np.ndarray:
+        if len(inside) > 255:
+            return inside.sum(axis=0)
+        return np.add.reduce(inside.view(np.uint8), axis=0, dtype=np.uint8)
+
+    def _colliding(self, centre: np.ndarray, half: float, threshold: int, seen: np.ndarray) -> np.ndarray:
+        """Places of the vectors not ``seen`` that lie within ``half`` of the centre in ``threshold`` arrays."""
+        low, high = self._steps(centre - half), self._steps(centre + half)
+        # Below a window, the difference of the bytes wraps around and is too large as well.
+        first, span = low.astype(np.uint8)[:, None], (high - low).astype(np.uint8)[:, None]
+        above = self.steps - first
+        may = np.flatnonzero((self._counted(above <= span) >= threshold) & ~seen)
+        if not len(may):
+            return may
+        # Only the outermost steps of a window need the projections themselves.
+        sure = self._counted((above > 0) & (above < span))[may] >= threshold
+        edge = may[~sure]
+        exact = self.values[edge]
+        found = ((exact >= centre - half) & (exact <= centre + half)).sum(axis=1) >= threshold
+        return np.sort(np.concatenate((may[sure], edge[found])))
+
+    def _best(self, query: np.ndarray, rows: np.ndarray, k: int, norm: float) -> np.ndarray:
+        """The given rows but those whose inner products are below the ``k`` largest beyond doubt.
+
+        Matrix products round in another order than sums of products, by less than ``slack``.
+        """
+        if len(rows) <= 4 * k:
+            return rows
+        many = 4 * len(rows) > len(self.ids)
+        products = (self.vectors @ query)[rows] if many else self.vectors[rows] @ query
+        slack = 4 * len(query) * np.finfo(float).eps * self.largest * norm
+        return rows[~(products < np.partition(products, len(rows) - k)[len(rows) - k] - slack)]
+
     def search(self, query: np.ndarray, own: int, k: int, threshold: int, reach: float) -> tuple[np.ndarray, np.ndarray]:
         """Ids and inner products of the best ``k`` found, best first, ties to the smaller id."""
-        size, top = len(self.ids), float(np.abs(query).max())
+        top = float(np.abs(query).max())
         unit = query / top
         length = math.sqrt(float((unit**2).sum()))
         centre = self.axes[:, :-1] @ (unit / length)
-        low = np.array([v.searchsorted(c) for v, c in zip(self.values, centre)])
-        high = low.copy()
-        counts = np.zeros(size, dtype=np.int64)
         seen = self.ids == own
         rows, scores = np.empty(0, np.int64), np.empty(0)
         half = self.first
         while True:
-            fresh = []
-            for i, (v, c) in enumerate(zip(self.values, centre)):
-                begin, end = int(v.searchsorted(c - half)), int(v.searchsorted(c + half, side="right"))
-                fresh += (self.order[i, begin : low[i]], self.order[i, high[i] : end])
-                low[i], high[i] = begin, end
-            counts += np.bincount(np.concatenate(fresh), minlength=size)
-            new = np.flatnonzero((counts >= threshold) & ~seen)
+            new = self._colliding(centre, half, threshold, seen)
             if len(new):
                 seen[new] = True
+                new = self._best(query, new, k, top * length)
                 rows = np.concatenate((rows, new))
                 scores = np.concatenate((scores, (self.vectors[new] * query).sum(1)))
                 best = np.lexsort((self.ids[rows], -scores))[:k]

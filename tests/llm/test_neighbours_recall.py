@@ -40,3 +40,20 @@ def test_recall_with_the_default_stop_rule(blocks):
         scores[at] = -np.inf
         recalls.append(len(best & set(ids[np.lexsort((ids, -scores))[:20]].tolist())) / 20)
     assert min(recalls) >= 0.95 and np.mean(recalls) >= 0.995
+
+
+def test_bytes_find_what_the_projections_find():
+    """Collisions by bytes are those by projections, and no product among the best is lost."""
+    rng = np.random.default_rng(4)
+    vectors = rng.standard_normal((3000, 12)) * rng.choice([0.01, 1.0, 40.0], (3000, 1))
+    index = neighbours.CollisionIndex(np.arange(3000), vectors, math.sqrt((vectors**2).sum(1).max()), 64, 5)
+    seen = np.arange(3000) % 7 == 0
+    for query in vectors[:40]:
+        centre = index.axes[:, :-1] @ (query / np.linalg.norm(query))
+        for half in (0.0, 0.01, 0.05, 0.4, 1.6, 9.0):
+            counts = (np.abs(index.values - centre) <= half).sum(1)
+            for threshold in (1, 20, 40):
+                assert index._colliding(centre, half, threshold, seen).tolist() == np.flatnonzero((counts >= threshold) & ~seen).tolist()
+        rows = rng.permutation(3000)[: rng.integers(1, 3000)]
+        best = rows[np.argsort(-(vectors[rows] * query).sum(1))[:20]]
+        assert set(best) <= set(index._best(query, rows, 20, np.linalg.norm(query)))
