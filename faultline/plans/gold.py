@@ -12,7 +12,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 
 from faultline.operators import aggregates, forecast, recommend, risk
-from faultline.session import held
+from faultline.session import compact_profile, held
 from faultline.sinks.tables import write_counted
 
 CONCURRENT_WRITES = 6
@@ -69,9 +69,10 @@ def write_gold(spark: SparkSession, valid: DataFrame, path: str) -> dict[str, in
     def stored(name: str) -> DataFrame:
         return spark.read.parquet(f"{path}/{name}")
 
-    write_counted(aggregates.daily_cells_with_p95(valid), f"{path}/daily_cells")
-    counts = write_all(base_tables(valid, stored("daily_cells")))
-    return counts | write_all(derived_tables({name: stored(name) for name in SOURCES_OF_DERIVED}))
+    with compact_profile(spark):
+        write_counted(aggregates.daily_cells_with_p95(valid), f"{path}/daily_cells")
+        counts = write_all(base_tables(valid, stored("daily_cells")))
+        return counts | write_all(derived_tables({name: stored(name) for name in SOURCES_OF_DERIVED}))
 
 
 def count_gold(valid: DataFrame) -> dict[str, float]:

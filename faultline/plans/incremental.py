@@ -15,7 +15,7 @@ from faultline.plans.membership import member_bitmaps, possible_months, power_fo
 from faultline.plans.silver import silver_records
 from faultline.plans.store import FILE_KEYS, SLICE_COLUMNS, STORE_TIEBREAK, Slice, Store
 from faultline.schema import RAW_SCHEMA
-from faultline.session import adaptive_profile, settings
+from faultline.session import adaptive_profile, compact_profile, settings
 from faultline.sinks.tables import WriteMismatch, balanced_by, write_counted
 from faultline.sources.incident_csv import add_source_file, read_incident_csv
 from faultline.sources.landing import (
@@ -208,6 +208,11 @@ def merge_versions(state: DataFrame, staged: DataFrame, policy: SlaPolicy, tiebr
 
 def upsert(store: Store, staged: DataFrame, policy: SlaPolicy = SLA, tiebreak=STORE_TIEBREAK) -> dict[str, int]:
     """Merge staged rows into the current records; rewrites only the touched months."""
+    with compact_profile(store.spark):
+        return upsert_staged(store, staged, policy, tiebreak)
+
+
+def upsert_staged(store: Store, staged: DataFrame, policy: SlaPolicy, tiebreak) -> dict[str, int]:
     spark, run = store.spark, store.new_run()
     slices = store.slices()
     touched = touched_months(store, staged, slices, policy)
@@ -266,7 +271,8 @@ def refresh_silver(store: Store, policy: SlaPolicy = SLA, tiebreak=STORE_TIEBREA
         return None
     staging = store.path("staging", store.new_run())
     transformed = silver_records(store.bronze(pending), policy)
-    count = write_counted(transformed, staging)["rows"]
+    with compact_profile(spark):
+        count = write_counted(transformed, staging)["rows"]
     expected = sum(b.records_written for b in batches)
     if count != expected:
         raise WriteMismatch(f"{expected} Bronze rows, {count} transformed")

@@ -20,7 +20,7 @@ from faultline.queries.silver_queries import KEYS_SQL, with_keys
 from faultline.queries.sqlbase import VIEWS
 from faultline.queries.workload_queries import GOLD_VIEWS
 from faultline.schema import RAW_SCHEMA, SOURCE_COLUMNS
-from faultline.session import new_run_dir
+from faultline.session import compact_profile, new_run_dir
 from faultline.sinks import payloads, tables
 from faultline.sources.incident_csv import READ_OPTIONS, WRITE_OPTIONS, add_lineage, add_source_file, read_incident_csv
 from faultline.sources.landing import LANDED, landed_files, landing_inventory, pending_files
@@ -432,7 +432,8 @@ def upserted(spark, sf_dir) -> tuple[Store, list[dict]]:
     """Versions shipped before 1998 first, the others as a second load; both are staged by one write."""
     store = store_for(spark, "store", TIEBREAK_DDL)
     versions, staging = silver(spark, sf_dir), store.path("staging", store.new_run())
-    versions.withColumn("load", (F.col("_batch_id") >= "1998_01").cast("int")).write.partitionBy("load").parquet(staging)
+    with compact_profile(spark):
+        versions.withColumn("load", (F.col("_batch_id") >= "1998_01").cast("int")).write.partitionBy("load").parquet(staging)
     metrics = []
     for load in range(2):
         staged = spark.read.schema(versions.schema).parquet(f"{staging}/load={load}")

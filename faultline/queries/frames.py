@@ -9,7 +9,7 @@ from faultline.operators import aggregates, forecast, recommend, risk
 from faultline.operators.clean import rename_source, strip_blanks, type_columns
 from faultline.operators.quality import only_valid
 from faultline.plans.silver import current_records, silver_records
-from faultline.session import new_run_dir
+from faultline.session import compact_profile, new_run_dir
 from faultline.sinks.tables import write_counted
 from faultline.sources.testbed import POLICY, VERSION_TIEBREAK, incident_versions
 
@@ -49,7 +49,8 @@ def valid(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stored_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The valid incidents written to the shared folder, for queries that build several tables."""
     folder = new_run_dir(spark, "valid")
-    write_counted(valid(spark, sf_dir), folder)
+    with compact_profile(spark):
+        write_counted(valid(spark, sf_dir), folder)
     return spark.read.parquet(folder)
 
 

@@ -37,6 +37,15 @@ def adaptive_profile(spark: SparkSession):
     """The library's runtime settings for the duration of a block, whatever the session has."""
     return settings(spark, ADAPTIVE_CONF)
 
+# Rows come out of compressed Parquet many times larger: tasks that sort or group what they read take
+# small splits, whose rows fit in their memory, and stored rows are packed closely.
+COMPACT_CONF = {"spark.sql.files.maxPartitionBytes": "16m", "spark.sql.parquet.compression.codec": "zstd"}
+
+
+def compact_profile(spark: SparkSession):
+    """Small input splits and zstd files for the duration of a block."""
+    return settings(spark, COMPACT_CONF)
+
 
 @contextmanager
 def settings(spark: SparkSession, conf: dict[str, str]) -> Iterator[SparkSession]:

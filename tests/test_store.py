@@ -555,3 +555,21 @@ def test_incident_ids_keep_their_format(spark):
     keys = spark.createDataFrame([(0,), (7,), (9_999_999,), (10_000_000,), (-5,)], "k bigint")
     rows = keys.select(testbed.incident_id("k").alias("id"), F.format_string("INC%07d", "k").alias("formatted")).collect()
     assert all(r.id == r.formatted for r in rows)
+
+
+def test_upsert_and_gold_read_small_splits(spark, store, tmp_path, monkeypatch):
+    """What sorts stored rows takes splits that fit in a task's memory; the session's settings come back."""
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.parquet.compression.codec")
+    before, seen, written = [spark.conf.get(key) for key in keys], [], tables.write_counted
+
+    def watched(df, path, *args, **kwargs):
+        seen.append((path.removeprefix(store.root).split("/")[1], spark.conf.get(keys[0])))
+        return written(df, path, *args, **kwargs)
+
+    monkeypatch.setattr(incremental, "write_counted", watched)
+    monkeypatch.setattr("faultline.plans.gold.write_counted", watched)
+    landing = tmp_path / "landing"
+    land(landing, "incidents_2026_01.csv", RAW_ROWS)
+    assert incremental.run_incremental(store, str(landing)) == "SUCCESS"
+    assert {size for folder, size in seen if folder in ("staging", "records", "gold")} == {"16m"}
+    assert all(name.endswith(".zstd.parquet") for name in store.records().inputFiles()) and before == [spark.conf.get(key) for key in keys]
