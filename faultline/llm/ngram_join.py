@@ -42,8 +42,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from faultline.llm.common import in_pandas, send_package, stored
+from faultline.llm.common import TEXT_CONF, in_pandas, send_package, stored
 from faultline.llm.components import components
+from faultline.session import settings
 
 WIDTH = 3
 THRESHOLD = Fraction(90, 100)
@@ -615,14 +616,15 @@ def _classes(docs: DataFrame, width: int, threshold: Fraction, sizes: bool = Fal
     """Texts, digests, classes of equal sets (with their documents counted if ``sizes``), edges of
     documents in several classes, groups."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    digests = stored(
-        in_pandas(
-            texts,
-            lambda frames: _digests(frames, width, threshold),
-            "doc_id long, n_shingles long, low long, high long, drop int, signs array<long>, sketch binary",
-        ),
-        "digests",
-    )
+    with settings(docs.sparkSession, TEXT_CONF):
+        digests = stored(
+            in_pandas(
+                texts,
+                lambda frames: _digests(frames, width, threshold),
+                "doc_id long, n_shingles long, low long, high long, drop int, signs array<long>, sketch binary",
+            ),
+            "digests",
+        )
     owned = digests.filter("doc_id IS NOT NULL AND n_shingles > 0")
     counted = owned.select("doc_id", *EQUAL).distinct() if sizes else owned
     docs_of = [F.count(F.lit(1)).alias("docs")] if sizes else []

@@ -25,10 +25,11 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faultline.llm.common import in_pandas, send_package
+from faultline.llm.common import TEXT_ROWS, in_pandas, send_package
 
 
 @dataclass(frozen=True)
@@ -395,12 +396,25 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     return in_pandas(docs.selectExpr("CAST(doc_id AS BIGINT) AS doc_id", "text"), _map_text(rows), schema)
 
 
+def _cleaned(texts: Iterator[pa.Array], rules: tuple[Rule, ...], mask: str, rows: int = TEXT_ROWS) -> Iterator[pa.Array]:
+    """The redacted texts in pieces of at most ``rows``; a piece without secrets is passed on as it came."""
+    for batch in texts:
+        for at in range(0, len(batch), rows):
+            piece = batch.slice(at, rows)
+            before = piece.to_pylist()
+            after = [redacted(text, rules, mask) for text in before]
+            yield piece if after == before else pa.array(after, piece.type)
+
+
 def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mask: str = MASK) -> DataFrame:
-    """The documents, with the same columns, and every secret in ``text`` replaced by the mask."""
+    """The documents, with the same columns, and every secret in ``text`` replaced by the mask.
+
+    A worker holds one Arrow batch and the objects of one piece of it, the JVM gets piece by piece.
+    """
     send_package(docs.sparkSession)
 
-    @F.pandas_udf("string")
-    def clean(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda text: redacted(text, rules, mask), na_action="ignore")
+    @F.arrow_udf("string")
+    def clean(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from _cleaned(texts, rules, mask)
 
     return docs.withColumn("text", clean("text"))

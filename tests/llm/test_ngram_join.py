@@ -11,6 +11,7 @@ import pandas as pd
 import pytest
 
 from faultline.llm import ngram_join
+from faultline.llm.common import TEXT_ROWS
 from faultline.llm.components import components
 from faultline.llm.ngram_join import THRESHOLD, beginning, dropped, join_block, ngram_components, shingle_set
 
@@ -256,3 +257,24 @@ def test_chain_and_star_components(spark):
     edges = [(i, i + 1) for i in range(1, 60)] + [(100, 100 + i) for i in range(1, 40)] + [(7, 7)]
     got = components(spark.createDataFrame(edges, "a long, b long"))
     assert {tuple(r) for r in got.collect()} == {(i, 1) for i in range(1, 61)} | {(100 + i, 100) for i in range(40)}
+
+
+def test_texts_are_cut_into_shingles_in_small_batches(spark, monkeypatch):
+    """A task's texts reach the workers by a few hundred rows, and the session's own setting comes back."""
+    whole, rows = ngram_join._digests, TEXT_ROWS
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+    def checked(frames, *options):
+        def small():
+            for frame in frames:
+                assert len(frame) <= rows, len(frame)
+                yield frame
+
+        return whole(small(), *options)
+
+    monkeypatch.setattr(ngram_join, "_digests", checked)
+    docs = spark.createDataFrame([(i // 2 * 2, f"a b c d{i // 4}", "en", "s", 8) for i in range(4 * rows)], SCHEMA)
+    before = spark.conf.get(name, None)
+    got = ngram_components(docs.coalesce(1)).collect()
+    assert spark.conf.get(name, None) == before
+    assert Counter((r.doc_id, r.component_id) for r in got) == Counter((i // 2 * 2, i // 4 * 4) for i in range(4 * rows))

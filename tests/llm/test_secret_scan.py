@@ -6,7 +6,9 @@ import hashlib
 import random
 import re
 import time
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 
 from faultline.llm import secret_scan as s
@@ -107,3 +109,29 @@ def test_time_grows_with_the_text(piece):
     seconds = time.process_time() - start
     assert [span for span in found if span[0] in s.BASE_KINDS] == base_spans(text)
     assert seconds < 6 * len(text) / 1_000_000, seconds
+
+
+def test_redaction_holds_a_piece_of_a_batch():
+    """The objects of a batch of 40 MB are never held at once, and every text comes back in its place."""
+    plain, secret = "word " * 800, "token=abcdef123 " + "word " * 800
+    texts = [None if i % 7 == 3 else secret if i % 1000 == 5 else f"{i} {plain}" for i in range(10_000)]
+    batch = pa.array(texts)
+    expected = pa.array([text and text.replace("token=abcdef123", s.MASK) for text in texts])
+    s.compiled(s.RULES)
+    seen = 0
+    tracemalloc.start()
+    for piece in s._cleaned(iter([batch, batch.slice(0, 0)]), (s.Rule("assign", "token=[a-z0-9]+"),), s.MASK):
+        assert 0 < len(piece) <= s.TEXT_ROWS and piece.equals(expected.slice(seen, len(piece)))
+        seen += len(piece)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert seen == len(batch) and peak < batch.nbytes / 4, (seen, peak)
+
+
+def test_redaction_of_more_rows_than_a_batch(spark):
+    """Null and repeated ids and texts, in one task of several batches."""
+    texts = [None, "", "é token=abcdef123 ü", "nothing"]
+    rows = [(None if i % 5 == 0 else i // 2, texts[i % 4], i) for i in range(25_003)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, place int").coalesce(1)
+    expected = [(doc_id, "é [secret] ü" if text and "token" in text else text, i) for doc_id, text, i in rows]
+    assert [tuple(row) for row in s.redact(docs).collect()] == expected
