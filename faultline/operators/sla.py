@@ -14,6 +14,12 @@ from faultline.config import SLA, SlaPolicy
 from faultline.functions.text import matches_folded
 
 
+AUDIT_COLUMNS = (
+    "kpi_rule_version", "kpi_limit_seconds", "kpi_rule_reason", "kpi_eligible_by_rule", "kpi_violated_by_rule",
+    "entered_kpi_rule_matches_source", "kpi_violated_rule_matches_source",
+)
+
+
 @dataclass(frozen=True)
 class Case:
     reason: str

@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from faultline.config import SLA, SlaPolicy
 from faultline.operators.ledger import control_snapshot, effective_batches, pending_batches, silver_entries
-from faultline.operators.quality import batch_quality, latest_versions
+from faultline.operators.quality import batch_quality, latest_versions, version_order
 from faultline.operators.reconcile import missing_gold, reconciliation_checks
-from faultline.operators.sla import audit_sla
+from faultline.operators.sla import AUDIT_COLUMNS, audit_sla
 from faultline.plans.gold import write_gold
-from faultline.plans.membership import member_bitmaps, possible_months, power_for
+from faultline.plans.membership import BITMAP_BITS, has_bit, member_bitmaps, possible_months, power_for
 from faultline.plans.silver import silver_records
 from faultline.plans.store import FILE_KEYS, SLICE_COLUMNS, STORE_TIEBREAK, Slice, Store
 from faultline.schema import RAW_SCHEMA
-from faultline.session import adaptive_profile, compact_profile, settings
+from faultline.session import COMPACT_CONF, adaptive_profile, compact_profile
 from faultline.sinks.tables import WriteMismatch, balanced_by, write_counted
 from faultline.sources.incident_csv import add_source_file, read_incident_csv
 from faultline.sources.landing import (
@@ -24,7 +26,7 @@ from faultline.sources.landing import (
 
 
 # Landed files that one task reads together, by their stored size.
-BYTES_PER_TASK = "16m"
+BYTES_PER_TASK = COMPACT_CONF["spark.sql.files.maxPartitionBytes"]
 
 
 class EmptyBatch(RuntimeError):
@@ -85,7 +87,7 @@ def ingest_files(store: Store, files: list) -> None:
         .withColumn("_ingested_at", F.current_timestamp())
     )
     # A task sorts what it writes, so few compressed files go to one task.
-    with settings(spark, {"spark.sql.files.maxPartitionBytes": BYTES_PER_TASK}):
+    with compact_profile(spark):
         written = write_bronze(store, with_digest(rows))
     counts = stored_counts(store, listed)
     stored = counts.agg(F.coalesce(F.sum("records_written"), F.lit(0))).first()[0]
@@ -200,15 +202,56 @@ def write_members(store: Store, stored: DataFrame, counts: dict[tuple, tuple[int
     rows.write.mode("overwrite").parquet(store.path("members", f"run={run}"))
 
 
-def merge_versions(state: DataFrame, staged: DataFrame, policy: SlaPolicy, tiebreak) -> DataFrame:
-    """Stored and incoming versions, audited again, newest per incident."""
-    combined = state.unionByName(staged, allowMissingColumns=True)
-    return latest_versions(audit_sla(combined, policy), tiebreak)
+# Where a row is stored: its file, a block of rows in it and its bit in the block's bitmap.
+PLACE = ("_file", "_block", "_bit")
+# Bitmaps up to this size, a bit a row, are sent to all tasks; larger ones are joined by a shuffle.
+BITMAPS_SENT = 1 << 28
+
+
+def placed(rows: DataFrame) -> DataFrame:
+    """Rows of a plain read of Parquet files with their places."""
+    index = F.col("_metadata.row_index")
+    places = (F.col("_metadata.file_path"), F.floor(index / BITMAP_BITS), (index % BITMAP_BITS))
+    return rows.withColumns(dict(zip(PLACE, places)))
+
 
+def newest_places(versions: DataFrame, tiebreak) -> DataFrame:
+    """Bitmaps, by file and block, of the rows that are the newest version of their incident."""
+    narrow = versions.select("incident_id", *version_order(versions, tiebreak), *PLACE)
+    newest = latest_versions(narrow, tiebreak).select(*PLACE).repartition("_file", "_block")
+    return newest.groupBy("_file", "_block").agg(F.bitmap_construct_agg("_bit").alias("_newest"))
 
-def upsert(store: Store, staged: DataFrame, policy: SlaPolicy = SLA, tiebreak=STORE_TIEBREAK) -> dict[str, int]:
-    """Merge staged rows into the current records; rewrites only the touched months."""
+
+def merge_versions(store: Store, frames: list[DataFrame], policy: SlaPolicy, tiebreak) -> DataFrame:
+    """Newest version per incident of the stored and incoming rows, audited again and grouped by month.
+
+    The choice is made on ids, ages and places, so whole rows cross one shuffle only, to their months.
+    """
+    versions = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), (placed(rows) for rows in frames))
+    folder = store.path("staging", store.new_run())
+    blocks = write_counted(newest_places(versions, tiebreak), folder)["rows"]
+    places = store.spark.read.schema("_file string, _block bigint, _newest binary").parquet(folder)
+    if blocks * BITMAP_BITS // 8 <= BITMAPS_SENT:
+        places = F.broadcast(places)
+    newest = versions.join(places, ["_file", "_block"]).filter(has_bit("_newest", "_bit"))
+    names = [name for name in versions.columns if name not in PLACE]
+    carried = newest.select(*(name for name in names if name not in AUDIT_COLUMNS))
+    audited = audit_sla(balanced_by(carried, "opened_year", "opened_month"), policy)
+    return audited.select(*names, *(name for name in AUDIT_COLUMNS if name not in names))
+
+
+def upsert(
+    store: Store, staged: DataFrame, policy: SlaPolicy = SLA, tiebreak=STORE_TIEBREAK, filed: bool = False
+) -> dict[str, int]:
+    """Merge staged rows into the current records; rewrites only the touched months.
+
+    ``filed`` says that the rows are a plain read of Parquet files; others are written to such files first.
+    """
     with compact_profile(store.spark):
+        if not filed:
+            folder, schema = store.path("staging", store.new_run()), staged.schema
+            write_counted(staged, folder)
+            staged = store.spark.read.schema(schema).parquet(folder)
         return upsert_staged(store, staged, policy, tiebreak)
 
 
@@ -220,10 +263,10 @@ def upsert_staged(store: Store, staged: DataFrame, policy: SlaPolicy, tiebreak)
     before = sum(part.valid + part.invalid for part in affected)
     received = staged.count()
 
-    merged = merge_versions(store.records(affected), staged, policy, tiebreak)
+    merged = merge_versions(store, [store.records(affected), staged] if before else [staged], policy, tiebreak)
     target = store.path("records", f"run={run}")
     written = write_counted(
-        balanced_by(merged, "opened_year", "opened_month"),
+        merged,
         target,
         SLICE_COLUMNS,
         extra={
@@ -277,7 +320,7 @@ def refresh_silver(store: Store, policy: SlaPolicy = SLA, tiebreak=STORE_TIEBREA
     if count != expected:
         raise WriteMismatch(f"{expected} Bronze rows, {count} transformed")
     staged = spark.read.schema(transformed.schema).parquet(staging)
-    totals = upsert(store, staged, policy, tiebreak)
+    totals = upsert(store, staged, policy, tiebreak, filed=True)
     quality = batch_quality(staged).withColumnRenamed("_batch_id", "batch_id")
     rows = silver_entries(
         spark.createDataFrame(batches), quality, totals["silver_total"], totals["quarantine_total"]

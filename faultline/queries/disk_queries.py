@@ -437,7 +437,7 @@ def upserted(spark, sf_dir) -> tuple[Store, list[dict]]:
     metrics = []
     for load in range(2):
         staged = spark.read.schema(versions.schema).parquet(f"{staging}/load={load}")
-        metrics.append(incremental.upsert(store, staged, tiebreak=VERSION_TIEBREAK))
+        metrics.append(incremental.upsert(store, staged, tiebreak=VERSION_TIEBREAK, filed=True))
     return store, metrics
 
 

@@ -38,12 +38,17 @@ def adaptive_profile(spark: SparkSession):
     return settings(spark, ADAPTIVE_CONF)
 
 # Rows come out of compressed Parquet many times larger: tasks that sort or group what they read take
-# small splits, whose rows fit in their memory, and stored rows are packed closely.
-COMPACT_CONF = {"spark.sql.files.maxPartitionBytes": "16m", "spark.sql.parquet.compression.codec": "zstd"}
+# small splits, whose rows fit in their memory, and stored rows are packed closely.  Shuffle files go
+# when their query ends; otherwise they stay until the driver's next garbage collection.
+COMPACT_CONF = {
+    "spark.sql.files.maxPartitionBytes": "16m",
+    "spark.sql.parquet.compression.codec": "zstd",
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+}
 
 
 def compact_profile(spark: SparkSession):
-    """Small input splits and zstd files for the duration of a block."""
+    """Small input splits, zstd files and no shuffle files left behind for the duration of a block."""
     return settings(spark, COMPACT_CONF)
 
 
