@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,13 +25,20 @@ def silver_records(raw: DataFrame, policy: SlaPolicy = SLA) -> DataFrame:
     )
 
 
-def current_records(raw: DataFrame, tiebreak: Sequence[str] = (), policy: SlaPolicy = SLA) -> DataFrame:
+def current_records(
+    raw: DataFrame,
+    tiebreak: Sequence[str] = (),
+    policy: SlaPolicy = SLA,
+    described: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """Newest version of every incident, valid or not.
 
     The choice comes before the validity split: a newer invalid version replaces an older
     valid one.  It needs the id and the closing time only, so superseded versions are never
-    typed and the rows that are sorted and shuffled are the raw ones.
+    typed and the rows that are sorted and shuffled are the raw ones.  ``described`` makes the raw
+    rows out of the chosen ones, one for each, where joins add columns that the choice does not need.
     """
     named = rename_source(raw)
     closed = F.try_to_timestamp(blank_to_null(F.col("closed_at")))
-    return silver_records(latest_versions(named, tiebreak, blank_to_null(F.col("incident_id")), closed), policy)
+    newest = latest_versions(named, tiebreak, blank_to_null(F.col("incident_id")), closed)
+    return silver_records(newest if described is None else described(newest), policy)

@@ -11,7 +11,7 @@ from faultline.operators.quality import only_valid
 from faultline.plans.silver import current_records, silver_records
 from faultline.session import compact_profile, new_run_dir
 from faultline.sinks.tables import write_counted
-from faultline.sources.testbed import POLICY, VERSION_TIEBREAK, incident_versions
+from faultline.sources.testbed import POLICY, VERSION_TIEBREAK, described, incident_versions, joined_orders, rendered, with_ages
 
 LINE_KEYS = {
     "_batch_id": "batch_id",
@@ -39,7 +39,9 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def current(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return current_records(raw(spark, sf_dir), VERSION_TIEBREAK, POLICY)
+    """Only the newest versions meet parts, suppliers and nations: that join scatters the versions of an incident."""
+    versions = with_ages(joined_orders(spark, sf_dir))
+    return current_records(versions, VERSION_TIEBREAK, POLICY, lambda chosen: rendered(described(chosen, sf_dir, once=True)))
 
 
 def valid(spark: SparkSession, sf_dir: str) -> DataFrame:

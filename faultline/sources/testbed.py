@@ -54,26 +54,54 @@ def incident_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rendered(joined_lines(spark, sf_dir))
 
 
-def joined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """No join hints: the optimizer broadcasts a side only while its measured size allows it."""
+def joined_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with their orders; no join hints: the optimizer broadcasts a side only while its measured size allows it."""
     lines, orders = by_order(table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders"))
-    parts = table(spark, sf_dir, "part")
-    suppliers = table(spark, sf_dir, "supplier")
-    nations = table(spark, sf_dir, "nation")
+    return lines.join(orders, lines.l_orderkey == orders.o_orderkey)
+
 
+def described(lines: DataFrame, sf_dir: str, once: bool = False) -> DataFrame:
+    """Lines with part, supplier and nation; with ``once`` each stays one row where keys of these tables repeat."""
+    parts, suppliers, nations = (table(lines.sparkSession, sf_dir, name) for name in ("part", "supplier", "nation"))
+    if once:
+        parts, suppliers, nations = (
+            rows.dropDuplicates([key]) for rows, key in ((parts, "p_partkey"), (suppliers, "s_suppkey"), (nations, "n_nationkey"))
+        )
     return (
-        lines.join(orders, lines.l_orderkey == orders.o_orderkey)
-        .join(parts, lines.l_partkey == parts.p_partkey, "left")
-        .join(suppliers, lines.l_suppkey == suppliers.s_suppkey, "left")
-        .join(nations, suppliers.s_nationkey == nations.n_nationkey, "left")
+        lines.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
+        .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"), "left")
+        .join(nations, F.col("s_nationkey") == F.col("n_nationkey"), "left")
     )
 
 
+def joined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return described(joined_orders(spark, sf_dir), sf_dir)
+
+
+STAMP = "yyyy-MM-dd HH:mm:ss"
+
+
+def ages() -> list[Column]:
+    """The lineage columns that order versions, after the closing time."""
+    return [
+        F.add_months(F.trunc("l_shipdate", "month"), 1).cast("timestamp").alias("_ingested_at"),
+        F.col("l_linenumber").alias("_line_number"),
+        F.col("l_partkey").alias("_part_key"),
+        F.col("l_suppkey").alias("_supplier_key"),
+        F.col("l_extendedprice").alias("_extended_price"),
+    ]
+
+
+def with_ages(lines: DataFrame) -> DataFrame:
+    """Lines with their orders and what the choice of the newest version needs, under the headers of the extract."""
+    closed = F.date_format("l_shipdate", STAMP)
+    return lines.select("*", incident_id("o_orderkey").alias("Número"), closed.alias("Encerrado"), *ages())
+
+
 def rendered(joined: DataFrame) -> DataFrame:
     """Joined lines as texts under the headers of the extract."""
     line = F.col("l_linenumber")
-    stamp = "yyyy-MM-dd HH:mm:ss"
-    shipped = F.date_format("l_shipdate", stamp)
+    shipped = F.date_format("l_shipdate", STAMP)
     return joined.select(
         incident_id("o_orderkey").alias("Número"),
         F.col("o_orderpriority").alias("Prioridade"),
@@ -84,7 +112,7 @@ def rendered(joined: DataFrame) -> DataFrame:
         F.when(line == 3, F.lit("  ")).otherwise(F.col("p_size").cast("string")).alias("Subcategoria"),
         F.when(F.col("l_suppkey") % 97 != 0, F.col("n_name")).alias("Grupo designado"),
         F.col("s_name").alias("Item de configuração"),
-        F.date_format("o_orderdate", stamp).alias("Aberto"),
+        F.date_format("o_orderdate", STAMP).alias("Aberto"),
         shipped.alias("Resolvido"),
         shipped.alias("Encerrado"),
         F.floor(F.col("l_extendedprice") / 2).cast("string").alias("Duração"),
@@ -103,9 +131,5 @@ def rendered(joined: DataFrame) -> DataFrame:
         .otherwise("N/A")
         .alias("KPI Violado?"),
         F.date_format("l_shipdate", "yyyy_MM").alias("_batch_id"),
-        F.add_months(F.trunc("l_shipdate", "month"), 1).cast("timestamp").alias("_ingested_at"),
-        line.alias("_line_number"),
-        F.col("l_partkey").alias("_part_key"),
-        F.col("l_suppkey").alias("_supplier_key"),
-        F.col("l_extendedprice").alias("_extended_price"),
+        *ages(),
     )

@@ -59,6 +59,30 @@ def test_rows_without_files_are_staged_for_an_upsert(spark, tmp_path):
     assert incremental.upsert(store, rows, filed=True)["merged"] == 7 and store.records().count() == 7
 
 
+def test_the_newest_version_is_chosen_before_parts_are_joined(spark, tmp_path):
+    """The join by part scatters versions of an incident; parts that repeat do not make it two."""
+    day = datetime.datetime(1995, 3, 1)
+    lines = [(o, n % 3, 1, n, 10.0 * n, 0.05, "R", "O", day + datetime.timedelta(n)) for o in range(5) for n in range(1, 5)]
+    shapes = {
+        "lineitem": (lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_extendedprice double, "
+                            "l_discount double, l_returnflag string, l_linestatus string, l_shipdate timestamp"),
+        "orders": ([(o, "1-URGENT", day, "O") for o in range(5)],
+                   "o_orderkey long, o_orderpriority string, o_orderdate timestamp, o_orderstatus string"),
+        "part": ([(p, f"part {p}", "Brand#1", "PROMO", p) for p in (0, 1, 1, 2)],
+                 "p_partkey long, p_name string, p_brand string, p_type string, p_size int"),
+        "supplier": ([(1, "Supplier", 3), (1, "Supplier", 3)], "s_suppkey long, s_name string, s_nationkey int"),
+        "nation": ([(3, "NATION")], "n_nationkey int, n_name string"),
+    }
+    for name, (rows, schema) in shapes.items():
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / f"{name}.parquet"))
+    found = frames.current(spark, str(tmp_path))
+    plan = plan_of(found)
+    assert plan.index("p_partkey") < plan.index("WindowGroupLimit")
+    rows = found.collect()
+    assert sorted(r.incident_id for r in rows) == [f"INC{o:07d}" for o in range(5)]
+    assert {(r.closed_at, r.short_description, r.assigned_group) for r in rows} == {(day + datetime.timedelta(4), "part 1", "NATION")}
+
+
 def test_shuffle_files_go_with_their_query(spark):
     key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before = spark.conf.get(key)
