@@ -83,6 +83,17 @@ def test_the_newest_version_is_chosen_before_parts_are_joined(spark, tmp_path):
     assert {(r.closed_at, r.short_description, r.assigned_group) for r in rows} == {(day + datetime.timedelta(4), "part 1", "NATION")}
 
 
+def test_rows_are_dealt_by_value_without_a_shuffle(spark, tmp_path):
+    rows = spark.range(1000).select("id", F.when(F.col("id") % 10 != 9, F.concat(F.lit("1995_0"), F.col("id") % 3 + 1)).alias("_month"))
+    for rows_per_task, fewest in ((150, 5), (1000, 4)):
+        with settings(spark, tables.SCAN_CONF):
+            dealt = tables.stored_by(spark, rows.repartition(4), str(tmp_path / str(fewest)), "_month", rows_per_task)
+            tasks = dealt.groupBy(F.spark_partition_id().alias("task")).agg(F.count_distinct(F.coalesce("_month", F.lit(""))).alias("n"))
+            found = tasks.collect()
+            assert "Exchange" not in plan_of(dealt) and {task.n for task in found} == {1} and len(found) >= fewest
+            assert sorted(map(str, dealt.collect())) == sorted(map(str, rows.collect()))
+
+
 def test_shuffle_files_go_with_their_query(spark):
     key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before = spark.conf.get(key)
